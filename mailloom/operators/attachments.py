@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from mailloom.functions.dates import timestamp_text
 from mailloom.functions.documents import (
@@ -37,7 +38,6 @@ _BLOCK = pa.struct(
     ]
 )
 _DECODED = pa.struct([("blocks", pa.list_(_BLOCK)), ("error", pa.string())])
-_DECODED_DDL = f"struct<blocks:{BLOCK_TYPE},error:string>"
 
 
 def is_real_attachment(disposition: Column, filename: Column) -> Column:
@@ -69,7 +69,7 @@ def attach_to_top(claimed: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _decode_stage(decoders: Mapping[str, Decoder]):
-    @F.arrow_udf(_DECODED_DDL)
+    @F.arrow_udf(from_arrow_type(_DECODED))
     def decode(kind: pa.Array, data: pa.Array) -> pa.Array:
         out = []
         for k, d in zip(kind, data):

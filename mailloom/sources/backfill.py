@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def under(df: DataFrame, prefix: str) -> DataFrame:
+    return df.filter(F.col("source_key").startswith(prefix))
+
+
 def select_keys(keys: DataFrame, prefix: str = "emails/") -> DataFrame:
     """Message keys under a prefix; the suffix test ignores case."""
-    key = F.col("source_key")
-    return keys.filter(key.startswith(prefix) & F.lower(key).endswith(".eml"))
+    return under(keys, prefix).filter(F.lower("source_key").endswith(".eml"))
 
 
 def backfill(objects: DataFrame, prefix: str = "emails/", dry_run: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from email.parser import BytesParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from mailloom.functions.html import best_body
 from mailloom.functions.text import clean_header
@@ -44,12 +45,6 @@ _MESSAGE = pa.struct(
         ("error", pa.string()),
     ]
 )
-_PART_DDL = (
-    "array<struct<part_no:int,filename:string,content_type:string,disposition:string,data:binary,error:string>>"
-)
-_MESSAGE_DDL = (
-    "struct<" + ",".join(f"{c}:string" for c in _HEADERS) + f",plain:string,html:string,parts:{_PART_DDL},error:string>"
-)
 
 
 def scan_messages(
@@ -131,7 +126,7 @@ def _decode_message(raw: bytes | None) -> dict:
         return {"error": f"{type(problem).__name__}: {problem}"}
 
 
-@F.arrow_udf(_MESSAGE_DDL)
+@F.arrow_udf(from_arrow_type(_MESSAGE))
 def _decode_messages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         yield pa.array([_decode_message(raw.as_py()) for raw in batch], _MESSAGE)
