@@ -7,6 +7,7 @@ rendering: one blank line between blocks, images and page furniture dropped.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -24,6 +25,8 @@ INLINE_MARKS = (("code", "`"), ("em|i", "*"), ("b|strong", "**"), ("del|s", "~~"
 # ----------------------------------------------------------------------------
 
 _NAMED = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
+# Stands for the # signs of a heading until the level is written out.
+_LEVEL = "\x1e"
 
 
 def _open(tag: str) -> str:
@@ -38,10 +41,6 @@ def _sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, "(?is)" + pattern, to)
 
 
-def _when_contains(c: Column, tag: str, changed: Column) -> Column:
-    return F.when(c.rlike(rf"(?i)<{tag}[\s>]"), changed).otherwise(c)
-
-
 def _per_block(c: Column, tag: str, render) -> Column:
     """Apply `render` to the inside of every `<tag>…</tag>`."""
 
@@ -52,8 +51,9 @@ def _per_block(c: Column, tag: str, render) -> Column:
             F.concat(F.lit("\n\n"), render(F.get(inside, F.lit(0))), F.lit("\n\n"), rest)
         )
 
-    pieces = F.split(c, "(?i)" + _open(tag), -1)
-    return _when_contains(c, tag, F.array_join(F.transform(pieces, piece), ""))
+    # No test for the tag first: that would evaluate `c`, the whole chain so
+    # far, once more per test. Without the tag there is just one piece.
+    return F.array_join(F.transform(F.split(c, "(?i)" + _open(tag), -1), piece), "")
 
 
 def _numbered(inside: Column) -> Column:
@@ -91,7 +91,7 @@ def _table(inside: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """One pass over `&name;` and `&#n;`, so `&amp;lt;` stays `&lt;`."""
-    names = F.create_map(*[F.lit(x) for item in _NAMED.items() for x in item])
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
 
     def piece(text: Column, position: Column) -> Column:
         parts = F.split(text, ";", 2)
@@ -110,40 +110,38 @@ def decode_entities(c: Column) -> Column:
             .otherwise(F.concat(F.lit("&"), text))
         )
 
-    decoded = F.array_join(F.transform(F.split(c, "&", -1), piece), "")
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    return F.array_join(F.transform(F.split(c, "&", -1), piece), "")
 
 
 def html_to_markdown(c: Column) -> Column:
-    x = _sub(or_empty(c), r"<!--.*?-->", "")
-    x = _sub(x, "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in DROPPED_ELEMENTS), "")
+    # Every pass costs a scan of the text, so patterns are merged where they can be.
+    dropped = [rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in DROPPED_ELEMENTS]
+    x = _sub(or_empty(c), "|".join(["<!--.*?-->", *dropped, _open("img")]), "")
     # Blank runs: one space, or one line feed if the run holds a line break.
     x = _sub(x, r"[ \t\r\n]*[\r\n][ \t\r\n]*", "\n")
-    x = _sub(x, r"[ \t]+", " ")
+    x = _sub(x, r"[ \t]{2,}|\t", " ")
     x = _sub(x, rf"\s*(</?(?:{SPACED_TAGS})(?:\s[^>]*)?/?>)\s*", "$1")
     # Markdown's own characters are escaped in text, not inside tags.
     x = _sub(x, r"([*_])(?=[^<>]*(?:<|\z))", r"\\$1")
     x = _sub(x, _open("br"), "  \n")
-    x = _sub(x, _open("img"), "")
-    for _ in range(2):
-        for tag, mark in INLINE_MARKS:
-            x = _sub(x, rf"{_open(tag)}(\s*)([^<]*[^<\s])(\s*){_close(tag)}", rf"$1{mark}$2{mark}$3")
+    for tag, mark in (*INLINE_MARKS, *INLINE_MARKS[1:3]):  # twice: bold and italic nest
+        x = _sub(x, rf"{_open(tag)}(\s*)([^<]*[^<\s])(\s*){_close(tag)}", rf"$1{mark}$2{mark}$3")
     x = _sub(
         x,
         rf"""<a\s(?:[^>]*\s)?href\s*=\s*["']([^"'>]*)["'][^>]*>(\s*)([^<]*[^<\s])(\s*){_close("a")}""",
         "$2[$3]($1)$4",
     )
     x = _sub(x, r"\[([^\]\s]+)\]\(\1\)", "&lt;$1&gt;")
+    x = _sub(x, r"<h([1-6])(?:\s[^>]*)?/?>", f"\n\n{_LEVEL}$1 ")
     for level in range(1, 7):
-        x = _sub(x, _open(f"h{level}"), "\n\n" + "#" * level + " ")
-    x = _sub(x, _close("h[1-6]"), "\n\n")
+        x = F.replace(x, F.lit(f"{_LEVEL}{level}"), F.lit("#" * level))
     x = _sub(x, _open("hr"), "\n\n---\n\n")
     x = _sub(x, _close("li"), "\n")
     x = _per_block(x, "table", _table)
     x = _per_block(x, "ol", _numbered)
     x = _sub(x, _open("li"), "* ")
     x = _per_block(x, "blockquote", _quoted)
-    x = _sub(x, rf"</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n\n")
+    x = _sub(x, rf"</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>|</h[1-6]\s*>", "\n\n")
     x = _sub(x, r"<[!?/a-z][^>]*>", "")
     x = _sub(x, r"\n{3,}", "\n\n")
     blank = ~c.rlike(rf"[^{SPACE[1:-1]}]")

@@ -200,11 +200,18 @@ def write_content(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def write_attachments(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark, "attachments")
-    parts = _order_attachments(spark, sf).withColumn("markdown", F.concat(F.lit("Item "), "part_no"))
-    meta = render.attachment_metadata(*[F.col(c) for c in ("filename", "content_type", "source_key", "output_key")])
-    sinks.write_attachments(
-        parts.select("output_key", "markdown", meta.alias("metadata_json"), "send_date"), folder
-    )
+    mails = mailbox(spark, sf)
+    # Each message carries its own body as a text file.
+    parts = mails.select(
+        "source_key",
+        F.lit(0).alias("part_no"),
+        F.concat(F.col("subject"), F.lit(".TXT")).alias("filename"),
+        F.lit("text/plain").alias("content_type"),
+        F.col("body").cast("binary").alias("data"),
+    )
+    extracted = att.extract_attachments(att.attach_to_top(_claimed(spark, sf), parts))
+    pages = att.render_attachments(extracted, OPTIONS)
+    sinks.write_attachments(pages.select("output_key", "markdown", "metadata_json", "send_date"), folder)
     stored = spark.read.schema("output_key string, markdown string, metadata_json string, send_date string").parquet(folder)
     return stored.select(
         "output_key", "markdown", "send_date", F.get_json_object("metadata_json", "$.filename").alias("filename")
@@ -436,6 +443,12 @@ def decode_text(spark: SparkSession, sf: str) -> DataFrame:
     return _encoded_documents(spark, sf).select("doc_id", doc.decode_text(F.col("data")).alias("text"))
 
 
+def _line_position() -> Column:
+    """A position within an order; line numbers repeat in the given table."""
+    number = F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey")
+    return number * 100_000_000 + F.col("l_suppkey")
+
+
 @query
 def rows_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
     cells = F.array(
@@ -444,8 +457,8 @@ def rows_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 4 != 0, F.concat("l_suppkey", F.lit("\nx"))),
     )
     ragged = F.when(F.col("l_partkey") % 5 == 0, F.slice(cells, 1, 1)).otherwise(cells)
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ragged.alias("cells"))
-    return documents.rows_to_markdown(rows, ["l_orderkey"], "l_linenumber", "cells").select("l_orderkey", "markdown")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", _line_position().alias("row_no"), ragged.alias("cells"))
+    return documents.rows_to_markdown(rows, ["l_orderkey"], "row_no", "cells").select("l_orderkey", "markdown")
 
 
 @query
@@ -457,7 +470,7 @@ def sheet_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_orderkey").alias("doc_id"),
         F.ascii("l_returnflag").alias("section_no"),
         F.col("l_returnflag").alias("section_title"),
-        F.col("l_linenumber").alias("row_no"),
+        _line_position().alias("row_no"),
         F.explode(columns).alias("c"),
     )
     sheets = documents.sheets_to_document(cells.select("*", "c.*").drop("c"))

@@ -48,8 +48,9 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
         return f"columns {sorted(df.columns)} / {sorted(columns)}"
     if got == want:
         return None
-    extra = [r for r in got if r not in set(want)] if len(got) < 20000 else got
-    missing = [r for r in want if r not in set(got)] if len(want) < 20000 else want
+    wanted, given = set(want), set(got)
+    extra = [r for r in got if r not in wanted]
+    missing = [r for r in want if r not in given]
     return f"rows {len(got)} / {len(want)}; spark only {extra[:2]}; sql only {missing[:2]}"
 
 
