@@ -17,9 +17,9 @@ from mailloom.functions.text import SPACE, or_empty, strip_space
 
 # --- fixed values -----------------------------------------------------------
 DROPPED_ELEMENTS = ("script", "style", "head", "title")
-BLOCK_TAGS = "p|div|article|section|ul|ol|blockquote"
+BLOCK_TAGS = "p|div|article|section|ul|ol"
 SPACED_TAGS = (
-    BLOCK_TAGS + "|li|h[1-6]|table|thead|tbody|tr|td|th|br|hr|html|body|nav|header|footer|main"
+    BLOCK_TAGS + "|blockquote|li|h[1-6]|table|thead|tbody|tr|td|th|br|hr|html|body|nav|header|footer|main"
 )
 INLINE_MARKS = (("code", "`"), ("em|i", "*"), ("b|strong", "**"), ("del|s", "~~"))
 # ----------------------------------------------------------------------------
@@ -65,7 +65,9 @@ def _numbered(inside: Column) -> Column:
 
 
 def _quoted(inside: Column) -> Column:
-    return F.concat(F.lit("> "), F.replace(strip_space(inside), F.lit("\n"), F.lit("\n> ")))
+    text = F.regexp_replace(strip_space(inside), r"\n{3,}", "\n\n")
+    marked = F.concat(F.lit("> "), F.replace(text, F.lit("\n"), F.lit("\n> ")))
+    return F.replace(marked, F.lit("> \n"), F.lit(">\n"))
 
 
 def _table(inside: Column) -> Column:
@@ -140,8 +142,8 @@ def html_to_markdown(c: Column) -> Column:
     x = _per_block(x, "table", _table)
     x = _per_block(x, "ol", _numbered)
     x = _sub(x, _open("li"), "* ")
-    x = _per_block(x, "blockquote", _quoted)
     x = _sub(x, rf"</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>|</h[1-6]\s*>", "\n\n")
+    x = _per_block(x, "blockquote", _quoted)
     x = _sub(x, r"<[!?/a-z][^>]*>", "")
     x = _sub(x, r"\n{3,}", "\n\n")
     blank = ~c.rlike(rf"[^{SPACE[1:-1]}]")
