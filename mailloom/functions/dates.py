@@ -7,6 +7,8 @@ timestamp constructor. A header that matches neither order gives NULL.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ _CLOCK_THEN_YEAR = rf"{_LEAD}{_DAY_MONTH} {_CLOCK},?(?: ([a-z]+))? ([0-9]{{1,9}}
 
 def _zone_seconds(zone: Column) -> Column:
     """Seconds east of UTC; 0 for a missing, unknown or `-0000` zone."""
-    names = F.create_map(*[F.lit(x) for item in ZONE_HOURS.items() for x in item])
+    names = F.from_json(F.lit(json.dumps(ZONE_HOURS)), "map<string,int>")
     number = F.abs(F.when(zone.rlike(r"\A[+-]?[0-9]{1,6}\z"), zone.cast("int")))
     size = F.floor(number / 100) * 3600 + (number % 100) * 60
     signed = F.when(zone.startswith("-"), -size).otherwise(size)

@@ -8,6 +8,8 @@ are used row by row in the extraction job and behind a grouped collection in
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def let(value: Column, body) -> Column:
 
 def attachment_kind(filename: Column) -> Column:
     """Decoder kind by the last extension, NULL when unsupported."""
-    kinds = F.create_map(*[F.lit(x) for item in KIND_BY_EXTENSION.items() for x in item])
+    kinds = F.from_json(F.lit(json.dumps(KIND_BY_EXTENSION)), "map<string,string>")
     name = F.substring_index(filename, "/", -1)
     # Leading dots belong to the name: ".txt" has no extension.
     extension = F.regexp_extract(name, r"\A\.*[^.].*\.([^.]*)\z", 1)

@@ -11,7 +11,6 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from mailloom.functions.dates import timestamp_text
 from mailloom.functions.documents import (
-    BLOCK_TYPE,
     attachment_kind,
     decode_text,
     document_markdown,
@@ -101,23 +100,19 @@ def extract_attachments(
     out = parts.withColumn("kind", attachment_kind(F.col("filename"))).withColumn(
         "oversize", size > options.max_attachment_bytes
     )
-    blocks, problem = F.lit(None).cast(BLOCK_TYPE), F.lit(None).cast("string")
+    native = (F.col("kind") == "text") & ~F.col("oversize")
+    text = F.when(native, decode_text(F.col("data"), options.strict_text_decoding))
+    sheets = problem = F.lit(None).cast("string")
     if decoders:
         wanted = F.col("kind").isin(list(decoders)) & ~F.col("oversize")
         out = out.withColumn("decoded", _decode_stage(decoders)(F.col("kind"), F.when(wanted, F.col("data"))))
         blocks, problem = F.col("decoded.blocks"), F.col("decoded.error")
-    native = (F.col("kind") == "text") & ~F.col("oversize")
-    if "text" in decoders:
-        native = F.lit(False)
-    text = F.when(native, decode_text(F.col("data"), options.strict_text_decoding)).when(
-        blocks.isNotNull(), document_markdown(F.col("kind"), blocks)
-    )
-    sheets = F.when((F.col("kind") == "xlsx") & blocks.isNotNull(), workbook_json(workbook_sheets(blocks)))
-    return (
-        out.withColumn("markdown", F.nullif(strip_space(text), F.lit("")))
-        .withColumn("sheet_data", sheets)
-        .withColumn("extract_error", problem)
-        .drop("decoded", "data")
+        rendered = document_markdown(F.col("kind"), blocks)
+        text = F.when(wanted, rendered).otherwise(text)
+        sheets = F.when((F.col("kind") == "xlsx") & blocks.isNotNull(), workbook_json(workbook_sheets(blocks)))
+    markdown = F.nullif(strip_space(text), F.lit(""))
+    return out.withColumns({"markdown": markdown, "sheet_data": sheets, "extract_error": problem}).drop(
+        "decoded", "data"
     )
 
 

@@ -151,14 +151,19 @@ def sheets_to_document(cells: DataFrame, keys: list[str] | None = None, **bounds
     )
 
 
-def _collected(blocks: DataFrame, keys: list[str], section: str, bounds: dict[str, int]) -> DataFrame:
-    """Bounded arrays of blocks per document part.
+# Puts the blocks shown last in their section behind all others.
+_LATE_OFFSET = 1 << 40
+
+
+def _collected(blocks: DataFrame, keys: list[str], late: str, bounds: dict[str, int]) -> DataFrame:
+    """Bounded arrays of blocks per document part, kind `late` at a section's end.
 
     Blocks have section_no, block_no, kind and text; a table block carries its
     finished Markdown in `text`.
     """
     size = F.octet_length(or_empty(F.col("text"))) + 32
-    parted = with_parts(blocks, keys, section, "block_no", size, **bounds)
+    place = F.col("block_no").cast("bigint") + F.when(F.col("kind") == late, _LATE_OFFSET).otherwise(0)
+    parted = with_parts(blocks.withColumn("__place", place), keys, "section_no", "__place", size, **bounds)
     block = F.struct(
         F.col("section_no").cast("int").alias("section_no"),
         F.lit(None).cast("string").alias("section_title"),
@@ -176,17 +181,14 @@ def _collected(blocks: DataFrame, keys: list[str], section: str, bounds: dict[st
 def paragraphs_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
     """Word-processor documents: paragraphs, then all tables."""
     keys = keys or ["doc_id"]
-    ranked = blocks.withColumn("__late", F.when(F.col("kind") == "table", 1).otherwise(0))
-    if "section_no" not in blocks.columns:
-        ranked = ranked.withColumn("section_no", F.lit(0))
-    parts = _collected(ranked, keys, "__late", bounds)
+    parts = _collected(blocks.withColumn("section_no", F.lit(0)), keys, "table", bounds)
     return parts.select(*keys, *PARTS, doc.paragraph_markdown(F.col("blocks")).alias("markdown"))
 
 
 def slides_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
     """Decks: a heading per slide, shapes in order, notes last."""
     keys = keys or ["doc_id"]
-    parts = _collected(blocks, keys, "section_no", bounds)
+    parts = _collected(blocks, keys, "notes", bounds)
     markdown = doc.sectioned_markdown(F.col("blocks"), "Slide", False, F.col("continued"))
     return parts.select(*keys, *PARTS, markdown.alias("markdown"))
 
@@ -194,6 +196,6 @@ def slides_to_document(blocks: DataFrame, keys: list[str] | None = None, **bound
 def pages_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
     """Paged documents: a heading per page even if blank, text, then tables."""
     keys = keys or ["doc_id"]
-    parts = _collected(blocks, keys, "section_no", bounds)
+    parts = _collected(blocks, keys, "table", bounds)
     markdown = doc.sectioned_markdown(F.col("blocks"), "Page", True, F.col("continued"))
     return parts.select(*keys, *PARTS, markdown.alias("markdown"))
