@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mailloom.functions.text import SPACE, or_empty, strip_space
+from mailloom.functions.text import or_empty, strip_space
 
 # --- fixed values -----------------------------------------------------------
 DROPPED_ELEMENTS = ("script", "style", "head", "title")
@@ -146,8 +146,8 @@ def html_to_markdown(c: Column) -> Column:
     x = _per_block(x, "blockquote", _quoted)
     x = _sub(x, r"<[!?/a-z][^>]*>", "")
     x = _sub(x, r"\n{3,}", "\n\n")
-    blank = ~c.rlike(rf"[^{SPACE[1:-1]}]")
-    return F.when(c.isNull() | blank, F.lit("")).otherwise(strip_space(decode_entities(x)))
+    # Blank input needs no case of its own: it trims to nothing.
+    return strip_space(decode_entities(x))
 
 
 def best_body(plain: Column, html: Column) -> Column:

@@ -27,8 +27,13 @@ STEM_SLUG_CHARS = 40
 LINE_BREAK_CHARS = "".join(map(chr, LINE_BREAK_CODES))
 BLANK_CHARS = "".join(map(chr, BLANK_CODES))
 SPACE_CHARS = BLANK_CHARS + LINE_BREAK_CHARS
-BLANK = f"[{BLANK_CHARS}]"
-SPACE = f"[{SPACE_CHARS}]"
+# The same two sets as regular expression classes. One category test is much
+# cheaper per character than a list of code points.
+BLANK = r"[\p{Zs}\t\x1f]"
+SPACE = r"[\p{Z}\t-\r\x1c-\x1f\x85]"
+_NOT_PLAIN = r"[\p{Z}\t-\r\x1c-\x1f\x85&&[^ ]]"
+# Any run of blanks but a single U+0020, which is left as it is.
+_RUN = f" {SPACE}+|{_NOT_PLAIN}{SPACE}*"
 
 
 def strip_space(c: Column) -> Column:
@@ -38,7 +43,7 @@ def strip_space(c: Column) -> Column:
 
 def collapse_space(c: Column) -> Column:
     """One plain space for each run of blanks, none at the ends."""
-    return F.btrim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.btrim(F.regexp_replace(c, _RUN, " "))
 
 
 def or_empty(c: Column) -> Column:

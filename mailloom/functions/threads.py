@@ -21,7 +21,7 @@ DIVIDER = "_{5,}"
 EXTERNAL_PHRASE = "external email"
 # ----------------------------------------------------------------------------
 
-_ANY_BREAK = f"\r\n|[{LINE_BREAK_CHARS}]"
+_ANY_BREAK = f"\r\n|[{LINE_BREAK_CHARS[1:]}]"
 # Cannot occur in text whose line breaks were made uniform.
 _MARK = "\x1e"
 _BOUNDARY = (

@@ -149,9 +149,7 @@ def attachment_refs(attachments: DataFrame, **bounds: int) -> DataFrame:
     Columns source_key, the part columns and refs; a message has one row unless
     its references are too large for one value (see `operators.documents`).
     """
-    size = F.octet_length("filename") + F.octet_length("output_key") + F.octet_length("content_type")
-    flat = attachments.withColumn("__section", F.lit(0))
-    parted = with_parts(flat, ["source_key"], "__section", "part_no", size, **bounds)
+    parted = with_parts(attachments, ["source_key"], "part_no", **bounds)
     ref = F.struct("filename", "output_key", "content_type")
     pairs = F.array_sort(F.collect_list(F.struct(F.col("part_no").alias("o"), ref.alias("v"))))
     return parted.groupBy("source_key", *PARTS).agg(

@@ -24,9 +24,9 @@ PARTS = ("part_section", "part_index")
 def with_parts(
     df: DataFrame,
     keys: list[str],
-    section: str,
     position: str,
-    size: Column,
+    section: str | None = None,
+    size: Column | None = None,
     width: Column | None = None,
     counted: Column | None = None,
     part_rows: int = PART_ROWS,
@@ -34,19 +34,20 @@ def with_parts(
 ) -> DataFrame:
     """Give each row of a large group a bounded part to be collected in.
 
-    `size` is a row's size in bytes, `width` (an aggregate) the most cells
-    at one position, `counted` which rows can open a section. Adds the
-    part columns, `opens` (the part holds the start of its section) and
-    `section_width`, which is NULL unless the section is large.
+    `size` is a row's size in bytes (leave it out if rows are small), `width`
+    (an aggregate) the most cells at one position, `counted` which rows can open
+    a section. Adds the part columns, `opens` (the part holds the start of its
+    section) and `section_width`, which is NULL unless the section is large.
     """
-    width = F.lit(1) if width is None else width
+    within = keys if section is None else [*keys, section]
     start = F.min(position) if counted is None else F.min(F.when(counted, F.col(position)))
-    sections = df.groupBy(*keys, section).agg(
+    size = F.lit(1) if size is None else size
+    sections = df.groupBy(*within).agg(
         F.count("*").alias("n"),
         F.sum(size).alias("b"),
         F.max(size).alias("largest"),
         start.alias("start"),
-        width.cast("int").alias("section_width"),
+        F.coalesce(F.lit(1) if width is None else width, F.lit(1)).cast("int").alias("section_width"),
     )
     large = (F.col("n") > part_rows) | (F.col("b") > part_bytes)
     per_part = F.greatest(
@@ -56,24 +57,23 @@ def with_parts(
             F.floor(F.lit(part_bytes) / (F.col("section_width") * F.greatest(F.col("largest"), F.lit(1)))),
         ),
     )
-    large_sections = sections.filter(large).select(
-        *keys, section, per_part.alias("per_part"), "start", "section_width"
-    )
-    large_groups = (
-        sections.groupBy(*keys)
-        .agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-        .filter(large)
-        .select(*keys, F.lit(True).alias("large"))
-    )
+    large_sections = sections.filter(large).select(*within, per_part.alias("per_part"), "start", "section_width")
+    parted = df.join(F.broadcast(large_sections), within, "left")
+    part_section = F.lit(0)
+    if section is not None:
+        groups = sections.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+        large_groups = groups.filter(large).select(*keys, F.lit(True).alias("large"))
+        parted = parted.join(F.broadcast(large_groups), keys, "left")
+        part_section = F.when(F.col("large"), F.col(section)).otherwise(0)
     part_index = F.floor(F.col(position) / F.col("per_part"))
-    return (
-        df.join(F.broadcast(large_groups), keys, "left")
-        .join(F.broadcast(large_sections), [*keys, section], "left")
-        .withColumn("part_section", F.when(F.col("large"), F.col(section)).otherwise(0).cast("bigint"))
-        .withColumn("part_index", F.coalesce(part_index, F.lit(0)).cast("bigint"))
-        .withColumn("opens", F.coalesce(part_index == F.floor(F.col("start") / F.col("per_part")), F.lit(True)))
-        .drop("large", "per_part", "start")
-    )
+    first_index = F.floor(F.col("start") / F.col("per_part"))
+    return parted.withColumns(
+        {
+            "part_section": part_section.cast("bigint"),
+            "part_index": F.coalesce(part_index, F.lit(0)).cast("bigint"),
+            "opens": F.coalesce(part_index == first_index, F.lit(True)),
+        }
+    ).drop("large", "per_part", "start")
 
 
 def _in_order(order: str, value: str) -> Column:
@@ -83,10 +83,10 @@ def _in_order(order: str, value: str) -> Column:
 
 def rows_to_markdown(df: DataFrame, group: list[str], row_no: str, cells: str, **bounds: int) -> DataFrame:
     """One Markdown table per group from rows of ARRAY<STRING> cells."""
-    rows = df.filter(F.size(cells) > 0).withColumn("__section", F.lit(0))
+    rows = df.filter(F.size(cells) > 0)
     size = F.octet_length(F.array_join(cells, "|", "")) + F.size(cells)
     width = F.max(F.size(cells))
-    parted = with_parts(rows, group, "__section", row_no, size, width=width, **bounds)
+    parted = with_parts(rows, group, row_no, None, size, width, **bounds)
     return (
         parted.groupBy(*group, *PARTS)
         .agg(
@@ -109,8 +109,8 @@ def sheets_to_document(cells: DataFrame, keys: list[str] | None = None, **bounds
     parted = with_parts(
         cells,
         keys,
-        "section_no",
         "row_no",
+        "section_no",
         F.octet_length(or_empty(F.col("cell"))) + 4,
         width=F.max("col_no") + 1,
         counted=shown,
@@ -155,7 +155,9 @@ def sheets_to_document(cells: DataFrame, keys: list[str] | None = None, **bounds
 _LATE_OFFSET = 1 << 40
 
 
-def _collected(blocks: DataFrame, keys: list[str], late: str, bounds: dict[str, int]) -> DataFrame:
+def _collected(
+    blocks: DataFrame, keys: list[str], late: str, bounds: dict[str, int], section: str | None = "section_no"
+) -> DataFrame:
     """Bounded arrays of blocks per document part, kind `late` at a section's end.
 
     Blocks have section_no, block_no, kind and text; a table block carries its
@@ -163,7 +165,7 @@ def _collected(blocks: DataFrame, keys: list[str], late: str, bounds: dict[str,
     """
     size = F.octet_length(or_empty(F.col("text"))) + 32
     place = F.col("block_no").cast("bigint") + F.when(F.col("kind") == late, _LATE_OFFSET).otherwise(0)
-    parted = with_parts(blocks.withColumn("__place", place), keys, "section_no", "__place", size, **bounds)
+    parted = with_parts(blocks.withColumn("__place", place), keys, "__place", section, size, **bounds)
     block = F.struct(
         F.col("section_no").cast("int").alias("section_no"),
         F.lit(None).cast("string").alias("section_title"),
@@ -181,7 +183,7 @@ def _collected(blocks: DataFrame, keys: list[str], late: str, bounds: dict[str,
 def paragraphs_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
     """Word-processor documents: paragraphs, then all tables."""
     keys = keys or ["doc_id"]
-    parts = _collected(blocks.withColumn("section_no", F.lit(0)), keys, "table", bounds)
+    parts = _collected(blocks.withColumn("section_no", F.lit(0)), keys, "table", bounds, None)
     return parts.select(*keys, *PARTS, doc.paragraph_markdown(F.col("blocks")).alias("markdown"))
 
 
