@@ -50,6 +50,20 @@ def real_attachments(emails: DataFrame) -> DataFrame:
     return parts.filter(is_real_attachment(F.col("disposition"), F.col("filename")))
 
 
+def without_useless_bytes(
+    parts: DataFrame, decoders: Mapping[str, Decoder] | None = None, options: Options = Options()
+) -> DataFrame:
+    """Keep the bytes of a part only if they will be decoded, and its `size`.
+
+    Done before the join to the accepted mails, so that unsupported and
+    oversize files are not shuffled.
+    """
+    size = F.coalesce(F.octet_length("data"), F.lit(0))
+    kinds = ["text", *(decoders or {})]
+    wanted = attachment_kind(F.col("filename")).isin(kinds) & (size <= options.max_attachment_bytes)
+    return parts.withColumns({"size": size, "data": F.when(wanted, F.col("data"))})
+
+
 def within_size(df: DataFrame, max_bytes: int, size: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, oversize); exactly `max_bytes` is still kept."""
     size = F.octet_length("data") if size is None else size
@@ -93,10 +107,10 @@ def extract_attachments(
     Text is decoded by built-in functions. Other kinds go through the decoder
     given for them, in one Arrow-batched Python stage that receives only the
     bytes it has a decoder for. `markdown` is NULL when unsupported, blank,
-    oversize or failed.
+    oversize or failed. `size`, if present, is the size before bytes were left out.
     """
     decoders = dict(decoders or {})
-    size = F.coalesce(F.octet_length("data"), F.lit(0))
+    size = F.col("size") if "size" in parts.columns else F.coalesce(F.octet_length("data"), F.lit(0))
     out = parts.withColumn("kind", attachment_kind(F.col("filename"))).withColumn(
         "oversize", size > options.max_attachment_bytes
     )

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mailloom.operators.dedup import REGISTRY_SCHEMA
+from mailloom.operators.dedup import REGISTRY_SCHEMA, select_identities
+from mailloom.operators.retrieval import check_prefix
+from mailloom.session import durable
 
-TABLES = ("emails", "quarantine", "claims", "attachments", "content", "attachment_content", "run_metrics", "registry")
+TABLES = ("emails", "quarantine", "claims", "attachments", "content", "attachment_content", "run_metrics", "registry", "batches")
 
 
 class Tables:
     """Paths under one root in shared storage.
 
     Every table is written as `<table>/batch_id=<n>`, replaced whole when the
-    batch is repeated. The registry is written last: a batch counts as done
-    once its registry partition exists.
+    batch is repeated. The registry is written after all outputs and the row in
+    `batches`, which marks the batch as done, after the registry.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -53,7 +56,51 @@ class Tables:
             return None
         return known if before_batch is None else known.filter(known.batch_id != before_batch)
 
+    def finish(self, batch_id: int) -> None:
+        done = self.spark.range(1).select(F.current_timestamp().alias("finished_at"))
+        self.write(done, "batches", batch_id)
+
     def next_batch(self) -> int:
-        known = self.registry()
-        last = None if known is None else known.selectExpr("max(batch_id)").first()[0]
+        """One after the last finished batch, so a failed one keeps its number."""
+        path = self.path("batches")
+        try:
+            done = self.spark.read.schema("batch_id bigint").option("basePath", path).parquet(path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+        last = done.agg(F.max("batch_id")).first()[0]
         return 0 if last is None else last + 1
+
+    def forget(self, everything: bool = False, keys: list[str] | None = None, prefix: str | None = None) -> int:
+        """Remove identities from the registry so their mails are processed again."""
+        known = self.registry()
+        if known is None:
+            return 0
+        selected = select_identities(known, everything, keys, prefix).distinct()
+        doomed = known.join(selected, "identity", "left_semi")
+        return self._remove("registry", known, doomed, "identity", ["batch_id"])
+
+    def clear(self, table: str, output_prefix: str, prefix: str | None = None, force: bool = False) -> int:
+        """Remove pages whose key starts with a prefix inside the output root."""
+        hit: Column = F.col("output_key").startswith(check_prefix(prefix, output_prefix, force))
+        pages = self.read(table)
+        return self._remove(table, pages, pages.filter(hit), "output_key", ["batch_id", "send_date"])
+
+    def _remove(self, table: str, rows: DataFrame, doomed: DataFrame, key: str, by: list[str]) -> int:
+        """Rewrite only the partitions that lose rows; safe to repeat."""
+        doomed = durable(doomed.select(key, *by))
+        touched = doomed.select(*by).distinct()
+        kept = durable(rows.join(touched, by, "left_semi").join(doomed.select(key).distinct(), key, "left_anti"))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
+            self.path(table)
+        )
+        # Folders left without rows: a list of folder names, not of rows.
+        for folder in touched.join(kept.select(*by).distinct(), by, "left_anti").collect():
+            self._delete("/".join([self.path(table), *(f"{c}={folder[c]}" for c in by)]))
+        return doomed.count()
+
+    def _delete(self, folder: str) -> None:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

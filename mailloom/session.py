@@ -43,3 +43,10 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(work_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def as_uri(folder: str) -> str:
+    """A folder as an absolute URI, which Arrow's file systems ask for."""
+    if "://" in folder:
+        return folder.replace("s3a://", "s3://", 1)
+    return "file://" + folder.removeprefix("file:")

@@ -14,12 +14,14 @@ from mailloom.operators.attachments import (
     extract_attachments,
     real_attachments,
     render_attachments,
+    without_useless_bytes,
 )
 from mailloom.operators.dedup import WRITER_ORDER, accepted, claim, registry_rows
 from mailloom.operators.monitor import flush_counters, quarantine, run_counters
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.tables import Tables
+from mailloom.sources.backfill import backfill
 from mailloom.sources.messages import parse_messages, scan_messages
 
 CLAIM_PAYLOAD = (
@@ -59,7 +61,8 @@ def process_batch(
     claimed = accepted(claims)
 
     parts = real_attachments(good)
-    extracted = extract_attachments(attach_to_top(claimed, parts), decoders, options)
+    owned = attach_to_top(claimed, without_useless_bytes(parts, decoders, options))
+    extracted = extract_attachments(owned, decoders, options)
     extracted = tables.write(extracted, "attachments", batch_id)
     pages = tables.write(render_attachments(extracted, options), "attachment_content", batch_id, by="send_date")
     # Bounded: all references of a message come out of one message row.
@@ -80,6 +83,7 @@ def process_batch(
     tables.write(content_of(claimed, refs), "content", batch_id, by="send_date")
     flush_counters(run_counters(emails, claims, extracted, parts), tables.path("run_metrics"), batch_id)
     tables.write(registry_rows(claimed, batch_id).drop("batch_id"), "registry", batch_id)
+    tables.finish(batch_id)
 
 
 def run_batch(
@@ -88,16 +92,18 @@ def run_batch(
     tables_root: str,
     options: Options = Options(),
     decoders: Mapping[str, Decoder] | None = None,
+    prefix: str | None = None,
 ) -> int:
     """Process every message under `source` and return the batch's number.
 
-    A run that failed before its registry was written is repeated under the
-    same number.
+    `prefix` narrows the run to the keys that start with it.
+
+    A run that failed is repeated under the same number.
     """
     tables = Tables(spark, tables_root)
     batch_id = tables.next_batch()
     objects = scan_messages(spark, source, input_prefix=options.input_prefix)
-    process_batch(objects, tables, batch_id, options, decoders)
+    process_batch(backfill(objects, prefix or options.input_prefix), tables, batch_id, options, decoders)
     return batch_id
 
 
@@ -109,6 +115,7 @@ def run_stream(
     decoders: Mapping[str, Decoder] | None = None,
     max_files_per_trigger: int | None = None,
     every: str | None = None,
+    prefix: str | None = None,
 ) -> StreamingQuery:
     """Process new messages as they arrive, or once through all if `every` is None.
 
@@ -117,6 +124,7 @@ def run_stream(
     """
     tables = Tables(spark, tables_root)
     objects = scan_messages(spark, source, True, options.input_prefix, max_files_per_trigger)
+    objects = backfill(objects, prefix or options.input_prefix)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, tables, batch_id, options, decoders)

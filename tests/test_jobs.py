@@ -196,3 +196,23 @@ def test_claim_any_keeps_one_of_each(spark, source, tmp_path):
     q = claim_any(stream).writeStream.format("memory").queryName("claimed_any").trigger(availableNow=True).start()
     q.awaitTermination()
     assert rows(spark.table("claimed_any"), "identity") == [("a",), ("b",)]
+
+
+def test_forget_clear_and_backfill(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    tables = Tables(spark, root)
+    assert run_batch(spark, source, root, prefix="emails/misc/") == 0
+    assert tables.read("content").count() == 3
+    assert run_batch(spark, source, root) == 1
+    before = rows(tables.read("content"), "identity")
+    assert len(before) == 9
+    assert tables.forget(prefix="emails/2026-07-27/att") == 1
+    assert tables.forget(keys=["<direct-1@example.com>", "unknown"]) == 1
+    assert tables.registry().count() == 7
+    assert tables.clear("content", "emails-extracted/", "emails-extracted/content/2026-07-15/") == 1
+    assert tables.read("content").count() == 8
+    with pytest.raises(ValueError):
+        tables.clear("content", "emails-extracted/", "elsewhere/")
+    assert run_batch(spark, source, root) == 2
+    assert rows(tables.read("content").filter("batch_id = 2"), "identity") == [("<att-1@example.com>",), ("<direct-1@example.com>",)]
+    assert tables.forget(everything=True) == 9 and tables.registry().count() == 0
