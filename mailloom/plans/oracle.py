@@ -451,19 +451,19 @@ FROM (SELECT event_id, lower(regexp_extract(filename, '[.]([^.]*)$', 1)) AS e FR
     sql["decode_text"] = f"WITH {_ENCODED} SELECT doc_id, text FROM texts"
     sql["rows_to_markdown"] = f"""
 WITH cells AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 5 = 0 THEN c[1:1] ELSE c END AS c
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, CASE WHEN l_partkey % 5 = 0 THEN c[1:1] ELSE c END AS c
   FROM (SELECT *, [CAST(l_partkey AS VARCHAR), concat(l_returnflag, '|', l_linestatus),
           CASE WHEN l_suppkey % 4 <> 0 THEN concat(l_suppkey, chr(10), 'x') END] AS c FROM lineitem)),
-wide AS (SELECT *, max(len(c)) OVER (PARTITION BY l_orderkey) AS w, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM cells),
+wide AS (SELECT *, max(len(c)) OVER (PARTITION BY l_orderkey) AS w, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) AS rn FROM cells),
 padded AS (SELECT l_orderkey, rn, w, list_concat(c, list_transform(range(w - len(c)), lambda i: '')) AS c FROM wide)
 SELECT l_orderkey, string_agg(concat({_CELL}, CASE WHEN rn = 1 THEN concat(chr(10), '| ',
   array_to_string(list_transform(range(w), lambda i: '---'), ' | '), ' |') ELSE '' END), chr(10) ORDER BY rn) AS markdown
 FROM padded GROUP BY 1"""
     sql["sheet_documents"] = f"""
 WITH cells AS (
-  SELECT l_orderkey AS doc_id, l_returnflag AS title, l_linenumber, l_partkey, l_suppkey, [CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_linestatus] AS c
+  SELECT l_orderkey AS doc_id, l_returnflag AS title, l_linenumber, l_partkey, l_suppkey, l_linestatus, [CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_linestatus] AS c
   FROM lineitem WHERE l_partkey % 6 <> 0),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM cells),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS rn FROM cells),
 sheets AS (
   SELECT doc_id, title, concat('## ', title, chr(10), chr(10), string_agg(concat({_CELL},
       CASE WHEN rn = 1 THEN concat(chr(10), '| --- | --- | --- |') ELSE '' END), chr(10) ORDER BY rn)) AS md,

@@ -439,10 +439,11 @@ def decode_text(spark: SparkSession, sf: str) -> DataFrame:
     return _encoded_documents(spark, sf).select("doc_id", doc.decode_text(F.col("data")).alias("text"))
 
 
-def _line_position() -> Column:
-    """A position within an order; line numbers repeat in the given table."""
-    number = F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey")
-    return number * 100_000_000 + F.col("l_suppkey")
+def _numbered_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with their place in their order (line numbers repeat)."""
+    shown = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+    items = table(spark, sf, "lineitem").select("l_orderkey", *shown)
+    return ranking.with_position(items, shown, ["l_orderkey"], "row_no")
 
 
 @query
@@ -453,7 +454,7 @@ def rows_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 4 != 0, F.concat("l_suppkey", F.lit("\nx"))),
     )
     ragged = F.when(F.col("l_partkey") % 5 == 0, F.slice(cells, 1, 1)).otherwise(cells)
-    rows = table(spark, sf, "lineitem").select("l_orderkey", _line_position().alias("row_no"), ragged.alias("cells"))
+    rows = _numbered_items(spark, sf).select("l_orderkey", "row_no", ragged.alias("cells"))
     return documents.rows_to_markdown(rows, ["l_orderkey"], "row_no", "cells").select("l_orderkey", "markdown")
 
 
@@ -462,11 +463,11 @@ def sheet_documents(spark: SparkSession, sf: str) -> DataFrame:
     blank = F.col("l_partkey") % 6 == 0
     values = [F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_linestatus")]
     columns = F.array(*[F.struct(F.lit(i).alias("col_no"), F.when(~blank, v).alias("cell")) for i, v in enumerate(values)])
-    cells = table(spark, sf, "lineitem").select(
+    cells = _numbered_items(spark, sf).select(
         F.col("l_orderkey").alias("doc_id"),
         F.ascii("l_returnflag").alias("section_no"),
         F.col("l_returnflag").alias("section_title"),
-        _line_position().alias("row_no"),
+        "row_no",
         F.explode(columns).alias("c"),
     )
     sheets = documents.sheets_to_document(cells.select("*", "c.*").drop("c"))
