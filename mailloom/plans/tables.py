@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from mailloom.operators.dedup import REGISTRY_SCHEMA, select_identities
 from mailloom.operators.retrieval import check_prefix
 from mailloom.session import durable
+from mailloom.sources.sinks import write_content
 
 TABLES = ("emails", "quarantine", "claims", "attachments", "content", "attachment_content", "run_metrics", "registry", "batches")
 
@@ -41,9 +42,27 @@ class Tables:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, finished_only: bool = True) -> DataFrame:
+        """A table over all batches, by default without a batch still at work."""
         path = self.path(table)
-        return self.spark.read.option("basePath", path).parquet(path)
+        rows = self.spark.read.option("basePath", path).parquet(path)
+        done = self._finished()
+        if done is None or not finished_only:
+            return rows
+        return rows.join(done, "batch_id", "left_semi")
+
+    def publish(self, table: str, path: str) -> None:
+        """Lay a page table out by day alone, in few large files, at another path."""
+        write_content(self.read(table).drop("batch_id"), path)
+
+    def _finished(self) -> DataFrame | None:
+        path = self.path("batches")
+        try:
+            return self.spark.read.schema("batch_id bigint").option("basePath", path).parquet(path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def registry(self, before_batch: int | None = None) -> DataFrame | None:
         """Accepted identities, leaving out those of a batch that is repeated."""
@@ -62,12 +81,8 @@ class Tables:
 
     def next_batch(self) -> int:
         """One after the last finished batch, so a failed one keeps its number."""
-        path = self.path("batches")
-        try:
-            done = self.spark.read.schema("batch_id bigint").option("basePath", path).parquet(path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
+        done = self._finished()
+        if done is None:
             return 0
         last = done.agg(F.max("batch_id")).first()[0]
         return 0 if last is None else last + 1

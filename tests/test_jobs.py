@@ -144,6 +144,7 @@ def test_failed_batch_is_repeated_under_its_number(spark, source, tmp_path, monk
     monkeypatch.setattr(Tables, "write", fails)
     with pytest.raises(RuntimeError):
         run_batch(spark, source, root)
+    assert Tables(spark, root).read("content", finished_only=False).count() == 9
     monkeypatch.setattr(Tables, "write", original)
     assert run_batch(spark, source, root) == 0
     assert Tables(spark, root).read("content").count() == 9
@@ -215,4 +216,7 @@ def test_forget_clear_and_backfill(spark, source, tmp_path):
         tables.clear("content", "emails-extracted/", "elsewhere/")
     assert run_batch(spark, source, root) == 2
     assert rows(tables.read("content").filter("batch_id = 2"), "identity") == [("<att-1@example.com>",), ("<direct-1@example.com>",)]
+    tables.publish("content", str(tmp_path / "by_day"))
+    published = spark.read.parquet(str(tmp_path / "by_day"))
+    assert rows(published, "output_key") == rows(tables.read("content"), "output_key")
     assert tables.forget(everything=True) == 9 and tables.registry().count() == 0
