@@ -34,7 +34,7 @@ from mailloom.operators.split import apply_envelope, split_threads
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.mailbox import mailbox, message_bytes, table
-from mailloom.session import as_uri, work_folder
+from mailloom.session import work_folder
 from mailloom.sources import backfill, messages, notifications, sinks
 from mailloom.streaming.jobs import run_stream
 
@@ -122,7 +122,7 @@ def _order_attachments(spark: SparkSession, sf: str) -> DataFrame:
 def scan_messages(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark, "messages")
     files = message_bytes(mailbox(spark, sf)).withColumnRenamed("source_key", "output_key")
-    sinks.export_objects(files, as_uri(folder))
+    sinks.export_objects(files, folder)
     return messages.scan_messages(spark, folder).select("source_key", "length")
 
 
@@ -222,7 +222,7 @@ def sidecar_key_(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def export_objects(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark, "objects")
-    sinks.export_objects(sinks.objects(content_of(_claimed(spark, sf))), as_uri(folder))
+    sinks.export_objects(sinks.objects(content_of(_claimed(spark, sf))), folder)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     key = F.concat(F.lit(OPTIONS.output_prefix), F.substring_index("path", "/" + OPTIONS.output_prefix, -1))
     page = F.when(F.col("path").endswith(".md"), F.col("content").cast("string"))
@@ -379,7 +379,7 @@ def dedup_first_writer(spark: SparkSession, sf: str) -> DataFrame:
 def claim_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = _new_folder(spark, "stream")
     files = message_bytes(mailbox(spark, sf)).withColumnRenamed("source_key", "output_key")
-    sinks.export_objects(files, as_uri(folder + "/in"))
+    sinks.export_objects(files, folder + "/in")
     run = run_stream(spark, folder + "/in", folder + "/out")
     run.awaitTermination()
     stored = spark.read.schema("identity string, thread string, sent_text string, hash8 string").parquet(

@@ -45,8 +45,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def as_uri(folder: str) -> str:
-    """A folder as an absolute URI, which Arrow's file systems ask for."""
-    if "://" in folder:
-        return folder.replace("s3a://", "s3://", 1)
-    return "file://" + folder.removeprefix("file:")
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """A folder as an absolute URI; one without a scheme is on the cluster's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def arrow_store(uri: str):
+    """Arrow's file system of an absolute URI, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailloom.functions.text import sidecar_key
+from mailloom.session import arrow_store, shared_uri
+
 
 def write_content(df: DataFrame, path: str) -> None:
     """Parquet by day; only the days present in `df` are replaced.
@@ -54,10 +56,10 @@ def export_objects(df: DataFrame, root: str) -> None:
     if clashing:
         raise ValueError(f"several rows share the key {clashing[0]['output_key']}; see key_collisions")
 
-    def write(batches: Iterable) -> Iterable:
-        from pyarrow import fs
+    uri = shared_uri(df.sparkSession, root)
 
-        files, base = fs.FileSystem.from_uri(root)
+    def write(batches: Iterable) -> Iterable:
+        files, base = arrow_store(uri)
         known: set[str] = set()
         for batch in batches:
             for key, content in zip(batch.column(0), batch.column(1)):
