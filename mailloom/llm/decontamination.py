@@ -142,7 +142,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, item: str = "it
 
 
 def find(lists: dict[int, np.ndarray], words: list[int], slop: int = 0) -> np.ndarray:
-    """Starts of the places where the words stand in order, each at most `slop` places off."""
+    """Starts of the places where the words stand, each at most `slop` places from where the rarest one puts it."""
     found = [lists.get(w) for w in words]
     if any(x is None for x in found):
         return np.zeros(0, np.int64)
