@@ -13,9 +13,12 @@ from mailloom.session import shared_uri, work_folder
 
 # A task works on so many bytes of text at once; a longer text is a slab of its own.
 SLAB_BYTES = 1 << 20
+# Of the batches that Spark hands to Python: executors keep two or more of them outside the heap.
+ARROW_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +30,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them back, which also cuts the lineage."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     folder = run_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -36,7 +36,7 @@ from mailloom.llm.common import BASE, BYTE_VALUES, INVERSE, mixed, offsets_of, p
 
 LENGTH, GRAM = 200, 32
 #: Extents in a group before its anchor is dealt to several; bytes of a suffix array's text.
-MOST_EXTENTS, BLOCK_BYTES = 4096, 1 << 20
+MOST_EXTENTS, BLOCK_BYTES = 2048, 1 << 18
 PIECE_BYTES = 8 << 20
 
 _PLACE = np.uint64((1 << 24) - 1)
@@ -173,7 +173,7 @@ def sort_extents(rows: DataFrame) -> DataFrame:
 def _next(marked: np.ndarray) -> np.ndarray:
     """For every position the nearest marked one at or after it; the length if there is none."""
     n = len(marked)
-    return np.minimum.accumulate(np.where(marked, np.arange(n), n)[::-1])[::-1]
+    return np.minimum.accumulate(np.where(marked, np.arange(n, dtype=np.int32), np.int32(n))[::-1])[::-1]
 
 
 def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
@@ -196,6 +196,7 @@ def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int)
     raw = data.tobytes()
     keys = [raw[p : p + depth] for p in direct.tolist()]
     direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)]
+    del keys
     bounds = np.searchsorted(data[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     result = []
