@@ -19,7 +19,6 @@ REPLY_MARKERS = "re|fw|fwd|aw|wg|sv|vs"
 SUBJECT_FALLBACK = "no-subject"
 SLUG_FALLBACK = "untitled"
 DATE_FALLBACK = "undated"
-IDENTITY_BODY_CHARS = 2000
 SLUG_CHARS = 60
 STEM_SLUG_CHARS = 40
 # ----------------------------------------------------------------------------
@@ -60,13 +59,17 @@ def normalize_body(c: Column) -> Column:
 
 
 def identity(
-    message_id: Column, from_: Column, date: Column, subject: Column, body: Column
+    message_id: Column, from_: Column, date: Column, subject: Column, body: Column, body_chars: int | None = None
 ) -> Column:
-    """Message-id when there is one, else a digest of sender, date, subject and text."""
+    """Message-id when there is one, else a digest of sender, date, subject and text.
+
+    The whole text counts; `body_chars` narrows it to a prefix of its normal form.
+    """
     given = strip_space(message_id)
     folded = [F.lower(strip_space(or_empty(c))) for c in (from_, date, subject)]
-    prefix = F.substring(normalize_body(body), 1, IDENTITY_BODY_CHARS)
-    digest = F.sha2(F.concat_ws("\n", *folded, prefix), 256)
+    text = normalize_body(body)
+    text = text if body_chars is None else F.substring(text, 1, body_chars)
+    digest = F.sha2(F.concat_ws("\n", *folded, text), 256)
     return F.when(given != "", given).otherwise(F.concat(F.lit("sha256:"), digest))
 
 

@@ -60,10 +60,15 @@ def without_useless_bytes(
     """
     size = F.coalesce(F.octet_length("data"), F.lit(0))
     kinds = ["text", *(decoders or {})]
-    wanted = attachment_kind(F.col("filename")).isin(kinds) & (size <= options.max_attachment_bytes)
+    wanted = attachment_kind(F.col("filename")).isin(kinds) & ~oversize(size, options)
     return parts.withColumns({"size": size, "data": F.when(wanted, F.col("data"))})
 
 
+def oversize(size: Column, options: Options) -> Column:
+    most = options.max_attachment_bytes
+    return F.lit(False) if most is None else size > most
+
+
 def within_size(df: DataFrame, max_bytes: int, size: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, oversize); exactly `max_bytes` is still kept."""
     size = F.octet_length("data") if size is None else size
@@ -112,7 +117,7 @@ def extract_attachments(
     decoders = dict(decoders or {})
     size = F.col("size") if "size" in parts.columns else F.coalesce(F.octet_length("data"), F.lit(0))
     out = parts.withColumn("kind", attachment_kind(F.col("filename"))).withColumn(
-        "oversize", size > options.max_attachment_bytes
+        "oversize", oversize(size, options)
     )
     native = (F.col("kind") == "text") & ~F.col("oversize")
     text = F.when(native, decode_text(F.col("data"), options.strict_text_decoding))

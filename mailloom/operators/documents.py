@@ -13,14 +13,22 @@ from pyspark.sql import functions as F
 from mailloom.functions import documents as doc
 from mailloom.functions.text import or_empty, strip_space
 
-# A group is large beyond either bound. There are at most total/bound large
-# groups, which is what makes the list of them small enough to broadcast.
+# A group is large beyond either bound.
 PART_ROWS = 1_000_000
 PART_BYTES = 256 * 1024 * 1024
 
 PARTS = ("part_section", "part_index")
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which NULL keys meet; the planner chooses whether to broadcast."""
+    renamed = right.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return left.join(renamed, same, "left").drop(*[f"__k_{k}" for k in keys])
+
+
 def with_parts(
     df: DataFrame,
     keys: list[str],
@@ -49,7 +57,10 @@ def with_parts(
         start.alias("start"),
         F.coalesce(F.lit(1) if width is None else width, F.lit(1)).cast("int").alias("section_width"),
     )
+    # Every row is padded to the widest one.
+    padded = F.lit(0) if width is None else F.col("n") * F.col("section_width")
     large = (F.col("n") > part_rows) | (F.col("b") > part_bytes)
+    large_section = large | (padded > part_bytes)
     per_part = F.greatest(
         F.lit(1),
         F.least(
@@ -57,13 +68,13 @@ def with_parts(
             F.floor(F.lit(part_bytes) / (F.col("section_width") * F.greatest(F.col("largest"), F.lit(1)))),
         ),
     )
-    large_sections = sections.filter(large).select(*within, per_part.alias("per_part"), "start", "section_width")
-    parted = df.join(F.broadcast(large_sections), within, "left")
+    large_sections = sections.filter(large_section).select(*within, per_part.alias("per_part"), "start", "section_width")
+    parted = _joined(df, large_sections, within)
     part_section = F.lit(0)
     if section is not None:
         groups = sections.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
         large_groups = groups.filter(large).select(*keys, F.lit(True).alias("large"))
-        parted = parted.join(F.broadcast(large_groups), keys, "left")
+        parted = _joined(parted, large_groups, keys)
         part_section = F.when(F.col("large"), F.col(section)).otherwise(0)
     part_index = F.floor(F.col(position) / F.col("per_part"))
     first_index = F.floor(F.col("start") / F.col("per_part"))

@@ -157,7 +157,7 @@ _NORMAL_BODY = f"lower({_collapse('body')})"
 
 def _identity(mid: str = "message_id") -> str:
     folded = ", ".join(f"lower({_trim(c)})" for c in ("from_", "date_header", "subject"))
-    digest = f"concat('sha256:', sha256(concat_ws(chr(10), {folded}, left({_NORMAL_BODY}, 2000))))"
+    digest = f"concat('sha256:', sha256(concat_ws(chr(10), {folded}, {_NORMAL_BODY})))"
     return f"CASE WHEN coalesce(trim({mid}), '') <> '' THEN trim({mid}) ELSE {digest} END"
 
 
@@ -327,7 +327,7 @@ doc_lines AS (
 _SUBJECTS = """
 marked AS (
   SELECT doc_id, concat(['', 'Re: ', ' FW:fwd : ', 'AW [12]: re:', 'Sv:VS: wg [3] : ', 'Recap: '][CAST(doc_id % 6 AS INT) + 1],
-    CASE WHEN doc_id % 40 <> 0 THEN left(text, 60) ELSE '' END) AS s
+    text) AS s
   FROM documents)
 """
 
@@ -490,8 +490,8 @@ WITH encoded AS (
       WHEN doc_id % 4 = 3 AND regexp_full_match(text, '[\\x00-\\x{{ff}}\\n]*') THEN length(text) ELSE octet_length(encode(text)) END AS size
   FROM documents),
 judged AS (
-  SELECT *, ['text', 'text', NULL, 'pdf'][f + 1] AS kind, size > 20000 AS oversize,
-    f = 3 AND size <= 20000 AND (n IN (1, 2) OR (n = 3 AND latin AND NOT ascii)) AS failed FROM encoded)
+  SELECT *, ['text', 'text', NULL, 'pdf'][f + 1] AS kind, false AS oversize,
+    f = 3 AND (n IN (1, 2) OR (n = 3 AND latin AND NOT ascii)) AS failed FROM encoded)
 SELECT doc_id, kind, oversize, failed,
   CASE WHEN oversize OR failed OR kind IS NULL THEN NULL WHEN kind = 'pdf' THEN concat('## Page 1', chr(10), chr(10), text) ELSE nullif(text, '') END AS markdown
 FROM judged"""

@@ -522,7 +522,7 @@ def extract_attachments(spark: SparkSession, sf: str) -> DataFrame:
     def one_page(data: bytes) -> list[dict]:
         return [{"section_no": 1, "block_no": 0, "kind": "text", "text": data.decode("utf-8")}]
 
-    extracted = att.extract_attachments(parts, {"pdf": one_page}, Options(max_attachment_bytes=20000))
+    extracted = att.extract_attachments(parts, {"pdf": one_page})
     failed = F.col("extract_error").isNotNull().alias("failed")
     return extracted.select("doc_id", "kind", "oversize", failed, "markdown")
 
@@ -553,7 +553,7 @@ def slugify_(spark: SparkSession, sf: str) -> DataFrame:
 def _marked_subject() -> Column:
     marks = F.array(*map(F.lit, ("", "Re: ", " FW:fwd : ", "AW [12]: re:", "Sv:VS: wg [3] : ", "Recap: ")))
     return F.concat(
-        F.element_at(marks, (F.col("doc_id") % 6 + 1).cast("int")), F.when(F.col("doc_id") % 40 != 0, F.substring("text", 1, 60)).otherwise("")
+        F.element_at(marks, (F.col("doc_id") % 6 + 1).cast("int")), F.col("text")
     )
 
 
@@ -792,7 +792,7 @@ def check_residue(spark: SparkSession, sf: str) -> DataFrame:
     text = (
         F.when(number % 9 == 0, F.concat("text", F.lit(" a=3D1")))
         .when(number % 11 == 0, F.concat(F.lit("<p class=x>"), "text"))
-        .when(number % 17 == 0, F.concat("text", F.lit(quality.MOJIBAKE_PATTERN.split("|")[2])))
+        .when(number % 17 == 0, F.concat("text", F.lit("Ã©")))
         .otherwise(F.col("text"))
     )
     docs = table(spark, sf, "documents").select("doc_id", text.alias("text"))

@@ -13,6 +13,9 @@ from mailloom.sources.sinks import write_content
 
 TABLES = ("emails", "quarantine", "claims", "attachments", "content", "attachment_content", "run_metrics", "registry", "batches")
 
+# Tables in which a later batch replaces the rows of the same key.
+PAGES = ("content", "attachment_content")
+
 
 class Tables:
     """Paths under one root in shared storage.
@@ -47,9 +50,13 @@ class Tables:
         path = self.path(table)
         rows = self.spark.read.option("basePath", path).parquet(path)
         done = self._finished()
-        if done is None or not finished_only:
+        if done is not None and finished_only:
+            rows = rows.join(done, "batch_id", "left_semi")
+        if table not in PAGES:
             return rows
-        return rows.join(done, "batch_id", "left_semi")
+        # A page that was processed again stands once, as its latest batch wrote it.
+        latest = rows.groupBy("output_key").agg(F.max("batch_id").alias("batch_id"))
+        return rows.join(latest, ["output_key", "batch_id"], "left_semi")
 
     def publish(self, table: str, path: str) -> None:
         """Lay a page table out by day alone, in few large files, at another path."""

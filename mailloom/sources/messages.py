@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from email import policy
 from email.message import EmailMessage
@@ -14,6 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from mailloom.functions.html import best_body
 from mailloom.functions.text import clean_header
+from mailloom.session import shared_uri
 
 MESSAGE_GLOB = "*.[eE][mM][lL]"
 OBJECT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -60,11 +62,17 @@ def scan_messages(
     """
     reader = (spark.readStream if streaming else spark.read).format("binaryFile").schema(OBJECT_SCHEMA)
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", MESSAGE_GLOB)
+    if streaming:
+        # Files are new by name, not by date: one that arrives with an old date counts.
+        reader = reader.option("maxFileAge", "36500d")
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     objects = reader.load(root)
-    # The key is what follows the last occurrence of the prefix folder.
-    key = F.concat(F.lit(input_prefix), F.substring_index(F.col("path"), "/" + input_prefix, -1))
+    # The key begins at the first prefix folder below the root; without one the whole rest is below the prefix.
+    base = re.sub("^[^:/]+:/*", "/", shared_uri(spark, root).rstrip("/"))
+    below = F.substring(F.regexp_replace("path", "^[^:/]+:/*", "/"), len(base) + 1, 1 << 30)
+    at = F.locate("/" + input_prefix, below)
+    key = F.when(at > 0, F.substring(below, at + 1, F.lit(1 << 30))).otherwise(F.concat(F.lit(input_prefix.rstrip("/")), below))
     return objects.select(
         key.alias("source_key"),
         "path",

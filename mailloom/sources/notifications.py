@@ -21,9 +21,19 @@ def flatten_events(df: DataFrame, body_col: str = "body", record_col: str | None
     """(bucket, key) of every object named in a queue record, other columns kept.
 
     Test events, text that is not JSON and records without an object are
-    skipped. Where the body is NULL the JSON in `record_col`, if given, is the
+    skipped; for records whose object lacks its bucket or key see `failed_events`. Where the body is NULL the JSON in `record_col`, if given, is the
     record itself.
     """
+    return _objects(df, body_col, record_col).filter("bucket IS NOT NULL AND key IS NOT NULL").drop("named")
+
+
+def failed_events(df: DataFrame, body_col: str = "body", record_col: str | None = None) -> DataFrame:
+    """Records that name an object but not its bucket or key, with an `error`; for quarantine and retry."""
+    objects = _objects(df, body_col, record_col).filter("named AND (bucket IS NULL OR key IS NULL)")
+    return objects.withColumn("error", F.lit("record without bucket or key")).drop("named")
+
+
+def _objects(df: DataFrame, body_col: str, record_col: str | None) -> DataFrame:
     carried = [c for c in df.columns if c not in (body_col, record_col)]
     body = F.from_json(F.col(body_col), BODY_TYPE)
     records = body["Records"]
@@ -34,6 +44,10 @@ def flatten_events(df: DataFrame, body_col: str = "body", record_col: str | None
         records = F.when(F.col(body_col).isNull(), F.array(F.struct(single.alias("s3")))).otherwise(records)
     return (
         df.select(*carried, F.explode(records).alias("r"))
-        .select(*carried, F.col("r.s3.bucket.name").alias("bucket"), decode_key(F.col("r.s3.object.key")).alias("key"))
-        .filter("bucket IS NOT NULL AND key IS NOT NULL")
+        .select(
+            *carried,
+            F.col("r.s3.bucket.name").alias("bucket"),
+            decode_key(F.col("r.s3.object.key")).alias("key"),
+            F.col("r.s3").isNotNull().alias("named"),
+        )
     )

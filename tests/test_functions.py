@@ -97,15 +97,15 @@ def test_keys(spark):
 
 
 def test_identity(spark):
-    def ident(mid, body):
+    def ident(mid, body, chars=None):
         df = spark.createDataFrame([(mid, body)], "m string, b string")
         parts = (F.col("m"), F.lit("A"), F.lit("d"), F.lit("s"), F.col("b"))
-        return df.select(text.identity(*parts)).first()[0]
+        return df.select(text.identity(*parts, chars)).first()[0]
 
     assert ident(" <a@b> ", "x") == "<a@b>"
     assert ident(None, "Hello \t  world") == ident("  ", " hello world ")
-    assert ident(None, "x" * 2000 + "a") == ident(None, "x" * 2000 + "b")
-    assert ident(None, "x" * 1999 + "a") != ident(None, "x" * 1999 + "b")
+    assert ident(None, "x" * 2000 + "a") != ident(None, "x" * 2000 + "b")
+    assert ident(None, "x" * 2000 + "a", 2000) == ident(None, "x" * 2000 + "b", 2000)
 
 
 def python_lines(body: str) -> list[str]:

@@ -219,3 +219,6 @@ def test_forget_clear_and_backfill(spark, source, tmp_path):
     published = spark.read.parquet(str(tmp_path / "by_day"))
     assert rows(published, "output_key") == rows(tables.read("content"), "output_key")
     assert tables.forget(everything=True) == 9 and tables.registry().count() == 0
+    assert run_batch(spark, source, root) == 3
+    keys = [r["output_key"] for r in tables.read("content").collect()]
+    assert len(keys) == len(set(keys)) == 9

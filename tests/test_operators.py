@@ -159,6 +159,9 @@ def test_flatten_events(spark):
     assert rows(notifications.flatten_events(df)) == [
         ("1", "b", "emails/x y.eml"), ("5", "b", "50%off%zz"), ("5", "b", "a b+c"),
     ]
+    broken = spark.createDataFrame([("9", '{"Records": [{"s3": {"bucket": {"name": "b"}}}, {"other": 1}]}')], "id string, body string")
+    assert notifications.flatten_events(broken).count() == 0
+    assert rows(notifications.failed_events(broken), "id", "bucket", "key") == [("9", "b", None)]
     record = json.dumps(json.loads(wrap("k"))["Records"][0])
     direct = spark.createDataFrame([("8", None, record)], "id string, body string, record string")
     assert rows(notifications.flatten_events(direct, "body", "record")) == [("8", "b", "k")]

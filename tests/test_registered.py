@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from mailloom.plans import oracle, queries as registered
 from tests.compare import compare, connect
 from tests.conftest import SF_SMALL
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# Queries of optional parts are tested beside them.
+QUERIES, SQL = registered.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
