@@ -1,4 +1,4 @@
-"""The registered queries of the numbered operators, and SQL for those that SQL can express."""
+"""The registered queries of the numbered operators; `oracle` has SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailloom.llm import byte_bpe, decontamination, licenses, line_crf, repetition, secrets, simhash, suffix_dedup, url_reputation, warc
 from mailloom.llm.common import table
+from mailloom.llm.oracle import oracle_sql
+
+__all__ = ["oracle_sql", "queries", "tokenizer"]
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -77,7 +80,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_suffix_dedup, op2_warc_chunks, op3_repetition_rules, op4_license_scan, op5_decontaminate]
     own += [op6_simhash_groups, op7_line_crf, op8_secret_scan, op9_byte_bpe, op10_url_reputation]
     return {f.__name__: f for f in own}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
