@@ -68,7 +68,7 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            problem = compare(spark, con, name, query, sqls[name], sf_dir)
+            problem = compare(spark, con, name, query, sqls[name], sf_dir) if name in sqls else "no SQL twin"
         except Exception as e:
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         bad += problem is not None
