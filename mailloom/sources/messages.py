@@ -9,7 +9,7 @@ from email.message import EmailMessage
 from email.parser import BytesParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
@@ -20,12 +20,13 @@ from mailloom.session import shared_uri
 MESSAGE_GLOB = "*.[eE][mM][lL]"
 OBJECT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-_PART = pa.struct(
+# A leaf of a message's tree of parts. `text` is set for what can be the body, `data` for what is attached by name.
+_LEAF = pa.struct(
     [
-        ("part_no", pa.int32()),
         ("filename", pa.string()),
         ("content_type", pa.string()),
         ("disposition", pa.string()),
+        ("text", pa.string()),
         ("data", pa.binary()),
         ("error", pa.string()),
     ]
@@ -41,9 +42,7 @@ _HEADERS = {
 _MESSAGE = pa.struct(
     [
         *[(name, pa.string()) for name in _HEADERS],
-        ("plain", pa.string()),
-        ("html", pa.string()),
-        ("parts", pa.list_(_PART)),
+        ("leaves", pa.list_(_LEAF)),
         ("error", pa.string()),
     ]
 )
@@ -82,39 +81,40 @@ def scan_messages(
     )
 
 
-def _header(message: EmailMessage, name: str) -> str | None:
-    value = message[name]
-    return None if value is None else _text(str(value))
+def _clean(value: object) -> str | None:
+    """Text that is valid UTF-8, with undecodable bytes replaced."""
+    return None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")
 
 
-def _text(value: str) -> str:
-    """Text that is valid UTF-8, with undecodable bytes replaced."""
-    return value.encode("utf-8", "replace").decode("utf-8")
+def _leaves(part: EmailMessage) -> Iterator[EmailMessage]:
+    if part.get_content_maintype() != "multipart":
+        yield part
+    elif part.is_multipart():
+        for below in part.iter_parts():
+            yield from _leaves(below)
 
 
-def _body(message: EmailMessage, kind: str) -> str | None:
-    part = message.get_body(preferencelist=(kind,))
-    if part is None:
-        return None
-    content = part.get_content()
-    if isinstance(content, bytes):
-        content = content.decode(part.get_content_charset() or "utf-8", "replace")
-    return _text(content)
+def _payload(part: EmailMessage) -> bytes:
+    """The bytes of a leaf without transfer encoding; of an attached message, its source."""
+    if part.is_multipart():
+        return b"".join(below.as_bytes() for below in part.get_payload())
+    return part.get_payload(decode=True) or b""
 
 
-def _attachment(number: int, part: EmailMessage) -> dict:
-    row: dict = {"part_no": number}
+def _leaf(part: EmailMessage) -> dict:
+    row: dict = {}
     try:
-        row["disposition"] = part.get_content_disposition()
-        name = part.get_filename()
-        row["filename"] = None if name is None else _text(name)
-        row["content_type"] = part.get_content_type()
-        # Inline parts are dropped later, so their bytes are never moved.
-        if (row["disposition"] or "").lower() == "attachment" and name:
-            content = part.get_content()
-            if isinstance(content, EmailMessage):
-                content = content.as_bytes()
-            row["data"] = content.encode("utf-8", "replace") if isinstance(content, str) else content
+        row = {"content_type": part.get_content_type(), "disposition": part.get_content_disposition(), "filename": _clean(part.get_filename())}
+        attached = row["disposition"] == "attachment"
+        if attached and not row["filename"] or not attached and row["content_type"] not in ("text/plain", "text/html"):
+            return row  # never shown, so its bytes are not moved
+        data = _payload(part)
+        if part.get_content_maintype() == "text":
+            text = data.decode(part.get_content_charset() or "utf-8", "replace")
+            if not attached:
+                return row | {"text": _clean(text)}
+            data = text.encode("utf-8", "replace")
+        row["data"] = data
     except Exception as problem:  # keep the mail, report the part
         row["error"] = f"{type(problem).__name__}: {problem}"
     return row
@@ -125,11 +125,7 @@ def _decode_message(raw: bytes | None) -> dict:
         return {"error": "no content"}
     try:
         message = BytesParser(policy=policy.default).parsebytes(raw)
-        row = {column: _header(message, name) for column, name in _HEADERS.items()}
-        row["plain"] = _body(message, "plain")
-        row["html"] = _body(message, "html")
-        row["parts"] = [_attachment(i, p) for i, p in enumerate(message.iter_attachments())]
-        return row
+        return {c: _clean(message[name]) for c, name in _HEADERS.items()} | {"leaves": [_leaf(p) for p in _leaves(message)]}
     except Exception as problem:  # one bad message must not fail the task
         return {"error": f"{type(problem).__name__}: {problem}"}
 
@@ -140,19 +136,36 @@ def _decode_messages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([_decode_message(raw.as_py()) for raw in batch], _MESSAGE)
 
 
+def _first_place(content_type: str) -> Column:
+    """Place of the first leaf of a type that is not attached, from 1; 0 if there is none."""
+    fits = F.transform(
+        "leaves", lambda x: (x["content_type"] == content_type) & ~F.coalesce(x["disposition"] == "attachment", F.lit(False))
+    )
+    return F.coalesce(F.array_position(fits, True), F.lit(0)).cast("int")
+
+
 def parse_messages(objects: DataFrame) -> DataFrame:
     """Decode `content` to headers, body and parts; a bad message gets an `error`.
 
-    The only Python stage of the mail path: MIME is decoded by the standard
-    library in Arrow batches, cleaning and body choice are built-in functions.
+    The only Python stage of the mail path yields headers and leaf parts in Arrow
+    batches; cleaning, body choice and part numbers are built-in functions.
     """
     carried = [c for c in objects.columns if c not in ("content", "path", "length")]
     decoded = objects.select(*carried, _decode_messages(F.col("content")).alias("m"))
-    chosen = best_body(F.col("plain"), F.col("html"))
+    plain, html = _first_place("text/plain"), _first_place("text/html")
+    at = lambda place: F.when(F.col(place) > 0, F.try_element_at("leaves", F.col(place)))
+    others = F.filter("leaves", lambda _, i: (i + 1 != F.col("plain_at")) & (i + 1 != F.col("html_at")))
+    part = lambda x, i: F.struct(
+        i.cast("int").alias("part_no"), *(x[c].alias(c) for c in ("filename", "content_type", "disposition", "data", "error"))
+    )
     return (
         decoded.select(*carried, "m.*")
         .withColumns({c: clean_header(F.col(c)) for c in _HEADERS})
-        .withColumn("chosen", chosen)
+        .withColumns({"plain_at": plain, "html_at": html})
+        .withColumn("chosen", best_body(at("plain_at")["text"], at("html_at")["text"]))
+        .withColumn("parts", F.transform(others, part))
+        # A body that cannot be read is the message's error; other parts keep theirs.
+        .withColumn("error", F.coalesce("error", at("plain_at")["error"], at("html_at")["error"]))
         .select(
             *carried,
             *_HEADERS,
