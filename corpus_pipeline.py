@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailloom.llm import byte_bpe, decontamination, line_crf, secrets, simhash
+from mailloom.llm import byte_bpe, decontamination, line_crf, secrets, similar
 from mailloom.llm.common import stored, table
 from mailloom.llm.queries import tokenizer
 
@@ -26,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group."""
-    return simhash.keep_one(docs)
+    """Keep the document with the smallest doc_id of each group of similar texts."""
+    return similar.keep_one_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,26 @@ SHINGLE, RADIUS, SEED = 3, 3, 42
 TREE = 2048
 
 
+def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Bits set in over half of each text's hashes; the hashes of texts follow one another, `counts` of each."""
+    out = np.zeros(len(counts), np.uint64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        values = hashes.astype("<u8")
+        sums = np.zeros((len(full), 64), np.int64)
+        firsts = np.cumsum(counts[full]) - counts[full]
+        part = 1 << 16
+        for a in range(0, len(values), part):  # bounded for a very long text
+            b = min(a + part, len(values))
+            bits = np.unpackbits(values[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            k = int(np.searchsorted(firsts, a, "right")) - 1
+            cuts = np.concatenate([[a], firsts[k + 1 : np.searchsorted(firsts, b)]])
+            sums[k : k + len(cuts)] += np.add.reduceat(bits, cuts - a, axis=0, dtype=np.int64)
+        most = 2 * sums > counts[full][:, None]
+        out[full] = np.packbits(most, axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
 def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
     """Majority fingerprints of the texts' word shingles."""
     hashes: list[int] = []
@@ -54,22 +74,7 @@ def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarr
         starts = (ends - sizes)[: len(words) - shingle + 1].tolist()
         hashes += [hashed(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
         counts[k] = len(starts)
-    out = np.zeros(len(texts), np.uint64)
-    full = np.flatnonzero(counts)
-    if len(full):
-        values = np.array(hashes, "<u8")
-        sums = np.zeros((len(full), 64), np.int64)
-        firsts = np.cumsum(counts[full]) - counts[full]
-        part = 1 << 16
-        for a in range(0, len(values), part):  # bounded for a very long text
-            b = min(a + part, len(values))
-            bits = np.unpackbits(values[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            k = int(np.searchsorted(firsts, a, "right")) - 1
-            cuts = np.concatenate([[a], firsts[k + 1 : np.searchsorted(firsts, b)]])
-            sums[k : k + len(cuts)] += np.add.reduceat(bits, cuts - a, axis=0, dtype=np.int64)
-        most = 2 * sums > counts[full][:, None]
-        out[full] = np.packbits(most, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    return majority(np.array(hashes, np.uint64), counts)
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,17 +102,19 @@ def submasks(fixed: int, radius: int) -> tuple[int, ...]:
 
 
 def _deal(rows: DataFrame, radius: int) -> DataFrame:
-    """mask and fp: a row for each of radius + 1 submasks, with the shard (mask, value)."""
+    """A row for each of radius + 1 submasks of mask, with the shard (mask, value), fp and, if there is one, node."""
+    kept = [c for c in ("fp", "node") if c in rows.columns]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mask, fp = (batch.column(c).to_numpy() for c in ("mask", "fp"))
             subs = {m: np.array(submasks(m & (1 << 64) - 1, radius), np.uint64).view(np.int64) for m in np.unique(mask).tolist()}
             masks = np.array([subs[m] for m in mask.tolist()], np.int64).reshape(-1, radius + 1)
-            fps = np.repeat(fp, radius + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(masks.ravel()), pa.array(masks.ravel() & fps), pa.array(fps)], names=["mask", "value", "fp"])
+            values = masks.ravel() & np.repeat(fp, radius + 1)
+            carried = [pa.array(np.repeat(batch.column(c).to_numpy(), radius + 1)) for c in kept]
+            yield pa.RecordBatch.from_arrays([pa.array(masks.ravel()), pa.array(values), *carried], names=["mask", "value", *kept])
 
-    return rows.select("mask", "fp").mapInArrow(task, "mask long, value long, fp long")
+    return rows.select("mask", *kept).mapInArrow(task, "mask long, value long, " + ", ".join(f"{c} long" for c in kept))
 
 
 class BKTree:

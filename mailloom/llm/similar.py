@@ -1,0 +1,199 @@
+"""Near-duplicates by similarity: SimHash candidates from BK-trees, decided by the texts' five-word shingles.
+
+The links of `simhash` (three-word shingles, 3 bits) join copies that differ in a few words of many. Texts that share 0.8
+of their five-word shingles mostly lie farther apart, and a radius that reached them there would need too many bands.
+Their sets of words differ less, so here a text has a fingerprint of its distinct words under each of `SEEDS` mixings, and
+two texts are candidates if any of these differ in at most `RADIUS` bits; the trees find every such pair. Sets of words
+also bring unlike texts together, so a candidate must pass two checks:
+
+1. In the tree, sketches (the `SKETCH` smallest shingle hashes, which is all of them in a short text) estimate the
+   similarity. A shard hands on a maximum spanning forest of what is above `FLOOR`, three standard errors below 0.8,
+   not the pairs of a group; cut at any similarity, such a forest has the components of all its pairs.
+2. The links left are compared on their whole texts. Only those that reach the threshold count.
+
+Shards are dealt as in `simhash`. `keep_one` there goes first and leaves one text of each group of close copies, so that
+large groups do not reach the trees. One case is not split further: very many texts of the very same fingerprint which
+that pass did not join (the same words in other orders).
+
+Defined cases: words end at ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; texts
+without words (null too) are alike; null doc_ids are never the smallest unless alone; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
+
+from mailloom.llm.common import mixed, per_slab, stored
+from mailloom.llm.simhash import TREE, BKTree, _deal, components, keep_one, majority
+
+SHINGLE, SIMILARITY, RADIUS, SEEDS, SKETCH, FLOOR = 5, 0.8, 5, 3, 64, 0.65
+
+
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """The distinct 64-bit hashes of a text's word shingles, sorted."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-1]])[: max(1, len(words) - size + 1)]
+    stops = ends[min(size, len(words)) - 1 :] - 1
+    hashed = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((hashed(joined[a:b]) for a, b in zip(starts.tolist(), stops.tolist())), np.uint64, len(starts)))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def estimate(a: frozenset[int], b: frozenset[int], size: int = SKETCH) -> float:
+    """Similarity from the smallest hashes: the part of the union's smallest that both hold."""
+    if not a and not b:
+        return 1.0
+    smallest = sorted(a | b)[:size]
+    both = a & b
+    return sum(x in both for x in smallest) / len(smallest)
+
+
+def fingerprints_of(texts: list[str | None], seeds: int = SEEDS) -> np.ndarray:
+    """Majority fingerprints of the texts' distinct words, a column for each mixing."""
+    words = [list(dict.fromkeys(t.encode().lower().split())) if t else [] for t in texts]
+    counts = np.array([len(w) for w in words], np.int64)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(x) for w in words for x in w), np.uint64, int(counts.sum()))
+    return np.stack([majority(mixed(hashes ^ mixed(np.array([k + 1], np.uint64))), counts) for k in range(seeds)], axis=1)
+
+
+def node_of(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def profiles(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, node (a hash of the text), size (its bytes), fps and sketch of every document."""
+
+    def work(slab: pa.RecordBatch) -> pa.RecordBatch:
+        texts = slab.column("text").to_pylist()
+        fps = fingerprints_of(texts).view(np.int64)
+        # The high halves of hashes, of which sketches hold the smallest.
+        sketches = [np.unique(shingles(t) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes() for t in texts]
+        return pa.RecordBatch.from_arrays(
+            [slab.column("doc_id"), slab.column("node"), slab.column("size"), pa.array(fps.tolist(), pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            names=["doc_id", "node", "size", "fps", "sketch"],
+        )
+
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), node_of(text).alias("node"), size.alias("size"), F.col(text).alias("text"))
+    return per_slab(rows, "text", "doc_id long, node long, size long, fps array<long>, sketch binary", work)
+
+
+def forest(fps: list[int], nodes: list[int], sketches: list[bytes], radius: int, floor: float) -> list[tuple[int, int]]:
+    """A maximum spanning forest of the pairs of nodes that a tree finds and whose estimate reaches the floor."""
+    tree, at, found = BKTree(), {}, []
+    sets = [frozenset(np.frombuffer(s, "<u4").tolist()) for s in sketches]
+    for i, fp in enumerate(fps):
+        for near in tree.near(fp, radius):
+            for j in at[near]:
+                alike = estimate(sets[i], sets[j])
+                if alike >= floor and nodes[i] != nodes[j]:
+                    found.append((-alike, min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+        if fp not in at:
+            tree.add(fp)
+        at.setdefault(fp, []).append(i)
+    parent = {n: n for n in nodes}
+
+    def top(n: int) -> int:
+        while parent[n] != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    out = []
+    for _, a, b in sorted(found):
+        x, y = top(a), top(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
+
+
+def _trees(shards: DataFrame, radius: int, floor: float) -> DataFrame:
+    """Links (a, b), a < b, of all shards (mask, value, fp, node, sketch)."""
+    unsigned = (1 << 64) - 1
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, ([], [], [])
+
+        def rows() -> pa.RecordBatch:
+            links = forest(*held, radius, floor) if len(held[0]) > 1 else []
+            pairs = np.array(links, np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+        for batch in batches:
+            for *k, fp, node, sketch in zip(*(batch.column(c).to_pylist() for c in ("mask", "value", "fp", "node", "sketch"))):
+                if k != key:
+                    if (out := rows()).num_rows:
+                        yield out
+                    key, held = k, ([], [], [])
+                held[0].append(fp & unsigned)
+                held[1].append(node)
+                held[2].append(sketch)
+        yield rows()
+
+    dealt = shards.select("mask", "value", "fp", "node", "sketch").repartition("mask", "value").sortWithinPartitions("mask", "value")
+    return dealt.mapInArrow(task, "a long, b long")
+
+
+def candidates(contents: DataFrame, radius: int = RADIUS, floor: float = FLOOR, most: int = TREE) -> DataFrame:
+    """Links (a, b) between nodes of contents (node, fps, sketch), node distinct."""
+    # Fingerprints of different mixings share the trees; if two of them are near, that is one more candidate.
+    dealt = contents.select(F.lit(0).cast("long").alias("mask"), F.explode("fps").alias("fp"), "node")
+    sketches = contents.select("node", "sketch")
+    found = None
+    while True:
+        rows = stored(_deal(dealt, radius), "similar-shards")
+        sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
+        sized = rows.join(sizes, ["mask", "value"])
+        # A shard whose free bits are few is small by itself.
+        fits = (F.col("n") <= most) | (F.bit_count("mask") >= 54)
+        own = _trees(sized.where(fits).join(sketches, "node"), radius, floor)
+        found = own if found is None else found.unionByName(own)
+        dealt = sized.where(~fits).select("mask", "fp", "node")
+        if dealt.isEmpty():
+            return stored(found.distinct(), "similar-candidates")
+
+
+def verified(links: DataFrame, documents: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The links whose whole texts are as similar as asked."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            alike = pa.array([jaccard(shingles(x), shingles(y)) >= similarity for x, y in pairs], pa.bool_())
+            yield batch.select(["a", "b"]).filter(alike)
+
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = documents.select(node_of(text).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = stored(texts.join(ends, "node", "left_semi").dropDuplicates(["node"]), "similar-texts")
+    both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(task, "a long, b long")
+
+
+def keep_one_similar(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, all columns, without those that a similar one with a smaller doc_id stands for."""
+    rest = stored(keep_one(documents), "similar-rest")
+    known = profiles(rest, doc, text).groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("fps").alias("fps"), F.first("sketch").alias("sketch")
+    )
+    contents = stored(known, "similar-contents")
+    roots = components(verified(candidates(contents), rest, text))
+    member = roots.join(contents.select("node", "first", "size"), "node")
+    own = F.struct(F.col("first").isNull().alias("unnamed"), F.col("first"), F.col("node"))
+    stays = member.groupBy("root").agg(F.min(own).alias("stays"))
+    gone = member.join(stays, "root").where("node <> stays.node").select(F.col("node").alias("gone_node"), F.col("size").alias("gone_size"))
+    same = (node_of(text) == gone["gone_node"]) & (F.coalesce(F.octet_length(text), F.lit(0)) == gone["gone_size"])
+    return rest.join(gone, same, "left_anti")

@@ -1,0 +1,66 @@
+"""The similarity stage against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+from mailloom.llm import similar
+
+SCHEMA = "doc_id long, text string, gone_node string, node string"
+
+
+def _plain(a, b):
+    """Jaccard similarity of five-word shingles."""
+
+    def sets(text):
+        words = (text or "").split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    x, y = sets(a), sets(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def _changed(rng, text, n):
+    words = text.split()
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(8)
+    base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(300)) for _ in range(40)]
+    near = [_changed(rng, t, rng.choice((1, 3, 5))) for t in base[:30]]
+    far = [" ".join(t.split()[:100] + f"x{k} y{k} z{k}".split() * 60) for k, t in enumerate(base[30:])]
+    odd = [None, "", " \n", "one two", "one  two", "ONE two", "one three", base[0], base[0].upper()]
+    texts = base + near + far + odd
+    rows = [(i if i else None, t, "g", "n") for i, t in enumerate(texts)]
+    rows.append((99, texts[99 % len(texts)], "g", "n"))
+    kept = [(r["doc_id"], r["text"]) for r in similar.keep_one_similar(spark.createDataFrame(rows, SCHEMA)).collect()]
+    pairs = [(i, 40 + i) for i in range(30) if _plain(base[i], near[i]) >= 0.8]
+    stays = {t for _, t in kept}
+    both = [p for p in pairs if texts[p[0]] in stays and texts[p[1]] in stays]
+    assert len(pairs) >= 20 and len(both) <= 0.1 * len(pairs)
+    assert set(far) <= stays and set(base[30:]) <= stays
+    assert all(t in stays or any(t != u and _plain(t, u) >= 0.8 for u in texts) for t in base + near)
+    assert len([t for t in stays if not (t or "").split()]) == 1 and "one three" in stays
+    assert len(stays & {"one two", "one  two", "ONE two"}) == 1
+
+
+def test_empty(spark):
+    found = similar.keep_one_similar(spark.createDataFrame([], SCHEMA))
+    assert found.columns == ["doc_id", "text", "gone_node", "node"] and found.count() == 0
+
+
+def test_split_shards_keep_their_links(spark):
+    """Trees so small that most shards are dealt again give the links of one tree."""
+    rng = random.Random(9)
+    base = [" ".join(f"w{rng.randrange(200)}" for _ in range(80)) for _ in range(12)]
+    texts = base + [_changed(rng, t, 1) for t in base for _ in range(6)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    contents = similar.profiles(df).dropDuplicates(["node"])
+
+    def groups(most):
+        return {(r["node"], r["root"]) for r in similar.components(similar.candidates(contents, most=most)).collect()}
+
+    assert groups(8) == groups(100_000) != set()
