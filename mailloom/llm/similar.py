@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailloom.llm.common import mixed, per_slab, stored
 from mailloom.llm.simhash import TREE, BKTree, _deal, components, keep_one, majority
 
-SHINGLE, SIMILARITY, RADIUS, SEEDS, SKETCH, FLOOR = 5, 0.8, 5, 3, 64, 0.65
+SHINGLE, SIMILARITY, RADIUS, SEEDS, SKETCH, FLOOR = 5, 0.8, 5, 3, 24, 0.55
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
