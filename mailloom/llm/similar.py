@@ -11,9 +11,13 @@ also bring unlike texts together, so a candidate must pass two checks:
    not the pairs of a group; cut at any similarity, such a forest has the components of all its pairs.
 2. The links left are compared on their whole texts. Only those that reach the threshold count.
 
-Shards are dealt as in `simhash`. `keep_one` there goes first and leaves one text of each group of close copies, so that
-large groups do not reach the trees. One case is not split further: very many texts of the very same fingerprint which
-that pass did not join (the same words in other orders).
+Large groups of close copies do not reach the trees: the links of `simhash` give each of their texts one representative,
+and a text that is as similar to it as asked, by whole texts, is settled. What is not goes to the trees like any other.
+Shards are dealt as in `simhash`. One case is not split further: very many texts of the very same fingerprint which are
+unlike their representative (the same words in other orders).
+
+Only hashes and sketches are stored and joined. Texts move to be compared, each once per link and a representative once
+per `HUB` of its links, and once more when the rows that go are taken from the documents.
 
 Defined cases: words end at ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; texts
 without words (null too) are alike; null doc_ids are never the smallest unless alone; an empty table gives no rows.
@@ -28,10 +32,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailloom.llm import simhash
 from mailloom.llm.common import mixed, per_slab, stored
-from mailloom.llm.simhash import TREE, BKTree, _deal, components, keep_one, majority
+from mailloom.llm.simhash import TREE, BKTree, _deal, components, majority
 
 SHINGLE, SIMILARITY, RADIUS, SEEDS, SKETCH, FLOOR = 5, 0.8, 5, 3, 24, 0.55
+#: Links that are compared with one copy of the text they share.
+HUB = 256
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -74,21 +81,21 @@ def node_of(text: str) -> Column:
 
 
 def profiles(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, node (a hash of the text), size (its bytes), fps and sketch of every document."""
+    """doc_id, node (a hash of the text), fp (its SimHash), fps and sketch of every document."""
 
     def work(slab: pa.RecordBatch) -> pa.RecordBatch:
         texts = slab.column("text").to_pylist()
+        fp = simhash.fingerprints_of(texts).view(np.int64)
         fps = fingerprints_of(texts).view(np.int64)
         # The high halves of hashes, of which sketches hold the smallest.
         sketches = [np.unique(shingles(t) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes() for t in texts]
         return pa.RecordBatch.from_arrays(
-            [slab.column("doc_id"), slab.column("node"), slab.column("size"), pa.array(fps.tolist(), pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            names=["doc_id", "node", "size", "fps", "sketch"],
+            [slab.column("doc_id"), slab.column("node"), pa.array(fp), pa.array(fps.tolist(), pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            names=["doc_id", "node", "fp", "fps", "sketch"],
         )
 
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), node_of(text).alias("node"), size.alias("size"), F.col(text).alias("text"))
-    return per_slab(rows, "text", "doc_id long, node long, size long, fps array<long>, sketch binary", work)
+    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), node_of(text).alias("node"), F.col(text).alias("text"))
+    return per_slab(rows, "text", "doc_id long, node long, fp long, fps array<long>, sketch binary", work)
 
 
 def forest(fps: list[int], nodes: list[int], sketches: list[bytes], radius: int, floor: float) -> list[tuple[int, int]]:
@@ -166,34 +173,68 @@ def candidates(contents: DataFrame, radius: int = RADIUS, floor: float = FLOOR,
             return stored(found.distinct(), "similar-candidates")
 
 
-def verified(links: DataFrame, documents: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The links whose whole texts are as similar as asked."""
+def verified(links: DataFrame, contents: DataFrame, documents: DataFrame, similarity: float = SIMILARITY, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The links (a, b) between contents (node, first) whose whole texts are as similar as asked."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, hub = None, np.zeros(0, np.uint64)
         for batch in batches:
-            pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-            alike = pa.array([jaccard(shingles(x), shingles(y)) >= similarity for x, y in pairs], pa.bool_())
-            yield batch.select(["a", "b"]).filter(alike)
-
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = documents.select(node_of(text).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = stored(texts.join(ends, "node", "left_semi").dropDuplicates(["node"]), "similar-texts")
-    both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(task, "a long, b long")
+            found = []
+            for a, part, b, own in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b", "text"))):
+                if b is None:
+                    if (a, part) != key:
+                        key, hub = (a, part), shingles(own)
+                elif jaccard(hub, shingles(own)) >= similarity:
+                    found.append((a, b))
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    hubs = links.groupBy("a").agg(F.ceil(F.count("*") / HUB).alias("parts"))
+    members = links.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b", F.col("b").alias("node"))
+    own = hubs.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), F.col("a").alias("node"))
+    # Stored, so that the planner knows whether this side is small enough to be broadcast.
+    asked = stored(members.unionByName(own).join(contents.select("node", "first"), "node"), "similar-asked")
+    texts = documents.select(F.col(doc).cast("long").alias("doc_id"), node_of(text).alias("text_node"), F.col(text).alias("text"))
+    rows = texts.join(asked, (texts["text_node"] == asked["node"]) & texts["doc_id"].eqNullSafe(asked["first"]))
+    dealt = rows.select("a", "part", "b", "text").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return dealt.mapInArrow(task, "a long, b long").distinct()
+
+
+def close_copies(contents: DataFrame) -> DataFrame:
+    """Links (a, b) of contents (node, first, fp) from the representative of each class of SimHash links to its others."""
+    roots = components(simhash.links(contents.select("fp").distinct()))
+    classed = contents.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("node", "first", F.coalesce("root", "fp").alias("root"))
+    classed = stored(classed, "similar-classes")
+    first = classed.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("own"), F.count("*").alias("n")).where("n > 1")
+    return classed.join(first.select("root", F.col("own.node").alias("a")), "root").where("node <> a").select("a", F.col("node").alias("b"))
 
 
 def keep_one_similar(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, without those that a similar one with a smaller doc_id stands for."""
-    rest = stored(keep_one(documents), "similar-rest")
-    known = profiles(rest, doc, text).groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("fps").alias("fps"), F.first("sketch").alias("sketch")
+    """The documents, all columns, without those that a similar one with a smaller doc_id stands for.
+
+    Rows that share doc_id and text are one document, of which one row stays.
+    """
+    known = stored(profiles(documents, doc, text), "similar-profiles")
+    contents = stored(
+        known.groupBy("node").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("fp", "fps", "sketch"))), "similar-contents"
     )
-    contents = stored(known, "similar-contents")
-    roots = components(verified(candidates(contents), rest, text))
-    member = roots.join(contents.select("node", "first", "size"), "node")
-    own = F.struct(F.col("first").isNull().alias("unnamed"), F.col("first"), F.col("node"))
-    stays = member.groupBy("root").agg(F.min(own).alias("stays"))
-    gone = member.join(stays, "root").where("node <> stays.node").select(F.col("node").alias("gone_node"), F.col("size").alias("gone_size"))
-    same = (node_of(text) == gone["gone_node"]) & (F.coalesce(F.octet_length(text), F.lit(0)) == gone["gone_size"])
-    return rest.join(gone, same, "left_anti")
+    settled = stored(verified(close_copies(contents), contents, documents, doc=doc, text=text), "similar-settled")
+    rest = contents.join(settled.select(F.col("b").alias("node")), "node", "left_anti")
+    further = verified(candidates(rest), contents, documents, doc=doc, text=text)
+    roots = components(settled.unionByName(further))
+    member = roots.join(contents.select("node", "first"), "node")
+    stays = member.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("stays"))
+    gone = member.join(stays, "root").where("node <> stays.node").select("node", F.lit(True).alias("similar"))
+
+    # Rows of one doc_id and text are told apart by nothing: those that are left several times are one row.
+    judged = known.select("doc_id", "node").join(contents.select("node", "first"), "node").join(gone, "node", "left")
+    judged = judged.withColumn("goes", F.col("similar").isNotNull() | ~F.col("doc_id").eqNullSafe(F.col("first")))
+    out = judged.groupBy("doc_id", "node").agg(F.first("goes").alias("goes"), F.count("*").alias("n")).where("goes or n > 1")
+    out = stored(out.select(F.col("doc_id").alias("out_id"), F.col("node").alias("out_node"), "goes"), "similar-out")
+    several = out.where("not goes")
+
+    def same(listed: DataFrame) -> Column:
+        return (node_of(text) == listed["out_node"]) & F.col(doc).cast("long").eqNullSafe(listed["out_id"])
+
+    single = documents.join(out, same(out), "left_anti")
+    return single.unionByName(documents.join(several, same(several), "left_semi").dropDuplicates([doc, text]))
