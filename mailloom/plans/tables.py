@@ -94,19 +94,23 @@ class Tables:
         last = done.agg(F.max("batch_id")).first()[0]
         return 0 if last is None else last + 1
 
-    def forget(self, everything: bool = False, keys: list[str] | None = None, prefix: str | None = None) -> int:
-        """Remove identities from the registry so their mails are processed again."""
+    def forget(self, everything: bool = False, keys: list[str] | None = None, prefix: str | None = None, dry_run: bool = False) -> int:
+        """Remove identities from the registry so their mails are processed again; a dry run only counts them."""
         known = self.registry()
         if known is None:
             return 0
         selected = select_identities(known, everything, keys, prefix).distinct()
         doomed = known.join(selected, "identity", "left_semi")
+        if dry_run:
+            return doomed.count()
         return self._remove("registry", known, doomed, "identity", ["batch_id"])
 
-    def clear(self, table: str, output_prefix: str, prefix: str | None = None, force: bool = False) -> int:
-        """Remove pages whose key starts with a prefix inside the output root."""
+    def clear(self, table: str, output_prefix: str, prefix: str | None = None, force: bool = False, dry_run: bool = False) -> int:
+        """Remove pages whose key starts with a prefix inside the output root; a dry run only counts them."""
         hit: Column = F.col("output_key").startswith(check_prefix(prefix, output_prefix, force))
         pages = self.read(table)
+        if dry_run:
+            return pages.filter(hit).count()
         return self._remove(table, pages, pages.filter(hit), "output_key", ["batch_id", "send_date"])
 
     def _remove(self, table: str, rows: DataFrame, doomed: DataFrame, key: str, by: list[str]) -> int:

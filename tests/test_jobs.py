@@ -206,6 +206,10 @@ def test_forget_clear_and_backfill(spark, source, tmp_path):
     assert run_batch(spark, source, root) == 1
     before = rows(tables.read("content"), "identity")
     assert len(before) == 9
+    known, pages = tables.registry().count(), tables.read("content").count()
+    assert tables.forget(prefix="emails/2026-07-27/att", dry_run=True) == 1
+    assert tables.clear("content", "emails-extracted/", "emails-extracted/content/2026-07-15/", dry_run=True) == 1
+    assert (tables.registry().count(), tables.read("content").count()) == (known, pages)
     assert tables.forget(prefix="emails/2026-07-27/att") == 1
     assert tables.forget(keys=["<direct-1@example.com>", "unknown"]) == 1
     assert tables.registry().count() == 7
