@@ -1,23 +1,25 @@
-"""Near-duplicates by similarity: SimHash candidates from BK-trees, decided by the texts' five-word shingles.
+"""Near-duplicates by similarity: an exact set-similarity join of the texts' five-word shingles.
 
-The links of `simhash` (three-word shingles, 3 bits) join copies that differ in a few words of many. Texts that share 0.8
-of their five-word shingles mostly lie farther apart, and a radius that reached them there would need too many bands.
-Their sets of words differ less, so here a text has a fingerprint of its distinct words under each of `SEEDS` mixings, and
-two texts are candidates if any of these differ in at most `RADIUS` bits; the trees find every such pair. Sets of words
-also bring unlike texts together, so a candidate must pass two checks:
+Two texts are linked if the sets of their shingles have a Jaccard similarity of at least `SIMILARITY`, and components of
+links are groups. Every link between texts of different classes is found, wherever the texts differ:
 
-1. In the tree, sketches (the `SKETCH` smallest shingle hashes, which is all of them in a short text) estimate the
-   similarity. A shard hands on a maximum spanning forest of what is above `FLOOR`, three standard errors below 0.8,
-   not the pairs of a group; cut at any similarity, such a forest has the components of all its pairs.
-2. The links left are compared on their whole texts. Only those that reach the threshold count.
+1. Prefix filter. In one order of all shingles, a text of n keeps its first n - ceil(0.8 n) + 1; texts that are similar
+   enough share one of these. Any order will do. Here shingles that are common in a sample of texts come last, by their
+   counts, so that boilerplate seldom stands in a prefix; the sample decides the work, not what is found.
+2. Length and count filters. A pair whose sizes differ too much is left out, and so is one whose shared prefix shingles
+   and all that can follow them are too few.
+3. Whole texts are compared. No link counts without that.
 
-Large groups of close copies do not reach the trees: the links of `simhash` give each of their texts one representative,
-and a text that is as similar to it as asked, by whole texts, is settled. What is not goes to the trees like any other.
-Shards are dealt as in `simhash`. One case is not split further: very many texts of the very same fingerprint which are
-unlike their representative (the same words in other orders).
+Pairs inside a class of texts that are linked already are not made. Classes come from two rounds before the join: the
+links of `simhash` give close copies one representative each, and then each prefix shingle gives its texts one centre;
+both are compared on whole texts. Members of a class still meet all texts outside it.
 
-Only hashes and sketches are stored and joined. Texts move to be compared, each once per link and a representative once
-per `HUB` of its links, and once more when the rows that go are taken from the documents.
+A shingle that many texts hold is dealt to blocks of `MOST` texts, and each pair of blocks meets in a group of its own:
+rows and memory of a group are bounded, and no pair is lost. Unlike texts that share a fifth of their shingles in large
+numbers still cost time with the square of their number, spread over these groups.
+
+Only hashes are stored and joined. Texts move to be compared, each once per link and a representative once per `HUB` of
+its links, and once more when the rows that go are taken from the documents.
 
 Defined cases: words end at ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; texts
 without words (null too) are alike; null doc_ids are never the smallest unless alone; an empty table gives no rows.
@@ -33,10 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailloom.llm import simhash
-from mailloom.llm.common import mixed, per_slab, stored
-from mailloom.llm.simhash import TREE, BKTree, _deal, components, majority
-
-SHINGLE, SIMILARITY, RADIUS, SEEDS, SKETCH, FLOOR = 5, 0.8, 5, 3, 24, 0.55
+from mailloom.llm.common import per_slab, stored
+from mailloom.llm.simhash import components
+
+SHINGLE, SIMILARITY = 5, 0.8
+#: Texts in the sample, and how many of its common shingles go to the tasks.
+SAMPLE, COMMON = 20_000, 1 << 17
+#: Texts of a shingle in a block.
+MOST = 512
 #: Links that are compared with one copy of the text they share.
 HUB = 256
 
@@ -59,118 +65,137 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def estimate(a: frozenset[int], b: frozenset[int], size: int = SKETCH) -> float:
-    """Similarity from the smallest hashes: the part of the union's smallest that both hold."""
-    if not a and not b:
-        return 1.0
-    smallest = sorted(a | b)[:size]
-    both = a & b
-    return sum(x in both for x in smallest) / len(smallest)
-
-
-def fingerprints_of(texts: list[str | None], seeds: int = SEEDS) -> np.ndarray:
-    """Majority fingerprints of the texts' distinct words, a column for each mixing."""
-    words = [list(dict.fromkeys(t.encode().lower().split())) if t else [] for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(x) for w in words for x in w), np.uint64, int(counts.sum()))
-    return np.stack([majority(mixed(hashes ^ mixed(np.array([k + 1], np.uint64))), counts) for k in range(seeds)], axis=1)
+def least_of(n: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """How many of n shingles a similar text shares at least."""
+    return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
 def node_of(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def common_shingles(documents: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """The shingles, sorted, that most texts of a sample hold, and their counts."""
+    share = min(1.0, SAMPLE / max(1, documents.count()))
+    sample = documents.select(F.col(text).alias("text")).where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+
+    def work(slab: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(t) for t in slab.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["s"])
+
+    counts = per_slab(sample.distinct(), "text", "s long", work).groupBy("s").agg(F.count("*").alias("n")).where("n > 2")
+    rows = counts.orderBy(F.desc("n"), "s").limit(COMMON).toArrow()
+    s, n = (rows.column(c).to_numpy() for c in ("s", "n"))
+    order = np.argsort(s.view(np.uint64))
+    return s.view(np.uint64)[order], n[order]
+
+
+def prefix_of(found: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first of a text's shingles in the order of counts and hashes, one of which a similar text has among its own."""
+    if not len(found):
+        return np.zeros(1, np.uint64)  # texts without words meet here
+    n = np.zeros(len(found), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+        n = np.where(common[at] == found, counts[at], 0)
+    order = np.argsort(n, kind="stable")
+    return found[order[: len(found) - int(least_of(len(found), similarity)) + 1]]
+
+
 def profiles(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, node (a hash of the text), fp (its SimHash), fps and sketch of every document."""
+    """doc_id, node (a hash of the text), fp (its SimHash), size (its shingles) and prefix of every document."""
+    known = documents.sparkSession.sparkContext.broadcast(common_shingles(documents, text))
 
     def work(slab: pa.RecordBatch) -> pa.RecordBatch:
         texts = slab.column("text").to_pylist()
         fp = simhash.fingerprints_of(texts).view(np.int64)
-        fps = fingerprints_of(texts).view(np.int64)
-        # The high halves of hashes, of which sketches hold the smallest.
-        sketches = [np.unique(shingles(t) >> np.uint64(32))[:SKETCH].astype("<u4").tobytes() for t in texts]
+        sets = [shingles(t) for t in texts]
+        prefixes = [prefix_of(x, *known.value).view(np.int64) for x in sets]
         return pa.RecordBatch.from_arrays(
-            [slab.column("doc_id"), slab.column("node"), pa.array(fp), pa.array(fps.tolist(), pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            names=["doc_id", "node", "fp", "fps", "sketch"],
+            [slab.column("doc_id"), slab.column("node"), pa.array(fp), pa.array([max(1, len(x)) for x in sets], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+            names=["doc_id", "node", "fp", "size", "prefix"],
         )
 
     rows = documents.select(F.col(doc).cast("long").alias("doc_id"), node_of(text).alias("node"), F.col(text).alias("text"))
-    return per_slab(rows, "text", "doc_id long, node long, fp long, fps array<long>, sketch binary", work)
-
-
-def forest(fps: list[int], nodes: list[int], sketches: list[bytes], radius: int, floor: float) -> list[tuple[int, int]]:
-    """A maximum spanning forest of the pairs of nodes that a tree finds and whose estimate reaches the floor."""
-    tree, at, found = BKTree(), {}, []
-    sets = [frozenset(np.frombuffer(s, "<u4").tolist()) for s in sketches]
-    for i, fp in enumerate(fps):
-        for near in tree.near(fp, radius):
-            for j in at[near]:
-                alike = estimate(sets[i], sets[j])
-                if alike >= floor and nodes[i] != nodes[j]:
-                    found.append((-alike, min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
-        if fp not in at:
-            tree.add(fp)
-        at.setdefault(fp, []).append(i)
-    parent = {n: n for n in nodes}
-
-    def top(n: int) -> int:
-        while parent[n] != n:
-            parent[n] = n = parent[parent[n]]
-        return n
-
-    out = []
-    for _, a, b in sorted(found):
-        x, y = top(a), top(b)
-        if x != y:
-            parent[x] = y
-            out.append((a, b))
-    return out
-
-
-def _trees(shards: DataFrame, radius: int, floor: float) -> DataFrame:
-    """Links (a, b), a < b, of all shards (mask, value, fp, node, sketch)."""
-    unsigned = (1 << 64) - 1
+    return per_slab(rows, "text", "doc_id long, node long, fp long, size long, prefix array<long>", work)
+
+
+def _prefixes(contents: DataFrame) -> DataFrame:
+    own = F.coalesce("class", "node") if "class" in contents.columns else F.col("node")
+    return contents.select("node", own.alias("class"), "size", F.explode("prefix").alias("s"))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, ([], [], [])
 
-        def rows() -> pa.RecordBatch:
-            links = forest(*held, radius, floor) if len(held[0]) > 1 else []
-            pairs = np.array(links, np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+def _needed(n: Column, m: Column, similarity: float) -> Column:
+    """How many prefix shingles two similar texts of n and m share at least: the others they share follow one of the prefixes."""
+    least = lambda x: F.ceil(F.lit(similarity) * x - 1e-9)
+    return F.greatest(F.lit(1), F.ceil(F.lit(similarity / (1 + similarity)) * (n + m) - 1e-9) - F.greatest(least(n), least(m)) + 1)
+
+
+def _enough(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Of the rows (a, b, n, m), one for each prefix shingle that a and b share, the pairs that share enough."""
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("m").alias("m"))
+    return counted.where(F.col("c") >= _needed(F.col("n"), F.col("m"), similarity)).select("a", "b")
+
+
+def stars(contents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) from the centre of each prefix shingle to its other texts, where they may be similar; no more than one a shingle."""
+    rows = _prefixes(contents)
+    centre = rows.groupBy("s").agg(F.min(F.struct("class", "node", "size")).alias("own"), F.max("class").alias("last")).where("own.class < last")
+    centre = stored(centre.select("s", F.col("own.node").alias("a"), F.col("own.class").alias("of"), F.col("own.size").alias("n")), "similar-centres")
+    met = rows.join(centre, "s").where("class <> of").select("a", F.col("node").alias("b"), "n", F.col("size").alias("m"))
+    return stored(_enough(met.where(F.least("n", "m") >= F.greatest("n", "m") * similarity - 1e-9), similarity), "similar-stars")
+
+
+def candidates(contents: DataFrame, most: int = MOST, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b), a < b, between nodes of contents (node, size, prefix, perhaps class), node distinct.
+
+    Has every pair of different classes that is similar enough.
+    """
+    rows = _prefixes(contents)
+    shared = rows.groupBy("s").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")).where("low < high")
+    shared = stored(shared.select("s", F.ceil(F.col("n") / most).alias("parts")), "similar-shared")
+    met = rows.join(shared, "s").withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.select("s", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "class", "size")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, out, n_out = None, [], [], 0
+
+        def met_in(group: list[tuple]) -> Iterator[np.ndarray]:
+            part, node, kind, size = np.array(group, np.int64).T
+            for i in range(1, len(group)):
+                fits = (kind[:i] != kind[i]) & (size[:i] >= similarity * size[i] - 1e-9)
+                if key[1] != key[2]:
+                    fits &= part[:i] != part[i]
+                if len(j := np.flatnonzero(fits)):
+                    a, b = np.minimum(node[j], node[i]), np.maximum(node[j], node[i])
+                    yield np.stack([a, b, np.where(a == node[i], size[i], size[j]), np.where(a == node[i], size[j], size[i])], axis=1)
+
+        def rows_of(out: list[np.ndarray]) -> pa.RecordBatch:
+            table = np.concatenate([np.zeros((0, 4), np.int64), *out])
+            return pa.RecordBatch.from_arrays([pa.array(table[:, k].copy()) for k in range(4)], names=["a", "b", "n", "m"])
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            nonlocal out, n_out
+            for x in met_in(held) if len(held) > 1 else ():
+                out.append(x)
+                n_out += len(x)
+                if n_out >= 50_000:
+                    yield rows_of(out)
+                    out, n_out = [], 0
 
         for batch in batches:
-            for *k, fp, node, sketch in zip(*(batch.column(c).to_pylist() for c in ("mask", "value", "fp", "node", "sketch"))):
+            for *k, part, node, kind, size in zip(*(batch.column(c).to_pylist() for c in ("s", "low", "high", "part", "node", "class", "size"))):
                 if k != key:
-                    if (out := rows()).num_rows:
-                        yield out
-                    key, held = k, ([], [], [])
-                held[0].append(fp & unsigned)
-                held[1].append(node)
-                held[2].append(sketch)
-        yield rows()
-
-    dealt = shards.select("mask", "value", "fp", "node", "sketch").repartition("mask", "value").sortWithinPartitions("mask", "value")
-    return dealt.mapInArrow(task, "a long, b long")
-
-
-def candidates(contents: DataFrame, radius: int = RADIUS, floor: float = FLOOR, most: int = TREE) -> DataFrame:
-    """Links (a, b) between nodes of contents (node, fps, sketch), node distinct."""
-    # Fingerprints of different mixings share the trees; if two of them are near, that is one more candidate.
-    dealt = contents.select(F.lit(0).cast("long").alias("mask"), F.explode("fps").alias("fp"), "node")
-    sketches = contents.select("node", "sketch")
-    found = None
-    while True:
-        rows = stored(_deal(dealt, radius), "similar-shards")
-        sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
-        sized = rows.join(sizes, ["mask", "value"])
-        # A shard whose free bits are few is small by itself.
-        fits = (F.col("n") <= most) | (F.bit_count("mask") >= 54)
-        own = _trees(sized.where(fits).join(sketches, "node"), radius, floor)
-        found = own if found is None else found.unionByName(own)
-        dealt = sized.where(~fits).select("mask", "fp", "node")
-        if dealt.isEmpty():
-            return stored(found.distinct(), "similar-candidates")
+                    yield from pairs()
+                    key, held = k, []
+                held.append((part, node, kind, size))
+        yield from pairs()
+        yield rows_of(out)
+
+    groups = dealt.repartition("s", "low", "high").sortWithinPartitions("s", "low", "high", "size")
+    found = groups.mapInArrow(task, "a long, b long, n long, m long")
+    return stored(_enough(found, similarity), "similar-candidates")
 
 
 def verified(links: DataFrame, contents: DataFrame, documents: DataFrame, similarity: float = SIMILARITY, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -209,6 +234,12 @@ def close_copies(contents: DataFrame) -> DataFrame:
     return classed.join(first.select("root", F.col("own.node").alias("a")), "root").where("node <> a").select("a", F.col("node").alias("b"))
 
 
+def classed(contents: DataFrame, links: DataFrame) -> DataFrame:
+    """contents with the class that links (a, b) put each node in; null for a node without links."""
+    known = contents.drop("class")
+    return known.join(components(links).withColumnRenamed("root", "class"), "node", "left")
+
+
 def keep_one_similar(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns, without those that a similar one with a smaller doc_id stands for.
 
@@ -216,12 +247,13 @@ def keep_one_similar(documents: DataFrame, doc: str = "doc_id", text: str = "tex
     """
     known = stored(profiles(documents, doc, text), "similar-profiles")
     contents = stored(
-        known.groupBy("node").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("fp", "fps", "sketch"))), "similar-contents"
+        known.groupBy("node").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("fp", "size", "prefix"))), "similar-contents"
     )
-    settled = stored(verified(close_copies(contents), contents, documents, doc=doc, text=text), "similar-settled")
-    rest = contents.join(settled.select(F.col("b").alias("node")), "node", "left_anti")
-    further = verified(candidates(rest), contents, documents, doc=doc, text=text)
-    roots = components(settled.unionByName(further))
+    links = stored(verified(close_copies(contents), contents, documents, doc=doc, text=text), "similar-settled")
+    for search in (stars, candidates):
+        further = verified(search(classed(contents, links)), contents, documents, doc=doc, text=text)
+        links = stored(links.unionByName(further), "similar-links")
+    roots = stored(components(links), "similar-roots")
     member = roots.join(contents.select("node", "first"), "node")
     stays = member.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("stays"))
     gone = member.join(stays, "root").where("node <> stays.node").select("node", F.lit(True).alias("similar"))

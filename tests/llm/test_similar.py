@@ -64,3 +64,27 @@ def test_split_shards_keep_their_links(spark):
         return {(r["node"], r["root"]) for r in similar.components(similar.candidates(contents, most=most)).collect()}
 
     assert groups(8) == groups(100_000) != set()
+
+
+def _kept_of_all_pairs(texts):
+    """The first text of each component of all pairs."""
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and _plain(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((group[i], group[j]))
+                group = [a if g == b else g for g in group]
+    return {i for i, g in enumerate(group) if g == i}
+
+
+def _kept(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"] for r in similar.keep_one_similar(df).collect()}
+
+
+def test_no_link_of_a_varied_group_is_lost(spark):
+    """Groups in which most pairs are a little above or below 0.8: a link counts whatever its neighbours' links are."""
+    rng = random.Random(16)
+    base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(300)) for _ in range(5)]
+    texts = [_changed(rng, t, rng.randrange(4, 14)) for t in base for _ in range(24)]
+    assert _kept(spark, texts) == _kept_of_all_pairs(texts)
