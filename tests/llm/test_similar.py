@@ -88,3 +88,13 @@ def test_no_link_of_a_varied_group_is_lost(spark):
     base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(300)) for _ in range(5)]
     texts = [_changed(rng, t, rng.randrange(4, 14)) for t in base for _ in range(24)]
     assert _kept(spark, texts) == _kept_of_all_pairs(texts)
+
+
+def test_copies_that_lose_or_gain_a_block(spark):
+    rng = random.Random(11)
+    base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(300)) for _ in range(20)]
+    words = [t.split() for t in base]
+    cut = [" ".join(w[: len(w) - n]) for w, n in zip(words, (30, 45, 54, 58) * 5)]
+    grown = [" ".join(w[:k] + v[:50] + w[k:]) for w, v, k in zip(words, words[1:] + words[:1], (0, 70, 150, 300) * 5)]
+    texts = base + cut + grown
+    assert _kept_of_all_pairs(texts) == set(range(20)) == _kept(spark, texts)
