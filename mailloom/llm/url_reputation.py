@@ -4,13 +4,18 @@ Labelled page outcomes (bad or not) are counted per host. Each host's rate of ba
 on the posterior mean of its registered domain, which in turn is shrunk to its public suffix, and that to the rate
 of all labelled pages. How strong the prior of a level is follows from the spread of the observed rates (method of
 moments). A host is blocked if the lower posterior bound of its rate exceeds the threshold. Explicit rules go first.
+Every host of the pages is judged: one without outcomes has n = 0 and so the mean of the deepest level above it that has
+some, with the strength of a host's prior.
+
+The suffix is the last label and the registered domain the last two. There is no table of public suffixes here, so all
+hosts below a suffix like co.uk count as one domain.
 
 Everything is built-in expressions and aggregates. Counting is pre-aggregated in each map task, so a host with a
 third of all pages sends one row per task; the last join takes only blocked hosts from the small side, and a hot
 host there is split by adaptive execution.
 
-Rows: one per input row. A null url, or one without `://`, has an empty host and path, no rule, and is judged by
-the overall rate. Outcomes for unknown pages and null outcomes are ignored; several outcomes of one page all count.
+Rows: one per input row. A null url, or one without `://`, has an empty host and path and no rule; that host is
+judged like any other, by the overall rate if it has no outcomes. Outcomes for unknown pages and null outcomes are ignored; several outcomes of one page all count.
 Repeated pages are judged like any other. Empty tables give no rows, or all pages allowed.
 """
 
@@ -80,15 +85,15 @@ def _level(counts: DataFrame) -> DataFrame:
 
 
 def reputation(pages: DataFrame, outcomes: DataFrame, url: str = "url", page: str = "page_id", bad: str = "bad") -> DataFrame:
-    """Posterior mean, deviation and lower bound of the rate of bad pages for every host with a labelled page.
+    """Posterior mean, deviation and lower bound of the rate of bad pages for every host of the pages.
 
     `outcomes` holds `page` and `bad` (0 or 1).
     """
     counted = (
         pages.select(F.col(page).alias("_page"), host_of(F.col(url)).alias("host"))
-        .join(outcomes.select(F.col(page).alias("_page"), F.col(bad).cast("long").alias("bad")).where("bad is not null"), "_page")
+        .join(outcomes.select(F.col(page).alias("_page"), F.col(bad).cast("long").alias("bad")).where("bad is not null"), "_page", "left")
         .groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+        .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
     )
     overall = counted.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"))

@@ -249,3 +249,15 @@ def test_slices_and_decoding():
     ((ids, starts),) = v.encode(["We're  here\n\n 12x"])
     assert [int(s) for s in starts] == [0, 2, 5, 6, 11, 13, 16]
     assert v.decode(ids) == "We're  here\n\n 12x".encode()
+
+
+def test_hosts_without_outcomes_have_the_level_above(spark):
+    pages = [(i, f"http://h{i % 20}.{('bad', 'good')[i % 2]}.org/") for i in range(400)]
+    outcomes = [(i, 1 - i % 2) for i in range(400)]
+    pages += [(500, "http://new.bad.org/"), (501, "http://new.good.org/"), (502, "http://other.net/"), (503, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    known = spark.createDataFrame(outcomes, "page_id long, bad long")
+    found = {r["page_id"]: r["verdict"] for r in url_reputation.judge(df, known, rules=()).where("page_id >= 500").collect()}
+    assert found == {500: "block", 501: "allow", 502: "allow", 503: "allow"}
+    means = {r["host"]: (r["n"], r["mean"]) for r in url_reputation.reputation(df, known).collect()}
+    assert means[""] == means["other.net"] == (0, pytest.approx(201 / 402))
