@@ -45,15 +45,19 @@ class Charset:
 _DIGIT, _LOWER, _UPPER = re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]")
 CHARSETS = (
     Charset(re.compile(r"[0-9A-Fa-f]+"), 24, 3.0, (_DIGIT, re.compile("[A-Fa-f]"))),
+    Charset(re.compile(r"[0-9a-z]+"), 20, 3.3, (_DIGIT, _LOWER)),
+    Charset(re.compile(r"[0-9A-Z]+"), 20, 3.25, (_DIGIT, _UPPER)),
     Charset(re.compile(r"[0-9A-Za-z]+"), 20, 3.6, (_DIGIT, _LOWER, _UPPER)),
     Charset(re.compile(r"[0-9A-Za-z+/_=-]+"), 24, 3.9, (_DIGIT, _LOWER, _UPPER)),
 )
 #: Runs that can hold a flagged window at all: the shortest window, with a digit.
 CANDIDATE = re.compile(r"[0-9A-Za-z+/_=-]{20,}")
+_DIGESTS = (("md5", 16), ("sha1", 20), ("sha256", 32), ("sha384", 48), ("sha512", 64))
 ALLOWED = (
     re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"),
     re.compile(r"[0-9-]+"),
-    re.compile(r"(?:sha(?:1|256|384|512)|md5)-.*", re.S),
+    # In hexadecimal, or in Base64 up to its length.
+    re.compile("|".join(f"{name}-(?:[0-9A-Fa-f]{{{2 * n}}}|[0-9A-Za-z+/_-]{{1,{-(-4 * n // 3)}}}={{0,2}})" for name, n in _DIGESTS)),
     re.compile(r"/?(?:[a-z_-]+[0-9]{0,4}/)+[a-z_-]*[0-9]{0,4}"),
 )
 

@@ -251,6 +251,15 @@ def test_slices_and_decoding():
     assert v.decode(ids) == "We're  here\n\n 12x".encode()
 
 
+def test_entropy_of_keys_in_one_letter_case():
+    rng = random.Random(4)
+    for letters in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        keys = ["".join(rng.choices(letters, k=32)) for _ in range(200)]
+        assert sum(secrets.entropy_spans(f"see {k}.") == [(4, 36)] for k in keys if any(c.isdigit() for c in k)) >= 190
+        assert secrets.entropy_spans("md5-" + keys[0] + keys[1]) != []
+    assert secrets.entropy_spans("sha256-" + "0123456789abcdef" * 4) == secrets.entropy_spans("internationalization20") == []
+
+
 def test_hosts_without_outcomes_have_the_level_above(spark):
     pages = [(i, f"http://h{i % 20}.{('bad', 'good')[i % 2]}.org/") for i in range(400)]
     outcomes = [(i, 1 - i % 2) for i in range(400)]
