@@ -98,3 +98,16 @@ def test_copies_that_lose_or_gain_a_block(spark):
     grown = [" ".join(w[:k] + v[:50] + w[k:]) for w, v, k in zip(words, words[1:] + words[:1], (0, 70, 150, 300) * 5)]
     texts = base + cut + grown
     assert _kept_of_all_pairs(texts) == set(range(20)) == _kept(spark, texts)
+
+
+def test_blocks_of_a_common_shingle_lose_no_pair(spark):
+    """One fingerprint of words, many texts: every similar pair is a candidate, whatever the size of blocks."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words[:k] + rng.sample(words[k:], len(words) - k)) for k in (60, 100, 108, 112) * 15]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    contents = similar.profiles(df).dropDuplicates(["node"])
+    node = {r["doc_id"]: r["node"] for r in contents.collect()}
+    pairs = {tuple(sorted((node[i], node[j]))) for i in node for j in node if i < j and _plain(texts[i], texts[j]) >= 0.8}
+    small, large = ({tuple(r) for r in similar.candidates(contents, most=most).collect()} for most in (4, 1000))
+    assert pairs and pairs <= small == large
