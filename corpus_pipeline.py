@@ -31,10 +31,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark window."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
-    hit = found.select("doc_id").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    """Drop documents that hold a benchmark window, also of an item without an id; each text is judged by itself."""
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    items = table(spark, sf_dir, "benchmark").select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), "text")
+    found = decontamination.contaminated(docs.select(own.alias("doc_id"), "text"), items).where("n_hit > 0")
+    hit = found.select(F.col("doc_id").alias("hit")).distinct()
+    return docs.join(hit, own == F.col("hit"), "left_anti")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,3 +270,13 @@ def test_hosts_without_outcomes_have_the_level_above(spark):
     assert found == {500: "block", 501: "allow", 502: "allow", 503: "allow"}
     means = {r["host"]: (r["n"], r["mean"]) for r in url_reputation.reputation(df, known).collect()}
     assert means[""] == means["other.net"] == (0, pytest.approx(201 / 402))
+
+
+def test_pipeline_decontaminates_each_text_by_itself(spark, tmp_path):
+    import corpus_pipeline
+
+    item, other = "one two three four five six seven eight nine ten eleven", "a b c d e f g h i j k l"
+    spark.createDataFrame([(1, item), (None, other)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, "so " + item), (1, "clean one"), (None, item), (None, "clean two"), (None, None), (2, other), (3, "clean three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(sorted((tuple(r) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()), key=repr), [rows[i] for i in (1, 3, 4, 6)])
