@@ -7,6 +7,7 @@ from mailloom.llm.url_reputation import BOUND, RULES, STRONGEST, WEAKEST
 from mailloom.llm.url_reputation import THRESHOLD as BLOCKED
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP1 = """
@@ -87,5 +88,47 @@ blocked AS (SELECT host FROM hosts WHERE mean - {BOUND} * sqrt(mean * (1 - mean)
 SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM urls"""
 
 
+def _op11() -> str:
+    steps = ["c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v AS t FROM kept QUALIFY c < 16)"]
+    for k in range(4):
+        steps.append(f"""far{k} AS (SELECT r, c, CAST(list_sum([(v[i] - t[i]) * (v[i] - t[i]) for i in range(1, 65)]) AS BIGINT) AS distance FROM kept, c{k}),
+near{k} AS (SELECT r, c, distance FROM far{k} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1)""")
+        if k < 3:
+            steps.append(f"""sum{k} AS (SELECT c, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n FROM near{k} JOIN kept USING (r), range(1, 65) AS x(i) GROUP BY c, i),
+mean{k} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM sum{k} GROUP BY c),
+c{k + 1} AS (SELECT c, coalesce(m, t) AS t FROM c{k} LEFT JOIN mean{k} USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(t, ',')) AS centroid_sha256
+FROM near3 JOIN kept USING (r) JOIN c3 USING (c)"""
+
+
+OP12 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+total AS (SELECT count(*) AS n, sum(len(w)) AS l FROM docs WHERE len(w) > 0),
+own AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM docs),
+counted AS (SELECT r, doc_id, n, term, count(*) AS tf FROM own GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * t.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counted, total t GROUP BY term, t.n),
+asked AS (SELECT row_number() OVER () AS k, item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+scored AS (SELECT k, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * c.n * t.n) // CAST(t.l AS BIGINT))))) AS BIGINT) AS score
+  FROM asked JOIN counted c USING (term) JOIN weights USING (term), total t GROUP BY ALL HAVING score > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored QUALIFY rank <= 50"""
+
+OP13 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT r, doc_id, i, md5(array_to_string(w[i : i + 12], ' ')) AS s FROM docs, unnest(generate_series(1, len(w) - 12)) AS t(i)),
+least AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, k FROM windows JOIN least USING (s), unnest(generate_series(i, i + 12)) AS x(k) WHERE doc_id > first),
+flat AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM docs),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS words FROM flat ANTI JOIN gone USING (r, k) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": OP1, "op4_license_scan": _op4(), "op5_decontaminate": OP5, "op10_url_reputation": _op10()}
+    own = {"op1_suffix_dedup": OP1, "op4_license_scan": _op4(), "op5_decontaminate": OP5, "op10_url_reputation": _op10()}
+    return own | {"op11_centroids": _op11(), "op12_ranked_search": OP12, "op13_seed_extend": OP13}

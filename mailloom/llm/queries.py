@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailloom.llm import byte_bpe, decontamination, licenses, line_crf, repetition, secrets, simhash, suffix_dedup, url_reputation, warc
+from mailloom.llm import byte_bpe, centroids, decontamination, licenses, line_crf, ranked, repetition, secrets, seed_extend, simhash, suffix_dedup, url_reputation, warc
 from mailloom.llm.common import table
 from mailloom.llm.oracle import oracle_sql
 
@@ -76,7 +76,19 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(table(spark, sf_dir, "pages"), outcomes).drop("url")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.deduplicate(table(spark, sf_dir, "documents")).drop("removed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_suffix_dedup, op2_warc_chunks, op3_repetition_rules, op4_license_scan, op5_decontaminate]
-    own += [op6_simhash_groups, op7_line_crf, op8_secret_scan, op9_byte_bpe, op10_url_reputation]
+    own += [op6_simhash_groups, op7_line_crf, op8_secret_scan, op9_byte_bpe, op10_url_reputation, op11_centroids, op12_ranked_search, op13_seed_extend]
     return {f.__name__: f for f in own}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -145,3 +146,56 @@ def op10(pages, rules):
         fits = [(len(r), r, v) for r, v in rules for h, _, rest in [r.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + rest)]
         out.append((p, host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else None))
     return out
+
+
+def op11(vectors):
+    kept = [(v, [max(-(1 << 27), min(1 << 27, math.floor(64 * x))) for x in e]) for v, e in vectors if e is not None and len(e) == 64 and all(x is not None and math.isfinite(x) for x in e)]
+    name = lambda v: sha(b"1:" + (b"" if v is None else str(v).encode()))
+    centroids = [e for _, e in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:16]]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for k in range(4):
+        near = [min((apart(e, c), i) for i, c in enumerate(centroids)) for _, e in kept]
+        for i in range(len(centroids) if k < 3 else 0):
+            own = [e for (_, e), (_, j) in zip(kept, near) if i == j]
+            if own:
+                centroids[i] = [sum(c) // len(own) for c in zip(*own)]
+    within = collections.Counter()
+    for d, i in near if kept else ():
+        within[i] += d
+    total = sum(within.values())
+    return [(v, i, d, within[i], total, sha(",".join(map(str, centroids[i])).encode())) for (v, _), (d, i) in zip(kept, near if kept else ())]
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def op12(docs, items, best=50):
+    counted = [(d, collections.Counter(TERM.findall(lower(t)))) for d, t in docs]
+    n = sum(bool(c) for _, c in counted)
+    total = sum(c.total() for _, c in counted)
+    df = collections.Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, c in counted:
+            m = 50 + 50 * c.total() * n // max(total, 1)
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in set(TERM.findall(lower(text))) if t in c)
+            if score > 0:
+                scored.append((-score, d is None, d))
+        scored.sort(key=lambda r: (r[0], r[1], r[2] or 0))
+        out += [(item, k, d, -s) for k, (s, _, d) in enumerate(scored[:best], 1)]
+    return out
+
+
+def op13(docs, length=13):
+    words = [SPACED.findall(t or "") for _, t in docs]
+    least = {}
+    for (d, _), w in zip(docs, words):
+        for i in range(len(w) - length + 1 if d is not None else 0):
+            key = tuple(w[i : i + length])
+            least[key] = min(d, least.get(key, d))
+    out = []
+    for (d, _), w in zip(docs, words):
+        gone = {k for i in range(len(w) - length + 1) if d is not None and least[tuple(w[i : i + length])] < d for k in range(i, i + length)}
+        out.append((d, len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone).encode())))
+    return out

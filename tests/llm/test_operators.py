@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
-from mailloom.llm import byte_bpe, decontamination, licenses, line_crf, queries, repetition, secrets, simhash, suffix_dedup, url_reputation
+from mailloom.llm import byte_bpe, centroids, decontamination, licenses, line_crf, queries, ranked, repetition, secrets, seed_extend, simhash, suffix_dedup, url_reputation
 from tests.conftest import SF_SMALL
 from tests.llm import plain
 
@@ -52,6 +52,11 @@ def odd_tables(folder, empty=False):
     write("pages", pages, (("page_id", i8), ("url", s), ("html", s)), extra=("path", "rule", "low", "digest", "size", "domain", "n"))
     write("benchmark", items, (("item_id", i8), ("text", s)), extra=("words",))
     write("labels", labels, (("doc_id", i8), ("quality", i4), ("toxic", i4)), extra=("text", "bad"))
+    near = [rng.gauss(0, 1) for _ in range(64)]
+    vectors = [(i, [x + rng.gauss(0, 0.05 * (i % 7)) for x in near]) for i in range(60)] + [(i, [rng.choice((-1.0, 0.0, 0.5)) for _ in range(64)]) for i in range(60, 120)]
+    vectors += [(3, near), (3, near), (None, near), (None, [0.0] * 64), (200, None), (201, []), (202, [1.0] * 63), (203, [1.0] * 65), (204, [None] + [1.0] * 63)]
+    vectors += [(205, [float("nan")] + [1.0] * 63), (206, [float("-inf")] + [1.0] * 63), (207, [3e38, -3e38] * 32), (208, [-0.0] * 64)]
+    write("embeddings", [(*v, None) for v in vectors], (("vec_id", i8), ("embedding", pa.list_(pa.float32())), ("label", i4)), extra=("vector", "cluster", "totals", "pos"))
     return ([] if empty else docs), ([] if empty else pages), ([] if empty else items)
 
 
@@ -137,6 +142,19 @@ def test_op10(spark, tables):
     assert all(r[4] == decided.get(r[:4], r[4]) and r[4] in ("allow", "block") for r in got)
 
 
+def test_op11(spark, tables):
+    vectors = pq.read_table(f"{tables[0]}/embeddings.parquet", columns=["vec_id", "embedding"]).to_pylist()
+    same(rows(spark, tables[0], "op11", "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"), plain.op11([tuple(v.values()) for v in vectors]))
+
+
+def test_op12(spark, tables):
+    same(rows(spark, tables[0], "op12", "item_id", "rank", "doc_id", "score"), plain.op12(tables[1], tables[3]))
+
+
+def test_op13(spark, tables):
+    same(rows(spark, tables[0], "op13", "doc_id", "n_words", "n_removed", "kept_sha256"), plain.op13(tables[1]))
+
+
 def test_pipeline(spark, tables):
     found = QUERIES["pipeline"](spark, tables[0]).collect()
     assert {r["doc_id"] for r in found} <= {d for d, _ in tables[1]}
@@ -280,3 +298,81 @@ def test_pipeline_decontaminates_each_text_by_itself(spark, tmp_path):
     rows = [(1, "so " + item), (1, "clean one"), (None, item), (None, "clean two"), (None, None), (2, other), (3, "clean three")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     same(sorted((tuple(r) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()), key=repr), [rows[i] for i in (1, 3, 4, 6)])
+
+
+def test_nearest_skips_centroids_and_keeps_ties():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    centers = np.concatenate([rng.integers(-60, 60, (14, 64)) + 40 * np.arange(14)[:, None], np.zeros((2, 64), np.int64)])
+    points = np.concatenate([centers[rng.integers(0, 16, 3000)] + rng.integers(-9, 9, (3000, 64)), np.zeros((5, 64), np.int64), centers + (1 << 27)])
+    nearest = centroids.Nearest(centers)
+    number, distance = nearest(points)
+    apart = ((points[:, None] - centers[None]) ** 2).sum(2)
+    assert (distance == apart.min(1)).all() and (number == apart.argmin(1)).all()
+    assert nearest.compared < 0.5 * apart.size
+
+
+def test_nra_stops_early_and_resolves_ties():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        n, k = int(rng.integers(1, 3000)), int(rng.integers(1, 6))
+        docs = rng.permutation(n).astype(np.int64) // 2
+        lists, total = [], np.zeros(n, np.int64)
+        for _ in range(k):
+            places = rng.permutation(n)[: rng.integers(0, n + 1)]
+            impacts = np.sort(rng.integers(1, (5, 10**6)[trial % 2], len(places)))[::-1]
+            lists.append((places, impacts))
+            total[places] += impacts
+        best = int(rng.integers(1, 60))
+        want = sorted((-s, d) for s, d in zip(total.tolist(), docs.tolist()) if s > 0)[:best]
+        places, scores = ranked.nra(lists, docs, best)
+        assert [(-s, d) for s, d in zip(scores.tolist(), docs[places].tolist())] == want
+        bar = -want[len(want) // 2][0] if want else 0
+        places, scores = ranked.nra(lists, docs, best, bar)
+        assert [(-s, d) for s, d in zip(scores.tolist(), docs[places].tolist()) if s > bar] == [w for w in want if -w[0] > bar]
+
+
+def test_terms_of_a_long_text():
+    text = ("Ab, cd-" * 9 + "x" * 50 + " é1 ") * 40
+    whole = ranked.count_terms(text.encode())
+    old, ranked.PIECE = ranked.PIECE, 37
+    try:
+        assert ranked.count_terms(text.encode()) == whole
+    finally:
+        ranked.PIECE = old
+    assert whole[b"ab"] == 360 and whole["é1".encode()] == 40
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ranked, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(ranked, "SLAB", 4000)
+    docs, _, items = _read(SF_SMALL)
+    same(rows(spark, SF_SMALL, "op12", "item_id", "rank", "doc_id", "score"), plain.op12(docs, items))
+
+
+def test_seeds_cut_by_ranges_and_pieces(spark, monkeypatch):
+    """Many ranges and short pieces: runs that a range's edge cuts, one passage in most texts, near copies."""
+    monkeypatch.setattr(seed_extend, "PIECE_WORDS", 40)
+    rng = random.Random(6)
+    passage, words = _words(rng, 30), _words(rng, 90).split()
+    docs = []
+    for i in range(300):
+        near = list(words)
+        near[rng.randrange(90)] = "changed"
+        docs.append((rng.randrange(250), rng.choice([f"{_words(rng, 9)} {passage} {_words(rng, 9)}", " ".join(near), passage, " ".join(words), f"{passage} {passage} {passage}"])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = sorted(plain.op13(docs), key=repr)
+    for partitions, most in (("3", 100_000), ("60", 2)):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        monkeypatch.setattr(seed_extend.meet, "__defaults__", (most,))
+        try:
+            found = seed_extend.deduplicate(df)
+            same(sorted((tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=repr), want)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
