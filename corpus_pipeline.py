@@ -9,16 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailloom.llm import byte_bpe, decontamination, line_crf, secrets, similar
+from mailloom.llm import byte_bpe, decontamination, line_crf, secrets, simhash
 from mailloom.llm.common import stored, table
 from mailloom.llm.queries import tokenizer
 
 
-def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id the verdict (doc_id) lists; its rows are distinct."""
-    return docs.join(verdict, docs["doc_id"].eqNullSafe(verdict["doc_id"]), "left_semi")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the line classifier rejects."""
     model = line_crf.trained(docs, table(spark, sf_dir, "labels"))
@@ -26,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of similar texts."""
-    return similar.keep_one_similar(docs)
+    """Keep one document, that with the smallest doc_id, of each group of linked fingerprints."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +30,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     own = F.xxhash64(F.coalesce("text", F.lit("")))
     items = table(spark, sf_dir, "benchmark").select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), "text")
     found = decontamination.contaminated(docs.select(own.alias("doc_id"), "text"), items).where("n_hit > 0")
-    hit = found.select(F.col("doc_id").alias("hit")).distinct()
-    return docs.join(hit, own == F.col("hit"), "left_anti")
+    hit = found.select("doc_id").distinct()
+    return docs.join(hit, own == hit["doc_id"], "left_anti")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
