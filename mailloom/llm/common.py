@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from mailloom.session import shared_uri, work_folder
@@ -27,15 +28,24 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_uri(spark, work_folder(spark)).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to the shared folder and read them back, which also cuts the lineage."""
+def stored(df: DataFrame, name: str, used: list[str] | None = None) -> DataFrame:
+    """Write the rows to the shared folder and read them back, which also cuts the lineage; `used` notes the folder."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     folder = run_folder(spark, name)
     df.write.parquet(folder)
+    if used is not None:
+        used.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Remove stored tables that no frame reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def offsets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column and the n + 1 offsets of its rows; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -129,3 +139,25 @@ def words_of(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.n
     after[:-1] = word
     after[at] = False
     return np.flatnonzero(word & ~before[:-1]), np.flatnonzero(word & ~after[1:]) + 1
+
+
+#: Words beyond so many bytes are hashed one by one.
+_LONG_WORD = 256
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 13) -> np.ndarray:
+    """64-bit hashes of byte segments, mixed anew after every eight bytes, so that nothing cancels."""
+    sizes = ends - starts
+    out = mixed(sizes.astype(np.uint64) * _ODD + np.uint64(seed))
+    eights = np.ndarray((len(data),), "<u8", data.tobytes() + bytes(8), strides=(1,))
+    left, k = np.flatnonzero(sizes <= _LONG_WORD), 0
+    while len(left):
+        rest = np.minimum(sizes[left] - k, 8)
+        out[left] = mixed((out[left] ^ (eights[starts[left] + k] & _MASKS[rest])) * _ODD)
+        k += 8
+        left = left[sizes[left] > k]
+    for i in np.flatnonzero(sizes > _LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
+    return out

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailloom.llm.common import per_slab, stored
+from mailloom.llm.common import discard, per_slab, stored
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints in a tree before the shard is dealt again.
@@ -77,15 +77,17 @@ def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarr
     return majority(np.array(hashes, np.uint64), counts)
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every document."""
-
+def _fingerprints(rows: DataFrame, shingle: int, kept: tuple[str, ...]) -> DataFrame:
     def work(slab: pa.RecordBatch) -> pa.RecordBatch:
         found = fingerprints_of(slab.column("text").to_pylist(), shingle)
-        return pa.RecordBatch.from_arrays([slab.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([*(slab.column(c) for c in kept), pa.array(found.view(np.int64))], names=[*kept, "fp"])
 
-    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return per_slab(rows, "text", "doc_id long, fp long", work)
+    return per_slab(rows, "text", ", ".join(f"{c} long" for c in (*kept, "fp")), work)
+
+
+def fingerprints(documents: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and fp (the 64 bits as a long) of every document."""
+    return _fingerprints(documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")), shingle, ("doc_id",))
 
 
 @lru_cache(None)
@@ -102,19 +104,17 @@ def submasks(fixed: int, radius: int) -> tuple[int, ...]:
 
 
 def _deal(rows: DataFrame, radius: int) -> DataFrame:
-    """A row for each of radius + 1 submasks of mask, with the shard (mask, value), fp and, if there is one, node."""
-    kept = [c for c in ("fp", "node") if c in rows.columns]
+    """A row for each of radius + 1 submasks of mask, with the shard (mask, value) and fp."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mask, fp = (batch.column(c).to_numpy() for c in ("mask", "fp"))
             subs = {m: np.array(submasks(m & (1 << 64) - 1, radius), np.uint64).view(np.int64) for m in np.unique(mask).tolist()}
-            masks = np.array([subs[m] for m in mask.tolist()], np.int64).reshape(-1, radius + 1)
-            values = masks.ravel() & np.repeat(fp, radius + 1)
-            carried = [pa.array(np.repeat(batch.column(c).to_numpy(), radius + 1)) for c in kept]
-            yield pa.RecordBatch.from_arrays([pa.array(masks.ravel()), pa.array(values), *carried], names=["mask", "value", *kept])
+            masks = np.array([subs[m] for m in mask.tolist()], np.int64).ravel()
+            fps = np.repeat(fp, radius + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(masks), pa.array(masks & fps), pa.array(fps)], names=["mask", "value", "fp"])
 
-    return rows.select("mask", *kept).mapInArrow(task, "mask long, value long, " + ", ".join(f"{c} long" for c in kept))
+    return rows.select("mask", "fp").mapInArrow(task, "mask long, value long, fp long")
 
 
 class BKTree:
@@ -202,9 +202,9 @@ def _trees(shards: DataFrame, radius: int) -> DataFrame:
 def links(distinct: DataFrame, radius: int = RADIUS, most: int = TREE) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of fingerprints (column fp, distinct) within the radius."""
     dealt = distinct.select(F.lit(0).cast("long").alias("mask"), "fp")
-    found = None
+    found, used = None, []
     while True:
-        rows = stored(_deal(dealt, radius), "simhash-shards")
+        rows = stored(_deal(dealt, radius), "simhash-shards", used)
         sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
         sized = rows.join(sizes, ["mask", "value"])
         # A shard whose free bits are few is small by itself.
@@ -213,7 +213,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, most: int = TREE) -> DataFr
         found = own if found is None else found.unionByName(own)
         dealt = sized.where(~fits).select("mask", "fp")
         if dealt.isEmpty():
-            return stored(found.distinct(), "simhash-links")
+            out = stored(found.distinct(), "simhash-links")
+            discard(distinct.sparkSession, used)
+            return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -237,10 +239,13 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars")
+    used: list[str] = []
+    current = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "stars", used)
     before = state(current)
     while before[0]:
-        current = stored(hooked(hooked(current, False), True), "stars")
+        current = stored(hooked(hooked(current, False), True), "stars", used)
+        discard(edges.sparkSession, used[:-1])
+        del used[:-1]
         now = state(current)
         if now == before:
             break
@@ -248,38 +253,43 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, and component_id: the smallest doc_id that links reach, itself included."""
-    fps = stored(fingerprints(documents, shingle, doc, text), "fingerprints")
+def groups_of(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fp, its group (a fingerprint that names the component) and the component's smallest doc_id; fps: doc_id, fp."""
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(distinct.select("fp"), radius))
     member = distinct.join(roots, distinct["fp"] == roots["node"]).select("root", "fp", "first")
     smallest = member.groupBy("root").agg(F.min("first").alias("component"))
     # Only fingerprints with links, or with several documents, need another id than their own.
-    linked = member.join(smallest, "root").select("fp", "component")
-    named = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    linked = member.join(smallest, "root").select("fp", "root", "component")
+    return distinct.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"), F.coalesce("component", "first").alias("component_id"))
+
+
+def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, fp, and component_id: the smallest doc_id that links reach, itself included."""
+    fps = stored(fingerprints(documents, shingle, doc, text), "fingerprints")
+    return fps.join(groups_of(fps, radius), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents, all columns, without those that a document with a smaller doc_id stands for.
+    """The documents, all columns, one row of each group: that with the smallest doc_id, null last, then by text hashes.
 
-    Rows that share doc_id and text are one document, of which one row stays.
+    Rows are told apart by doc_id and text, so other rows of a repeated or null doc_id are judged by themselves. Only
+    narrow rows are grouped; texts move once, to meet the list of rows that stay.
     """
-    groups = near_duplicates(documents, shingle, radius)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = documents.join(first, documents["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
-    shared = repeated_ids(documents)
-    single = kept.join(shared, kept["doc_id"].eqNullSafe(shared["doc_id"]), "left_anti")
-    several = kept.join(shared, kept["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi")
+    key = ("doc_id", "d1", "d2")
+    hashes = [F.xxhash64("text").alias("d1"), F.shiftleft(F.hash("text").cast("long"), 32).bitwiseOR(F.coalesce(F.octet_length("text"), F.lit(-1))).alias("d2")]
+    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *hashes)
+    fps = stored(_fingerprints(keyed, shingle, key), "fingerprints")
+    grouped = fps.join(groups_of(fps, radius), "fp").groupBy("group", *key).agg(F.count("*").alias("n"))
+    least = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), *key, "n")).alias("w"))
+    winners = stored(least.select("w.*"), "winners").select(*(F.col(c).alias(f"_{c}") for c in key), F.col("n").alias("_n"))
+    own = [F.col("doc_id").cast("long"), *hashes]
+    met = [a.eqNullSafe(F.col(f"_{c}")) for a, c in zip(own, key)]
+    single = documents.join(winners.where("_n = 1"), met, "left_semi")
+    several = documents.join(winners.where("_n > 1"), met, "left_semi")
     return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
-def repeated_ids(documents: DataFrame) -> DataFrame:
-    """doc_ids that more than one row has."""
-    return documents.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-
-
 def hex_of(fp: Column) -> Column:
     """16 lower-case hexadecimal digits of a fingerprint."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

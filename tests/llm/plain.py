@@ -64,16 +64,36 @@ def op3(docs):
     return out
 
 
+def op3_kept(text, base_failed, most_covered, most_longest, least):
+    """The verdict from all repeats of `least` words or more, pair by pair of places."""
+    if base_failed:
+        return False
+    w = SPACED.findall(text or "")
+    inside, longest = set(), 0
+    for i in range(len(w)):
+        for j in range(i):
+            if w[i] != w[j] or (j and w[i - 1] == w[j - 1]):
+                continue
+            n = 0
+            while i + n < len(w) and w[i + n] == w[j + n]:
+                n += 1
+            if n >= least:
+                inside.update(range(i, i + n), range(j, j + n))
+                longest = max(longest, n)
+    chars = sum(map(len, w))
+    return sum(len(w[k]) for k in inside) <= most_covered * max(chars, 1) and longest <= most_longest * len(w)
+
+
 def op4(docs, phrases, templates, threshold):
     out = []
     for d, t in docs:
         w = PLAIN.findall(lower(t))
         places = [(i, label) for p, label in phrases for k in [p.split()] for i in range(len(w)) if w[i : i + len(k)] == k]
         similar = {}
-        for line in lower(t).split("\n"):
-            have = set(PLAIN.findall(line))
-            for label, text in templates:
-                words = set(text.split())
+        for label, text in templates:
+            words, m = set(text.split()), len(text.split())
+            for a in range(0, len(w), m):
+                have = set(w[a : a + 2 * m])
                 if len(have & words) >= threshold * len(words) - 1e-9:
                     similar[label] = max(similar.get(label, 0), len(have & words) / len(words))
         base = {label for _, label in places}
@@ -98,7 +118,7 @@ def op5(docs, items):
         for n in sizes:
             for i in range(len(w) - n + 1):
                 if found := windows.get(tuple(w[i : i + n])):
-                    own |= found
+                    own |= found - {None}
                     hit.update(range(i, i + n))
         out.append((d, len(w), len(hit), len(own), sha(",".join(sorted(map(str, own))).encode()), bool(hit)))
     return out
@@ -121,6 +141,19 @@ def op6(docs):
     return [(d, f"{p:016x}", least[g]) for (d, _), p, g in zip(docs, prints, group)]
 
 
+def first_of_groups(docs):
+    """One row of each component of fingerprints: the smallest doc_id, null last; rows alike in id and text are one."""
+    prints = op6([(k, t) for k, (_, t) in enumerate(docs)])
+    groups = collections.defaultdict(set)
+    for (k, _, root), row in zip(prints, docs):
+        groups[root].add(row)
+    out = []
+    for own in groups.values():
+        least = min((d is None, d or 0) for d, _ in own)
+        out.append({r for r in own if (r[0] is None, r[0] or 0) == least})
+    return out
+
+
 def op8(docs):
     assign = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     out = []
@@ -138,6 +171,37 @@ def held_out(d):
     return d is not None and zlib.crc32(str(d).encode()) % 5 == 0
 
 
+def shrunk(groups, bound, weakest, strongest):
+    """Prior strength by moments, and posterior means, of groups {name: (n, bad, prior)}."""
+    many = [(n, b, p) for n, b, p in groups.values() if n > 1]
+    scale = sum(p * (1 - p) * (n - 1) for n, _, p in many)
+    share = (sum(n * (b / n - p) ** 2 for n, b, p in many) - sum(p * (1 - p) for _, _, p in many)) / scale if scale else None
+    s = strongest if share is None or share <= 1 / (strongest + 1) else max(weakest, 1 / share - 1)
+    return s, {k: (b + p * s) / (n + s) for k, (n, b, p) in groups.items()}
+
+
+def op10_verdicts(pages, outcomes, rules, bound, threshold, weakest, strongest):
+    decided = op10(pages, rules)
+    known = collections.defaultdict(list)
+    for page, bad in outcomes:
+        if page is not None and bad is not None:
+            known[page].append(bad)
+    counts = [collections.defaultdict(lambda: [0, 0]) for _ in range(3)]
+    levels = (lambda h: h, lambda h: ".".join(h.split(".")[-2:]), lambda h: h.split(".")[-1])
+    for page, host, *_ in decided:
+        for count, name in zip(counts, levels):
+            own = count[name(host)]
+            own[0] += len(known.get(page, ()))
+            own[1] += sum(known.get(page, ()))
+    n, bad = (sum(c[i] for c in counts[0].values()) for i in range(2))
+    above = dict.fromkeys(counts[2], (bad + 1) / (n + 2))
+    for level in (2, 1, 0):
+        prior = {k: above[levels[level + 1](k)] if level < 2 else above[k] for k in counts[level]}
+        s, above = shrunk({k: (*c, prior[k]) for k, c in counts[level].items()}, bound, weakest, strongest)
+    low = {h for h, m in above.items() if m - bound * math.sqrt(m * (1 - m) / (counts[0][h][0] + s + 1)) > threshold}
+    return [(*r[:4], r[4] or ("block" if r[1] in low else "allow")) for r in decided]
+
+
 def op10(pages, rules):
     out = []
     for p, u, _ in pages:

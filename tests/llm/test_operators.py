@@ -95,12 +95,47 @@ def test_op3(spark, tables):
     same(rows(spark, tables[0], "op3", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"), plain.op3(tables[1]))
 
 
+def test_op3_verdicts(spark, tables):
+    limits = repetition.MOST_COVERED, repetition.MOST_LONGEST, repetition.REPEAT_WORDS
+    short = {r[0]: r[-1] for r in plain.op3(tables[1]) if r[0] is not None and r[1] <= 1500}
+    got = {r[0]: r[1] for r in rows(spark, tables[0], "op3", "doc_id", "kept") if r[0] in short}
+    texts = dict(tables[1])
+    ids = [d for d, _ in tables[1]]
+    once = [d for d in short if ids.count(d) == 1]
+    assert {d: got[d] for d in once} == {d: plain.op3_kept(texts[d], short[d], *limits) for d in once}
+
+
+def test_words_whose_polynomial_hashes_agree(spark, tmp_path):
+    """A word of two letters in the order of Thue and Morse, and its complement: no phrase of the one is in the other."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    docs, items = [(1, f"x {one} y"), (2, f"x {two} y")], [(7, f"x {one}"), (None, f"{two} y")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    same(rows(spark, str(tmp_path), "op5"), plain.op5(docs, items))
+
+
 def test_op4(spark, tables):
     same(rows(spark, tables[0], "op4"), plain.op4(tables[1], licenses.PHRASES, licenses.TEMPLATES, licenses.THRESHOLD))
 
 
+def test_notices_across_lines(spark, tmp_path):
+    templates = dict(licenses.TEMPLATES)
+    wrap = lambda text, n: "\n".join(" ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the"
+    filler = " ".join(f"w{i}" for i in range(15))
+    docs = [(1, f"{filler}\n{grant} \"Software\")"), (2, f"{filler} {wrap(templates['mit-text'], 11)} {filler}"), (3, wrap(templates["isc-text"], 7).title())]
+    docs += [(4, f"copyright {filler} all {filler} rights {filler} reserved"), (5, "Copyright 2020 by X.\nAll rights\nreserved.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r[0]: r for r in rows(spark, str(tmp_path), "op4")}
+    labels = {d: set(r[6].split(",")) for d, r in found.items()}
+    assert labels[1] == {"mit-grant"} and {"mit-grant", "mit-text"} <= labels[2] and "isc-text" in labels[3]
+    assert labels[4] == {""} and labels[5] == {"rights-reserved"}
+    same(list(found.values()), plain.op4(docs, licenses.PHRASES, licenses.TEMPLATES, licenses.THRESHOLD))
+
+
 def test_op5(spark, tables):
-    same(rows(spark, tables[0], "op5"), plain.op5(tables[1], [i for i in tables[3] if i[0] is not None]))
+    same(rows(spark, tables[0], "op5"), plain.op5(tables[1], tables[3]))
 
 
 def test_op6(spark, tables):
@@ -136,10 +171,10 @@ def test_op9(spark, tables):
 
 def test_op10(spark, tables):
     got = rows(spark, tables[0], "op10", "page_id", "host", "path", "rule", "verdict")
-    want = plain.op10(tables[2], url_reputation.RULES)
-    same([r[:4] for r in got], [r[:4] for r in want])
-    decided = {r[:4]: r[4] for r in want if r[4]}
-    assert all(r[4] == decided.get(r[:4], r[4]) and r[4] in ("allow", "block") for r in got)
+    labels = pq.read_table(f"{tables[0]}/labels.parquet", columns=["doc_id", "quality"]).to_pylist()
+    outcomes = [(r["doc_id"], None if r["quality"] is None else 1 - r["quality"]) for r in labels]
+    u = url_reputation
+    same(got, plain.op10_verdicts(tables[2], outcomes, u.RULES, u.BOUND, u.THRESHOLD, u.WEAKEST, u.STRONGEST))
 
 
 def test_op11(spark, tables):
@@ -156,8 +191,30 @@ def test_op13(spark, tables):
 
 
 def test_pipeline(spark, tables):
-    found = QUERIES["pipeline"](spark, tables[0]).collect()
-    assert {r["doc_id"] for r in found} <= {d for d, _ in tables[1]}
+    """Each stage on what the one before it kept, against plain versions."""
+    import corpus_pipeline
+
+    folder, docs, _, items = tables
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    plain_rows = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        kept = plain_rows(frame)
+        after = corpus_pipeline.stored(stage(spark, frame, folder), "test-" + name)
+        if name == "quality":
+            assert set(plain_rows(after)) <= set(kept)
+        elif name == "near_duplicates":
+            got, want = plain_rows(after), plain.first_of_groups(kept)
+            assert len(got) == len(want) and all(any(g in group for g in got) for group in want)
+        elif name == "decontaminate":
+            hit = {i for i, r in enumerate(plain.op5(kept, items)) if r[-1]}
+            same(plain_rows(after), [r for i, r in enumerate(kept) if i not in hit])
+        elif name == "secrets":
+            assert sorted((d is None, d or 0) for d, _ in plain_rows(after)) == sorted((d is None, d or 0) for d, _ in kept)
+            assert all(secrets.spans_of(t or "") == [] for _, t in plain_rows(after))
+        else:
+            same([(r["doc_id"], r["decoded_sha256"]) for r in after.collect()], [(d, plain.sha((t or "").encode())) for d, t in kept])
+        assert name == "encode" or after.columns == frame.columns
+        frame = after
 
 
 def test_held_out_accuracy(spark):
@@ -169,7 +226,7 @@ def test_held_out_accuracy(spark):
 
 def test_an_anchor_with_many_extents(spark, tmp_path, monkeypatch):
     """Groups and blocks so small that one anchor is dealt to many: strings still meet."""
-    monkeypatch.setattr(suffix_dedup, "MOST_EXTENTS", 3)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 800)
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
     rng = random.Random(5)
     core = _words(rng, 30)
@@ -180,6 +237,16 @@ def test_an_anchor_with_many_extents(spark, tmp_path, monkeypatch):
     same(sorted((tuple(r) for r in got), key=repr), plain.op1(docs))
 
 
+def test_by_words_settles_ties_by_later_words():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    raw = bytes(rng.integers(0, 2, 900).astype(np.uint8)) + b"\1" * 300 + bytes(40)
+    at = rng.permutation(1200)
+    got = suffix_dedup.by_words(np.frombuffer(raw, np.uint8), at, 28).tolist()
+    assert sorted(got) == list(range(1200)) and [raw[p : p + 28] for p in got] == sorted(raw[p : p + 28] for p in at)
+
+
 def test_two_stage_order():
     import numpy as np
 
@@ -269,6 +336,39 @@ def test_slices_and_decoding():
     assert v.decode(ids) == "We're  here\n\n 12x".encode()
 
 
+def test_entropy_of_keys_without_digits():
+    rng = random.Random(5)
+    assert secrets.entropy_spans("see kQxTzLmWvRfBwYbGNcJdHPaEsu.") == [(4, 30)]
+    keys = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=40)) for _ in range(200)]
+    assert sum(secrets.entropy_spans(f"see {k}.") != [] for k in keys) >= 190
+    for word in ("internationalization", "DocumentObjectModelElement", "getElementsByClassNameOnce", "WWWWWWWWWWWWaaaaaaaaaaaaaaa", "ANTIDISESTABLISHMENTARIANISM"):
+        assert secrets.entropy_spans(word) == []
+
+
+def test_spans_by_a_plain_recount():
+    """Every window of every class, its entropy counted anew."""
+    import math
+
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=- "
+    for _ in range(300):
+        text = "".join(rng.choices(letters[: rng.choice((16, 36, 52, 62, 68))], k=rng.randrange(10, 90)))
+        want = set()
+        for m in secrets.CANDIDATE.finditer(text):
+            if any(a.fullmatch(m.group()) for a in secrets.ALLOWED):
+                continue
+            for c in secrets.CHARSETS:
+                for part in c.form.finditer(m.group()):
+                    p = part.group()
+                    if not all(x.search(p) for x in c.mixes):
+                        continue
+                    for i in range(len(p) - c.window + 1):
+                        w = p[i : i + c.window]
+                        if -sum(w.count(x) / len(w) * math.log2(w.count(x) / len(w)) for x in set(w)) >= c.bits - 1e-9:
+                            want.update(range(m.start() + part.start() + i, m.start() + part.start() + i + c.window))
+        assert {i for a, b in secrets.entropy_spans(text) for i in range(a, b)} == want
+
+
 def test_entropy_of_keys_in_one_letter_case():
     rng = random.Random(4)
     for letters in ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
