@@ -31,10 +31,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from mailloom.llm.common import mixed, offsets_of, per_slab, slabs, stored
+from mailloom.llm.common import SPACED, mixed, offsets_of, per_slab, slabs, stored, word_hashes, words_of
 
 LENGTH, GRAM = 13, 5
 PIECE_WORDS = 1 << 20
@@ -45,16 +44,6 @@ _SEED = "h long, x long, y long, doc long, t long, first int, last int"
 _FOUND = "kind string, " + _SEED
 
 
-class _Hashes(dict):
-    """Hashes of words, kept while they are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 18:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 13)
-        return value
-
-
 def chained(parts: list[np.ndarray], start: int) -> np.ndarray:
     """Hashes of sequences, given element by element; no sum of elements, so nothing cancels."""
     out = np.full(len(parts[0]), start, np.uint64)
@@ -63,10 +52,11 @@ def chained(parts: list[np.ndarray], start: int) -> np.ndarray:
     return out
 
 
-def seeds_of(words: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """First and last window, anchor and two reach hashes of each seed of one sequence of word hashes."""
-    n = len(words) - length + 1
-    if n < 1:
+def seeds_of(words: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """First and last window, anchor and two reach hashes of each seed; `at` are the offsets of texts laid end to end."""
+    ends = np.repeat(at[1:], np.diff(at))
+    starts = np.flatnonzero(np.arange(len(words)) + length <= ends)
+    if not len(starts):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
     grams = chained([words[j : len(words) - gram + 1 + j] for j in range(gram)], 5)
@@ -78,9 +68,10 @@ def seeds_of(words: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
         width *= 2
     if width < spread:
         least = np.minimum(least[: len(least) - (spread - width)], least[spread - width :])
-    place = (least & _PLACE).astype(np.int64)
+    place = (least[starts] & _PLACE).astype(np.int64)
+    # A place is in one text only, so a new text has a new one.
     heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    first, last, place = heads, np.append(heads[1:], n) - 1, place[heads]
+    first, last, place = starts[heads], starts[np.append(heads[1:], len(starts)) - 1], place[heads]
     shape = ((place - first) * 64 + (last - first)).astype(np.uint64)
     x, y = mixed(shape + np.uint64(1)), mixed(shape + np.uint64(7919))
     for j in range(length + spread):  # the reach has at most so many words
@@ -92,32 +83,36 @@ def seeds_of(words: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
     return first, last, grams[place].view(np.int64), x.view(np.int64), y.view(np.int64)
 
 
+def sequences(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts laid end to end (offsets `at` in bytes), and the texts' offsets in words."""
+    starts, ends = words_of(data, at, SPACED)
+    return word_hashes(data, starts, ends), np.searchsorted(starts, at)
+
+
 def seeds(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """A row for each seed of each text (doc, t, text); places count words."""
 
+    def rows(doc: np.ndarray, t: np.ndarray, words: np.ndarray, at: np.ndarray, shift: int = 0) -> pa.RecordBatch:
+        first, last, *hashes = seeds_of(words, at, length, gram)
+        own = np.searchsorted(at, first, "right") - 1
+        columns = [pa.array(c) for c in (*hashes, doc[own], t[own])]
+        places = [pa.array((c - at[own] + shift).astype(np.int32)) for c in (first, last)]
+        return pa.RecordBatch.from_arrays([*columns, *places], names=["h", "x", "y", "doc", "t", "first", "last"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for batch in batches:
             for slab in slabs(batch, "text"):
                 data, at = offsets_of(slab.column("text"))
-                raw = data.tobytes()
-                parts, owner = [], []
-                for k in range(slab.num_rows):
-                    found = raw[at[k] : at[k + 1]].split()
-                    if len(found) < length:
-                        continue
-                    words = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-                    for a in range(0, len(words) - length + 1, PIECE_WORDS - length + 1):
-                        first, last, *hashes = seeds_of(words[a : a + PIECE_WORDS], length, gram)
-                        parts.append((*hashes, first + a, last + a))
-                        owner.append((k, len(first)))
-                if not parts:
+                doc, t = (slab.column(c).to_numpy() for c in ("doc", "t"))
+                words, cuts = sequences(data, at)
+                if len(words) <= PIECE_WORDS:
+                    yield rows(doc, t, words, cuts)
                     continue
-                own = np.repeat([k for k, _ in owner], [n for _, n in owner])
-                h, x, y, first, last = (np.concatenate(c) for c in zip(*parts))
-                doc, t = (slab.column(c).to_numpy()[own] for c in ("doc", "t"))
-                columns = [*(pa.array(c) for c in (h, x, y, doc, t)), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "x", "y", "doc", "t", "first", "last"])
+                for k in range(len(doc)):
+                    own = words[cuts[k] : cuts[k + 1]]
+                    for a in range(0, max(len(own) - length + 1, 1), PIECE_WORDS - length + 1):
+                        part = own[a : a + PIECE_WORDS]
+                        yield rows(doc[k : k + 1], t[k : k + 1], part, np.array([0, len(part)]), a)
 
     return documents.select("doc", "t", "text").mapInArrow(task, _SEED)
 
@@ -178,22 +173,17 @@ def extend(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Every extension of the wanted seeds of a text (doc, t, text, cuts): its hashes, doc, t and first word."""
 
     def work(slab: pa.RecordBatch) -> pa.RecordBatch:
-        known = _Hashes()
         data, at = offsets_of(slab.column("text"))
-        raw = data.tobytes()
-        parts, firsts, counts = [], [], []
-        for k, cuts in enumerate(slab.column("cuts")):
-            words = np.fromiter(map(known.__getitem__, raw[at[k] : at[k + 1]].split()), np.uint64)
-            first, last = (cuts.values.field(c).to_numpy().astype(np.int64) for c in range(2))
-            sizes = last - first + 1
-            starts = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
-            grown = [words[starts + j] for j in range(length)]
-            parts.append((chained(grown, 1).view(np.int64), chained([~g for g in grown], 2).view(np.int64)))
-            firsts.append(starts)
-            counts.append(len(starts))
-        w1, w2 = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
-        doc, t = (np.repeat(slab.column(c).to_numpy(), counts) for c in ("doc", "t"))
-        columns = [pa.array(c) for c in (w1, w2, doc, t)] + [pa.array(np.concatenate([*firsts, np.zeros(0, np.int64)]).astype(np.int32))]
+        words, offsets = sequences(data, at)
+        cuts = slab.column("cuts")
+        flat = cuts.flatten()
+        own = np.repeat(np.arange(slab.num_rows), cuts.value_lengths().to_numpy())
+        first, last = (flat.field(c).to_numpy().astype(np.int64) for c in range(2))
+        sizes = last - first + 1
+        own, first = np.repeat(own, sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+        grown = [words[first + offsets[own] + j] for j in range(length)]
+        w1, w2 = (c.view(np.int64) for c in (chained(grown, 1), chained([~g for g in grown], 2)))
+        columns = [pa.array(c) for c in (w1, w2, *(slab.column(c).to_numpy()[own] for c in ("doc", "t")), first.astype(np.int32))]
         return pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "doc", "t", "first"])
 
     return per_slab(texts, "text", "w1 long, w2 long, doc long, t long, first int", work)
