@@ -11,7 +11,7 @@ A suffix array of a whole corpus fits no task, so strings are first brought toge
 3. Suffix arrays. The bytes of these extents are fetched, dealt by anchor in groups of bounded size, and laid end to end.
    Two-stage sorting orders the strings' suffixes: only suffixes smaller than their successors are sorted directly,
    all others are induced by scanning the buckets of first bytes from the smallest up. Adjacent common prefixes of
-   LENGTH bytes are the repeats. An anchor with very many extents is dealt to several groups; of these, each distinct
+   LENGTH bytes are the repeats. An anchor whose extents are many bytes is dealt to several groups; of these, each distinct
    string also leaves its hash, and hashes that several groups leave are repeats too.
 4. The spans of a text are merged and its other bytes kept.
 
@@ -19,7 +19,7 @@ Texts are keyed by 128 bits of their content (two hashes and the length), so cop
 null or repeated doc_ids do no harm. Anchors and extents are compared by 128 bits of hashes.
 
 Defined cases: a null or empty text has no bytes and nothing removed; texts shorter than LENGTH are kept; an empty table
-gives no rows; other columns are not carried. A text is cut into pieces of 8 MB, overlapping by LENGTH - 1 bytes, for
+gives no rows; other columns are not carried. A text is cut into pieces of 1 MB, overlapping by LENGTH - 1 bytes, for
 its anchors.
 """
 
@@ -35,9 +35,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailloom.llm.common import BASE, BYTE_VALUES, INVERSE, mixed, offsets_of, per_slab, powers, segment_hashes, slabs, stored
 
 LENGTH, GRAM = 200, 32
-#: Extents in a group before its anchor is dealt to several; bytes of a suffix array's text.
-MOST_EXTENTS, BLOCK_BYTES = 2048, 1 << 18
-PIECE_BYTES = 8 << 20
+#: Bytes of extents in a group before its anchor is dealt to several; bytes of a suffix array's text, but for one group.
+GROUP_BYTES, BLOCK_BYTES = 1 << 18, 1 << 18
+#: Bytes of text whose grams a task hashes at once, and of a piece of a long text.
+SCAN_BYTES, PIECE_BYTES = 1 << 18, 1 << 20
 
 _PLACE = np.uint64((1 << 24) - 1)
 _ROW = "h long, x long, d1 long, d2 long, first long, last long"
@@ -88,7 +89,7 @@ def extents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for slab in slabs(batch, "text"):
+            for slab in slabs(batch, "text", SCAN_BYTES):
                 data, at = offsets_of(slab.column("text"))
                 d1, d2 = slab.column("d1").to_numpy(), slab.column("d2").to_numpy()
                 if len(data) <= PIECE_BYTES:
@@ -176,6 +177,25 @@ def _next(marked: np.ndarray) -> np.ndarray:
     return np.minimum.accumulate(np.where(marked, np.arange(n, dtype=np.int32), np.int32(n))[::-1])[::-1]
 
 
+def by_words(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in order of the `depth` bytes from each: by words of eight bytes, of which later ones settle ties."""
+    words = np.ndarray((len(data) - 7,), ">u8", data.tobytes(), strides=(1,))
+    at, group = at.copy(), np.zeros(len(at), np.int32)
+    tied = np.arange(len(at))
+    for k in range(0, depth, 8):
+        own = at[tied]
+        keys = words[own + min(k, depth - 8)].astype(np.uint64)
+        order = np.lexsort((keys, group))
+        at[tied], keys, group = own[order], keys[order], group[order]
+        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (group[1:] != group[:-1])])
+        alone = fresh & np.append(fresh[1:], True)
+        group = np.cumsum(fresh, dtype=np.int32)[~alone]
+        tied = tied[~alone]
+        if not len(tied):
+            break
+    return at
+
+
 def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
     """Positions first..last of several ranges, in order of the `depth` bytes from each, by two-stage sorting.
 
@@ -193,10 +213,7 @@ def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int)
     taken = np.cumsum(change)[:n] > 0
     induced = taken & ~smaller
     direct = np.flatnonzero(taken & smaller)
-    raw = data.tobytes()
-    keys = [raw[p : p + depth] for p in direct.tolist()]
-    direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)]
-    del keys
+    direct = by_words(data, direct, depth)
     bounds = np.searchsorted(data[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     result = []
@@ -323,8 +340,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     varied = found.where("kind = 'varied'").select("h", "n", "d1", "d2", "first", "last").unionByName(
         by_extent.join(by_anchor.where("several"), "h", "left_semi").select("h", "n", "at.*")
     )
-    # Anchors with very many extents are dealt to several groups.
-    groups = varied.groupBy("h").agg(F.ceil(F.count("*") / MOST_EXTENTS).alias("groups")).where("groups > 1")
+    # Anchors with very many bytes of extents are dealt to several groups.
+    size = F.col("last") - F.col("first") + length
+    groups = varied.groupBy("h").agg(F.ceil(F.sum(size) / GROUP_BYTES).alias("groups")).where("groups > 1")
     dealt = varied.join(groups, "h", "left").select(
         "h", "d1", "d2", "first", "last", (F.col("n") > 1).alias("many"), F.col("groups").isNotNull().alias("split"),
         F.coalesce(F.pmod(F.xxhash64("d1", "d2", "first"), F.col("groups")), F.lit(0)).alias("salt"),
