@@ -4,7 +4,8 @@ Candidates are runs of characters that keys are made of. For each character clas
 the candidate; the counts of the characters in it, and with them the Shannon entropy, are updated by the one character
 that enters and the one that leaves. Windows at or above the class's threshold are flagged and their union becomes a
 span of kind `entropy`. The allow list suppresses candidates that are known harmless forms (UUIDs, digests announced as
-such, dates, paths, single-letter-case words without digits).
+such, dates, paths, numbers). A run of one letter case without digits is a word, whatever its entropy; one that mixes both cases is flagged by
+a higher threshold than identifiers of joined words reach.
 
 Row-local, so no shuffle: a task streams its rows in bounded slabs and a hot source does not matter.
 
@@ -48,9 +49,10 @@ CHARSETS = (
     Charset(re.compile(r"[0-9a-z]+"), 20, 3.3, (_DIGIT, _LOWER)),
     Charset(re.compile(r"[0-9A-Z]+"), 20, 3.25, (_DIGIT, _UPPER)),
     Charset(re.compile(r"[0-9A-Za-z]+"), 20, 3.6, (_DIGIT, _LOWER, _UPPER)),
+    Charset(re.compile(r"[A-Za-z]+"), 20, 3.95, (_LOWER, _UPPER)),
     Charset(re.compile(r"[0-9A-Za-z+/_=-]+"), 24, 3.9, (_DIGIT, _LOWER, _UPPER)),
 )
-#: Runs that can hold a flagged window at all: the shortest window, with a digit.
+#: Runs that can hold a flagged window at all, by length; every class mixes a digit with letters, or letters of both cases.
 CANDIDATE = re.compile(r"[0-9A-Za-z+/_=-]{20,}")
 _DIGESTS = (("md5", 16), ("sha1", 20), ("sha256", 32), ("sha384", 48), ("sha512", 64))
 ALLOWED = (
@@ -101,7 +103,7 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if not _DIGIT.search(run) or any(a.fullmatch(run) for a in ALLOWED):
+        if not (_DIGIT.search(run) or (_LOWER.search(run) and _UPPER.search(run))) or any(a.fullmatch(run) for a in ALLOWED):
             continue
         for charset in CHARSETS:
             for part in charset.form.finditer(run):
