@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from mailloom.llm.common import SPACED, mixed, offsets_of, per_slab, segment_hashes, words_of
+from mailloom.llm.common import SPACED, mixed, offsets_of, per_slab, word_hashes, words_of
 
 # --- fixed values of the base rules -------------------------------------------
 SYMBOLS = "#*$%&|<>"
@@ -99,6 +99,12 @@ def _covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
+def letters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Code points of UTF-8 segments: bytes that continue none."""
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return before[ends] - before[starts]
+
+
 def _lines(text: str) -> int:
     """Lines with a word that equal an earlier line."""
     lines = [line for line in text.split("\n") if line.strip(WHITE)]
@@ -116,7 +122,7 @@ def measure_slab(slab: pa.RecordBatch) -> pa.RecordBatch:
     repeat_words, longest, share, spans = zeros, zeros, np.zeros(docs), [[]] * docs
     if len(starts):
         doc = np.repeat(np.arange(docs), n_words)
-        symbols = mixed(segment_hashes(data, starts, ends) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        symbols = mixed(word_hashes(data, starts, ends) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         levels = suffix_ranks(symbols, first[1:][doc])
         n = len(starts)
         if len(levels) > 3:
@@ -126,8 +132,7 @@ def measure_slab(slab: pa.RecordBatch) -> pa.RecordBatch:
         at_repeat = np.flatnonzero(reach >= REPEAT_WORDS)
         if len(at_repeat):
             inside = _covered(at_repeat, reach[at_repeat], n)
-            # Bytes stand for characters: only the ratio counts.
-            size = ends - starts
+            size = letters(data, starts, ends)
             share = np.bincount(doc, size * inside, docs) / np.maximum(np.bincount(doc, size, docs), 1)
             longest = zeros.copy()
             np.maximum.at(longest, doc[at_repeat], reach[at_repeat])
