@@ -11,7 +11,8 @@ narrows the index, is left out beyond a bound, and then every word is indexed. S
 source or word only means longer lists within shards of the same size.
 
 Defined cases: null and empty texts have no words; items without a word are ignored; an item with fewer words than a
-window is one window; repeated documents each give a row; repeated items each count; empty tables give no rows, or
+window is one window; repeated documents each give a row; repeated items each count; windows of an item without an id hit, but it is not
+listed; empty tables give no rows, or
 rows without hits; other columns are not carried. Words are compared by a 64-bit hash of their lower-cased bytes.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from mailloom.llm.common import FOLDED, PLAIN, offsets_of, segment_hashes, slabs, stored, words_of
+from mailloom.llm.common import FOLDED, PLAIN, offsets_of, slabs, stored, word_hashes, words_of
 
 WINDOW = 10
 #: Bytes of text in a shard, words of the benchmark in a broadcast block, words of the vocabulary filter.
@@ -43,7 +44,7 @@ def terms_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, at = offsets_of(column)
     data = FOLDED[data]
     starts, ends = words_of(data, at, PLAIN)
-    return segment_hashes(data, starts, ends).view(np.int64), np.searchsorted(starts, at)
+    return word_hashes(data, starts, ends).view(np.int64), np.searchsorted(starts, at)
 
 
 def index(documents: DataFrame, vocabulary: np.ndarray | None = None, doc: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -100,6 +101,10 @@ def index(documents: DataFrame, vocabulary: np.ndarray | None = None, doc: str =
     return stored(rows.mapInArrow(task, INDEX), "postings")
 
 
+#: In place of a null item_id: its windows hit, but it is not listed.
+NO_ITEM = -(1 << 63)
+
+
 def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id", text: str = "text") -> tuple[list, np.ndarray | None]:
     """The benchmark's word hashes in broadcast blocks (item_ids, offsets, words), and its sorted vocabulary."""
 
@@ -109,7 +114,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, item: str = "it
             words = [found[a:b].astype("<i8").tobytes() for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(words, pa.binary())], names=["item_id", "words"])
 
-    rows = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id is not null")
+    rows = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text"))
     sc = benchmark.sparkSession.sparkContext
     blocks, vocabulary, ids, words, held = [], np.zeros(0, np.int64), [], [], 0
 
@@ -123,7 +128,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, item: str = "it
             part = own[a : a + BLOCK_WORDS + window - 1]
             if not len(part):
                 continue
-            ids.append(row["item_id"])
+            ids.append(NO_ITEM if row["item_id"] is None else row["item_id"])
             words.append(part)
             held += len(part)
             if vocabulary is not None:
@@ -194,7 +199,8 @@ def search(index_rows: DataFrame, blocks: list, window: int = WINDOW, slop: int
             start, length, item = np.concatenate(starts), np.concatenate(lengths), np.concatenate(items)
             doc = np.searchsorted(firsts, start + slop, "right") - 1
             for d, i in set(zip(doc.tolist(), item.tolist())):
-                own[d].add(i)
+                if i != NO_ITEM:
+                    own[d].add(i)
             order = np.argsort(start, kind="stable")
             start, end, doc = start[order], (start + length)[order], doc[order]
             reach = np.maximum.accumulate(end)
