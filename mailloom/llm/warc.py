@@ -19,6 +19,7 @@ then all are responses; urls are percent-encoded where they would break a header
 from __future__ import annotations
 
 import base64
+import datetime
 import hashlib
 import uuid
 import zlib
@@ -35,6 +36,8 @@ from mailloom.session import arrow_store
 CHUNK = 64 * 1024
 #: A task starts a new archive after so many bytes.
 ARCHIVE_BYTES = 16 << 20
+#: Tasks that read archives, if there are so many.
+READERS = 20_000
 
 MANIFEST = "path string, records long"
 CHUNKS = (
@@ -61,19 +64,23 @@ def planned(pages: DataFrame, least: int = 0, page: str = "page_id", url: str =
     )
 
 
-def _header(kind: str, record_id, uri: str | None, refers_to, digest: str, size: int, content: int) -> bytes:
+def _header(kind: str, record_id, uri: str | None, refers_to, date: str, digest: str, size: int, content: int) -> bytes:
     uri = "".join(c if " " < c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in uri) if uri is not None else None
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if record_id is None else record_id}>"]
+    # Page numbers may repeat or lack, record ids must not.
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {date}"]
+    if record_id is not None:
+        lines.append(f"X-Page: {record_id}")
     if uri is not None:
         lines.append(f"WARC-Target-URI: {uri}")
     if refers_to is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        lines += [f"X-Refers-To-Page: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     lines += [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}", "Content-Type: application/http; msgtype=response", f"Content-Length: {content}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
 
 def write_archives(planned_rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, chunk: int = CHUNK) -> DataFrame:
     """Write the records below a shared folder; the manifest of finished archives, itself stored."""
+    date = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = arrow_store(folder)
@@ -99,7 +106,7 @@ def write_archives(planned_rows: DataFrame, folder: str, archive_bytes: int = AR
                 http = _HTTP % size
                 body = size if kind == "response" else 0
                 z = zlib.compressobj(1, zlib.DEFLATED, 31)
-                out.write(z.compress(_header(kind, record_id, uri, refers, _base32(sha.digest()), size, len(http) + body) + http))
+                out.write(z.compress(_header(kind, record_id, uri, refers, date, _base32(sha.digest()), size, len(http) + body) + http))
                 for at in range(0, body, chunk):
                     out.write(z.compress(payload[at : at + chunk]))
                 out.write(z.compress(b"\r\n\r\n") + z.flush())
@@ -175,10 +182,10 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK, data: bool = True) ->
             r = _Reader(_bytes(source))
             while (head := r.until(b"\r\n\r\n")) is not None:
                 field = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-                number = lambda k: int(v) if (v := field.get(k, "<urn:page:>")[10:-1]) else None
+                number = lambda k: int(v) if (v := field.get(k)) else None
                 http = r.until(b"\r\n\r\n")
                 left = int(field["Content-Length"]) - len(http) - 4
-                head_of = (number("WARC-Record-ID"), field["WARC-Type"], number("WARC-Refers-To"), field.get("WARC-Target-URI"))
+                head_of = (number("X-Page"), field["WARC-Type"], number("X-Refers-To-Page"), field.get("WARC-Target-URI"))
                 size, stated = int(field["X-Payload-Length"]), field["WARC-Payload-Digest"].removeprefix("sha1:")
                 sha, done, k = hashlib.sha1(), 0, 0
                 while True:
@@ -219,7 +226,8 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK, data: bool = True) ->
 def archive(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write pages into archives and read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     manifest = write_archives(planned(pages, least), run_folder(pages.sparkSession, "warc"))
-    files = manifest.repartition("path")
+    # The names are few bytes, the archives are not: one task an archive, up to a bound.
+    files = manifest.repartition(max(1, min(manifest.count(), READERS)))
     return read_archives(files, data=False).where("is_last").select(
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
