@@ -23,6 +23,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailloom.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # --- fixed values: the rules of the registered query ---------------------------
@@ -78,8 +80,8 @@ def _level(counts: DataFrame) -> DataFrame:
     strength = F.when(share.isNull(), STRONGEST).when(share <= 1 / (STRONGEST + 1), STRONGEST).otherwise(
         F.greatest(F.lit(WEAKEST), 1 / share - 1)
     )
-    # The moments are one row, whatever the input.
-    return counts.withColumn("s", spread.select(strength).scalar()).withColumn(
+    # The moments are one number, whatever the input.
+    return counts.withColumn("s", F.lit(spread.select(strength).first()[0])).withColumn(
         "mean", (F.col("bad") + F.col("prior") * F.col("s")) / (F.col("n") + F.col("s"))
     )
 
@@ -96,9 +98,11 @@ def reputation(pages: DataFrame, outcomes: DataFrame, url: str = "url", page: st
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
     )
-    overall = counted.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"))
+    # Every level reads the counts of hosts again; the pages are counted once.
+    counted = stored(counted, "hosts")
+    overall = counted.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior")).first()[0]
     by_suffix = counted.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = _level(by_suffix.withColumn("prior", overall.scalar()))
+    suffixes = _level(by_suffix.withColumn("prior", F.lit(overall).cast("double")))
     by_domain = counted.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = _level(by_domain.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"))
     hosts = _level(counted.join(domains.select("domain", F.col("mean").alias("prior")), "domain"))
