@@ -28,7 +28,7 @@ FROM sized LEFT JOIN kept USING (r)"""
 
 OP5 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(_LOW)} AS w FROM documents),
-items AS (SELECT item_id, {_WORDS.format(_LOW)} AS w FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT item_id, {_WORDS.format(_LOW)} AS w FROM benchmark),
 parts AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i : i + 9], ' ') AS s
   FROM items, unnest(generate_series(1, greatest(1, len(w) - 9))) AS t(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT size FROM parts),
@@ -36,7 +36,7 @@ places AS (SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS s
   FROM docs, sizes, unnest(generate_series(1, len(w) - size + 1)) AS t(i)),
 found AS (SELECT r, i, size, item_id FROM places JOIN parts USING (size, s)),
 hit AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT r, i, size FROM found), unnest(generate_series(i, i + size - 1)) AS t(k) GROUP BY r),
-own AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY r)
+own AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN own USING (r)"""
@@ -44,16 +44,16 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN own USING (r)"""
 
 def _op4() -> str:
     phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in PHRASES)
-    templates = ", ".join("('%s', [%s])" % (label, ", ".join(f"'{w}'" for w in sorted(set(text.split())))) for label, text in TEMPLATES)
+    templates = ", ".join("('%s', [%s], %d)" % (label, ", ".join(f"'{w}'" for w in sorted(set(text.split()))), len(text.split())) for label, text in TEMPLATES)
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_LOW} AS low, {_WORDS.format(_LOW)} AS w FROM documents),
-phrases(p, label, k) AS (VALUES {phrases}), templates(label, t) AS (VALUES {templates}),
+phrases(p, label, k) AS (VALUES {phrases}), templates(label, t, size) AS (VALUES {templates}),
 places AS (SELECT r, label, i FROM docs, phrases, unnest(generate_series(1, len(w) - k + 1)) AS x(i)
   WHERE contains(low, string_split(p, ' ')[1]) AND array_to_string(w[i : i + k - 1], ' ') = p),
 base AS (SELECT r, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS b, list(DISTINCT label) AS labels FROM places GROUP BY r),
-lines AS (SELECT r, {_WORDS.format('line')} AS words FROM docs, unnest(string_split(low, chr(10))) AS x(line)),
-alike AS (SELECT r, label, max(len(list_intersect(t, words)) / len(t)) AS c FROM lines, templates
-  WHERE len(list_intersect(t, words)) >= {THRESHOLD} * len(t) - 1e-9 GROUP BY r, label),
+able AS (SELECT r, w, label, t, size FROM docs, templates WHERE len(list_intersect(t, w)) >= {THRESHOLD} * len(t) - 1e-9),
+shared AS (SELECT r, label, len(t) AS n, len(list_intersect(t, w[i : i + 2 * size - 1])) AS k FROM able, unnest(generate_series(1, len(w), size)) AS x(i)),
+alike AS (SELECT r, label, max(k / n) AS c FROM shared WHERE k >= {THRESHOLD} * n - 1e-9 GROUP BY r, label),
 own AS (SELECT r, list(label) AS labels, max(c) AS best FROM alike GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
   coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
@@ -79,8 +79,8 @@ def _op10() -> str:
     return f"""
 WITH urls AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-counted AS (SELECT host, regexp_extract(host, '([^.]*[.])?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix, count(*) AS n, sum(1 - quality) AS bad
-  FROM urls JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY 1, 2, 3),
+counted AS (SELECT host, regexp_extract(host, '([^.]*[.])?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix, count(quality) AS n, coalesce(sum(1 - quality), 0) AS bad
+  FROM urls LEFT JOIN (SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL) ON page_id = doc_id GROUP BY 1, 2, 3),
 {level('suffixes', 'SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM counted) AS prior FROM counted GROUP BY suffix')},
 {level('domains', 'SELECT domain, sum(c.n) AS n, sum(c.bad) AS bad, any_value(mean) AS prior FROM counted c JOIN suffixes USING (suffix) GROUP BY domain')},
 {level('hosts', 'SELECT host, c.n, c.bad, mean AS prior FROM counted c JOIN domains USING (domain)')},
