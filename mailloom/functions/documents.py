@@ -1,9 +1,10 @@
 """Attachment kinds, text decoding and Markdown assembly of decoded documents.
 
 A decoded document is `ARRAY<STRUCT<section_no, section_title, block_no, kind,
-text, rows>>`; the assembly functions turn such an array into Markdown. They
-are used row by row in the extraction job and behind a grouped collection in
-`operators.documents`, where documents arrive as tables.
+text, rows>>`; the assembly functions turn such an array into Markdown, row by
+row in the extraction job. The cells of `rows` are JSON values, so a number
+stays a number in the structured output. Documents that arrive as tables are
+handled line by line in `operators.documents`.
 """
 
 from __future__ import annotations
@@ -93,21 +94,32 @@ def table_rule(width: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
 
 
-def markdown_table(rows: Column, width: Column | None = None, header: Column | None = None) -> Column:
-    """Markdown of ARRAY<ARRAY<STRING>>; the first row is the header.
+def json_string(text: Column) -> Column:
+    """Text as a JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
-    For a table that continues an earlier part, `width` is the width of the
-    whole table and `header=False` leaves the rule out.
-    """
+
+def cell_text(cell: Column) -> Column:
+    """What a JSON value shows: a string without quotes, anything else as it is written; empty for NULL."""
+    return or_empty(F.try_variant_get(F.try_parse_json(cell), "$", "string"))
+
+
+def text_rows(rows: Column) -> Column:
+    """Rows of JSON values as rows of text."""
+    return F.transform(rows, lambda r: F.transform(r, cell_text))
+
+
+def markdown_table(rows: Column) -> Column:
+    """Markdown of ARRAY<ARRAY<STRING>>; the first row is the header."""
     kept = F.filter(rows, lambda r: F.size(r) > 0)
-    if width is None:
-        width = F.array_max(F.transform(kept, lambda r: F.size(r)))
+    width = F.array_max(F.transform(kept, lambda r: F.size(r)))
 
     def render(lines: Column, columns: Column) -> Column:
         ruled = F.concat(
             F.slice(lines, 1, 1), F.array(table_rule(columns)), F.slice(lines, F.lit(2), F.size(lines))
         )
-        return F.array_join(ruled if header is None else F.when(header, ruled).otherwise(lines), "\n")
+        return F.array_join(ruled, "\n")
 
     text = let(
         width,
@@ -119,8 +131,8 @@ def markdown_table(rows: Column, width: Column | None = None, header: Column | N
 
 
 def visible_rows(rows: Column) -> Column:
-    """Rows with at least one non-blank cell."""
-    return F.filter(rows, lambda r: F.exists(r, lambda x: strip_space(or_empty(x)) != ""))
+    """Rows of JSON values with at least one cell that shows anything."""
+    return F.filter(rows, lambda r: F.exists(r, lambda x: strip_space(cell_text(x)) != ""))
 
 
 def _ordered(blocks: Column, late: str = "notes") -> Column:
@@ -138,7 +150,7 @@ def _shown(b: Column) -> Column:
     """A block as text; a table has rows or, if already rendered, its text."""
     text = strip_space(or_empty(b["text"]))
     return (
-        F.when((b["kind"] == "table") & b["rows"].isNotNull(), markdown_table(b["rows"]))
+        F.when((b["kind"] == "table") & b["rows"].isNotNull(), markdown_table(text_rows(b["rows"])))
         .when((b["kind"] == "notes") & (text != ""), F.concat(F.lit("**Notes:** "), text))
         .otherwise(text)
     )
@@ -155,13 +167,8 @@ def paragraph_markdown(blocks: Column) -> Column:
     return _join(F.transform(F.concat(_ordered(text), _ordered(tables)), _shown))
 
 
-def sectioned_markdown(
-    blocks: Column, label: str, tables_last: bool, continued: Column | None = None
-) -> Column:
-    """`## label N` before the first block of every section.
-
-    `continued`: the first section was opened by an earlier part.
-    """
+def sectioned_markdown(blocks: Column, label: str, tables_last: bool) -> Column:
+    """`## label N` before the first block of every section."""
     late = "table" if tables_last else "notes"
     pairs = F.transform(
         _ordered(blocks, late),
@@ -177,11 +184,8 @@ def sectioned_markdown(
         )
 
     def render(p: Column) -> Column:
-        opened = F.lit(None).cast("int")
-        if continued is not None:
-            opened = F.when(continued, F.get(p, F.lit(0))["s"])
         before = F.concat(
-            F.array(opened),
+            F.array(F.lit(None).cast("int")),
             F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x: x["s"]),
         )
         return _join(F.zip_with(p, before, titled))
@@ -190,14 +194,14 @@ def sectioned_markdown(
 
 
 def workbook_sheets(blocks: Column) -> Column:
-    """ARRAY<STRUCT<sheet, rows>> of the sheets that hold anything."""
+    """ARRAY<STRUCT<sheet, rows>> of the sheets that hold anything; an empty cell is an empty string."""
     sheets = F.transform(
         _ordered(blocks),
         lambda b: F.struct(
             b["section_title"].alias("sheet"),
             F.transform(
                 visible_rows(F.coalesce(b["rows"], F.array().cast("array<array<string>>"))),
-                lambda r: F.transform(r, or_empty),
+                lambda r: F.transform(r, lambda x: F.coalesce(F.nullif(x, F.lit("null")), F.lit('""'))),
             ).alias("rows"),
         ),
     )
@@ -206,12 +210,18 @@ def workbook_sheets(blocks: Column) -> Column:
 
 def workbook_markdown(sheets: Column) -> Column:
     return _join(
-        F.transform(sheets, lambda s: F.concat(F.lit("## "), s["sheet"], F.lit("\n\n"), markdown_table(s["rows"])))
+        F.transform(sheets, lambda s: F.concat(F.lit("## "), s["sheet"], F.lit("\n\n"), markdown_table(text_rows(s["rows"]))))
     )
 
 
 def workbook_json(sheets: Column) -> Column:
-    return F.to_json(F.struct(sheets.alias("sheets")))
+    """Sheets as JSON text; cells are JSON already."""
+
+    def sheet(s: Column) -> Column:
+        rows = F.transform(s["rows"], lambda r: F.concat(F.lit("["), F.array_join(r, ","), F.lit("]")))
+        return F.concat(F.lit('{"sheet":'), json_string(s["sheet"]), F.lit(',"rows":['), F.array_join(rows, ","), F.lit("]}"))
+
+    return F.concat(F.lit('{"sheets":['), F.array_join(F.transform(sheets, sheet), ","), F.lit("]}"))
 
 
 def document_markdown(kind: Column, blocks: Column) -> Column:

@@ -1,7 +1,7 @@
 """HTML mail bodies to Markdown, as a chain of built-in string expressions.
 
-Lists inside lists, preformatted blocks and unbalanced inline tags are handled
-approximately (see README); everything else follows the usual ATX Markdown
+Lists inside lists and preformatted blocks are handled approximately (see
+README), inline tags that do not pair up within a block are dropped; everything else follows the usual ATX Markdown
 rendering: one blank line between blocks, images and page furniture dropped.
 """
 
@@ -22,6 +22,8 @@ SPACED_TAGS = (
     BLOCK_TAGS + "|blockquote|li|h[1-6]|table|thead|tbody|tr|td|th|br|hr|html|body|nav|header|footer|main"
 )
 INLINE_MARKS = (("code", "`"), ("em|i", "*"), ("b|strong", "**"), ("del|s", "~~"))
+# Tags that say nothing in Markdown and may stand anywhere inside a line.
+NEUTRAL_TAGS = "span|font|u|small|big|sub|sup|abbr|label|center|ins|mark|tt|cite|q|wbr|bdi|bdo|time|var|kbd|samp"
 # ----------------------------------------------------------------------------
 
 _NAMED = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
@@ -37,6 +39,11 @@ def _close(tag: str) -> str:
     return rf"</(?:{tag})\s*>"
 
 
+def _inline(tag: str) -> str:
+    """Anything up to the tag's end that opens or closes no block; possessive, so long texts do not recurse."""
+    return rf"(?:[^<]++|<(?!/?(?:{SPACED_TAGS})[\s/>]|/{tag}\s*>))*+"
+
+
 def _sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, "(?is)" + pattern, to)
 
@@ -118,7 +125,8 @@ def decode_entities(c: Column) -> Column:
 def html_to_markdown(c: Column) -> Column:
     # Every pass costs a scan of the text, so patterns are merged where they can be.
     dropped = [rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in DROPPED_ELEMENTS]
-    x = _sub(or_empty(c), "|".join(["<!--.*?-->", *dropped, _open("img")]), "")
+    neutral = rf"</?(?:{NEUTRAL_TAGS})(?:\s[^>]*)?/?>"
+    x = _sub(or_empty(c), "|".join(["<!--.*?-->", *dropped, _open("img"), neutral]), "")
     # Blank runs: one space, or one line feed if the run holds a line break.
     x = _sub(x, r"[ \t\r\n]*[\r\n][ \t\r\n]*", "\n")
     x = _sub(x, r"[ \t]{2,}|\t", " ")
@@ -126,13 +134,14 @@ def html_to_markdown(c: Column) -> Column:
     # Markdown's own characters are escaped in text, not inside tags.
     x = _sub(x, r"([*_])(?=[^<>]*(?:<|\z))", r"\\$1")
     x = _sub(x, _open("br"), "  \n")
-    for tag, mark in (*INLINE_MARKS, *INLINE_MARKS[1:3]):  # twice: bold and italic nest
-        x = _sub(x, rf"{_open(tag)}(\s*)([^<]*[^<\s])(\s*){_close(tag)}", rf"$1{mark}$2{mark}$3")
-    x = _sub(
-        x,
-        rf"""<a\s(?:[^>]*\s)?href\s*=\s*["']([^"'>]*)["'][^>]*>(\s*)([^<]*[^<\s])(\s*){_close("a")}""",
-        "$2[$3]($1)$4",
-    )
+    # Blanks leave the inside of inline tags, pairs around nothing go; what is left pairs up whatever inline tags it holds.
+    paired = "|".join(["a", *(tag for tag, _ in INLINE_MARKS)])
+    x = _sub(x, rf"((?:<(?:{paired})(?:\s[^>]*)?>)+)(\s+)|(\s+)((?:</(?:{paired})\s*>)+)", "$2$1$4$3")
+    x = _sub(x, rf"<({paired})(?:\s[^>]*)?></\1\s*>", "")
+    for tag, mark in INLINE_MARKS:
+        x = _sub(x, rf"<({tag})(?:\s[^>]*)?>({_inline(chr(92) + '1')})</\1\s*>", f"{mark}$2{mark}")
+    href = r"""href\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+    x = _sub(x, rf"<a\s(?:[^>]*\s)?{href}[^>]*>({_inline('a')}){_close('a')}", "[$4]($1$2$3)")
     x = _sub(x, r"\[([^\]\s]+)\]\(\1\)", "&lt;$1&gt;")
     x = _sub(x, r"<h([1-6])(?:\s[^>]*)?/?>", f"\n\n{_LEVEL}$1 ")
     for level in range(1, 7):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mailloom.functions.text import SLUG_CHARS, STEM_SLUG_CHARS, or_empty, slugify, strip_space
+from mailloom.functions.text import SLUG_CHARS, STEM_SLUG_CHARS, key_stem, or_empty, slugify, strip_space
 
 # --- fixed values -----------------------------------------------------------
 SCHEMA_VERSION = 1
@@ -14,6 +14,9 @@ EXTERNAL_BANNER = "> **EXTERNAL EMAIL**"
 HARD_BREAK = "  "
 # ----------------------------------------------------------------------------
 
+# Hexadecimal digits of the digest that ends an attachment's key.
+PART_CHARS = 16
+
 REF_TYPE = "array<struct<filename:string,output_key:string,content_type:string>>"
 _PRETTY = {"ignoreNullFields": "false", "pretty": "true"}
 
@@ -26,10 +29,12 @@ def content_key(
 
 
 def attachment_key(
-    prefix: str | Column, date: Column, thread: Column, timestamp: Column, stem: Column, filename: Column
+    prefix: str | Column, date: Column, thread: Column, timestamp: Column, source_key: Column, part_no: Column, filename: Column
 ) -> Column:
+    """Names are cut and folded, so the end of the key is a digest of the message's key and the part's number."""
+    part = F.substring(F.sha2(F.concat_ws("/", source_key, part_no.cast("string")), 256), 1, PART_CHARS)
     name = F.concat_ws(
-        "__", thread, timestamp, slugify(stem, STEM_SLUG_CHARS), slugify(filename, SLUG_CHARS)
+        "__", thread, timestamp, slugify(key_stem(source_key), STEM_SLUG_CHARS), slugify(filename, SLUG_CHARS), part
     )
     return F.concat(_column(prefix), date, F.lit("/"), name, F.lit(".md"))
 

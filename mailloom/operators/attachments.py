@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 import pyarrow as pa
@@ -18,12 +19,12 @@ from mailloom.functions.documents import (
     workbook_sheets,
 )
 from mailloom.functions.render import REF_TYPE, attachment_key, attachment_metadata, render_attachment
-from mailloom.functions.text import key_stem, or_empty, strip_space
-from mailloom.operators.documents import PARTS, with_parts
+from mailloom.functions.text import or_empty, strip_space
 from mailloom.options import Options
 
 # A decoder turns the bytes of one attachment into a list of block dicts with
-# the fields of BLOCK_TYPE; missing fields are NULL.
+# the fields of BLOCK_TYPE; missing fields are NULL. Cells of `rows` are plain
+# values (text, numbers, truth values, dates), which travel as JSON.
 Decoder = Callable[[bytes], list[dict]]
 
 _BLOCK = pa.struct(
@@ -50,18 +51,26 @@ def real_attachments(emails: DataFrame) -> DataFrame:
     return parts.filter(is_real_attachment(F.col("disposition"), F.col("filename")))
 
 
+def _useful(filename: Column, size: Column, decoders: Mapping[str, Decoder] | None, options: Options) -> Column:
+    return attachment_kind(filename).isin(["text", *(decoders or {})]) & ~oversize(size, options)
+
+
 def without_useless_bytes(
-    parts: DataFrame, decoders: Mapping[str, Decoder] | None = None, options: Options = Options()
+    emails: DataFrame, decoders: Mapping[str, Decoder] | None = None, options: Options = Options()
 ) -> DataFrame:
-    """Keep the bytes of a part only if they will be decoded, and its `size`.
+    """Keep the bytes of a message's parts only if they will be decoded, and their `size`.
 
-    Done before the join to the accepted mails, so that unsupported and
-    oversize files are not shuffled.
+    Done before mails are stored, so that unsupported and oversize files are
+    neither written nor shuffled.
     """
-    size = F.coalesce(F.octet_length("data"), F.lit(0))
-    kinds = ["text", *(decoders or {})]
-    wanted = attachment_kind(F.col("filename")).isin(kinds) & ~oversize(size, options)
-    return parts.withColumns({"size": size, "data": F.when(wanted, F.col("data"))})
+    names = ("part_no", "filename", "content_type", "disposition", "error")
+
+    def slim(p: Column) -> Column:
+        size = F.coalesce(F.octet_length(p["data"]), F.lit(0))
+        data = F.when(_useful(p["filename"], size, decoders, options), p["data"])
+        return F.struct(*(p[c].alias(c) for c in names), size.alias("size"), data.alias("data"))
+
+    return emails.withColumn("parts", F.transform("parts", slim))
 
 
 def oversize(size: Column, options: Options) -> Column:
@@ -86,6 +95,13 @@ def attach_to_top(claimed: DataFrame, parts: DataFrame) -> DataFrame:
     return parts.join(top, "source_key", "inner")
 
 
+def _typed(block: dict) -> dict:
+    rows = block.get("rows")
+    if rows is None:
+        return block
+    return block | {"rows": [[None if v is None else json.dumps(v, ensure_ascii=False, default=str) for v in row] for row in rows]}
+
+
 def _decode_stage(decoders: Mapping[str, Decoder]):
     @F.arrow_udf(from_arrow_type(_DECODED))
     def decode(kind: pa.Array, data: pa.Array) -> pa.Array:
@@ -95,7 +111,8 @@ def _decode_stage(decoders: Mapping[str, Decoder]):
                 out.append(None)
                 continue
             try:
-                blocks = pa.array([decoders[k.as_py()](d.as_py())], pa.list_(_BLOCK))[0].as_py()
+                found = [_typed(b) for b in decoders[k.as_py()](d.as_py())]
+                blocks = pa.array([found], pa.list_(_BLOCK))[0].as_py()
                 out.append({"blocks": blocks, "error": None})
             except Exception as problem:  # one bad file must not fail the task
                 out.append({"blocks": None, "error": f"{type(problem).__name__}: {problem}"})
@@ -142,7 +159,8 @@ def render_attachments(extracted: DataFrame, options: Options = Options()) -> Da
         F.col("send_date"),
         F.col("thread"),
         timestamp_text(F.col("sent_at")),
-        key_stem(F.col("source_key")),
+        F.col("source_key"),
+        F.col("part_no"),
         F.col("filename"),
     )
     keyed = extracted.filter(F.col("markdown").isNotNull()).withColumn("output_key", key)
@@ -162,15 +180,11 @@ def render_attachments(extracted: DataFrame, options: Options = Options()) -> Da
     )
 
 
-def attachment_refs(attachments: DataFrame, **bounds: int) -> DataFrame:
-    """References of each message's attachments in part order.
+def attachment_refs(attachments: DataFrame) -> DataFrame:
+    """source_key and refs: the references of each message's attachments in part order.
 
-    Columns source_key, the part columns and refs; a message has one row unless
-    its references are too large for one value (see `operators.documents`).
+    Bounded by a message: all its references come out of one message row.
     """
-    parted = with_parts(attachments, ["source_key"], "part_no", **bounds)
     ref = F.struct("filename", "output_key", "content_type")
     pairs = F.array_sort(F.collect_list(F.struct(F.col("part_no").alias("o"), ref.alias("v"))))
-    return parted.groupBy("source_key", *PARTS).agg(
-        F.transform(pairs, lambda p: p["v"]).cast(REF_TYPE).alias("refs")
-    )
+    return attachments.groupBy("source_key").agg(F.transform(pairs, lambda p: p["v"]).cast(REF_TYPE).alias("refs"))

@@ -1,214 +1,130 @@
-"""Documents that arrive as tables of rows, cells or blocks.
+"""Documents that arrive as tables of rows, cells or blocks, turned into tables of ordered lines.
 
-A group is normally collected into one Markdown value. A group too large for
-that comes out as several parts, ordered by (part_section, part_index), whose
-texts follow one another; nothing is cut off.
+A document is never collected into one value: every operator returns one row per
+line (or per piece, which may hold several lines) with the columns that order it.
+`sinks.write_texts` streams them into one file per document. Shapes that a line
+depends on, such as a table's width, are aggregates with a partial step that are
+joined back, so a document of any size is spread over tasks like any other rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, VariantType
 
 from mailloom.functions import documents as doc
 from mailloom.functions.text import or_empty, strip_space
 
-# A group is large beyond either bound.
-PART_ROWS = 1_000_000
-PART_BYTES = 256 * 1024 * 1024
-
-PARTS = ("part_section", "part_index")
+# What joins the rows of a document: lines of tables and sheets, pieces of all others.
+LINE_BREAK, PIECE_BREAK = "\n", "\n\n"
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join in which NULL keys meet; the planner chooses whether to broadcast."""
+    """Join in which NULL keys meet; the planner chooses whether to broadcast."""
     renamed = right.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return left.join(renamed, same, "left").drop(*[f"__k_{k}" for k in keys])
-
-
-def with_parts(
-    df: DataFrame,
-    keys: list[str],
-    position: str,
-    section: str | None = None,
-    size: Column | None = None,
-    width: Column | None = None,
-    counted: Column | None = None,
-    part_rows: int = PART_ROWS,
-    part_bytes: int = PART_BYTES,
-) -> DataFrame:
-    """Give each row of a large group a bounded part to be collected in.
-
-    `size` is a row's size in bytes (leave it out if rows are small), `width`
-    (an aggregate) the most cells at one position, `counted` which rows can open
-    a section. Adds the part columns, `opens` (the part holds the start of its
-    section) and `section_width`, which is NULL unless the section is large.
+    return left.join(renamed, same).drop(*[f"__k_{k}" for k in keys])
+
+
+def rows_to_lines(df: DataFrame, group: list[str], row_no: str, cells: str) -> DataFrame:
+    """Markdown tables from rows of ARRAY<STRING> cells, `row_no` unique in its group.
+
+    Columns: group, row_no, sub and line, in that order; the first row (the header) has its rule as sub 1. Rows without
+    cells are left out.
     """
-    within = keys if section is None else [*keys, section]
-    start = F.min(position) if counted is None else F.min(F.when(counted, F.col(position)))
-    size = F.lit(1) if size is None else size
-    sections = df.groupBy(*within).agg(
-        F.count("*").alias("n"),
-        F.sum(size).alias("b"),
-        F.max(size).alias("largest"),
-        start.alias("start"),
-        F.coalesce(F.lit(1) if width is None else width, F.lit(1)).cast("int").alias("section_width"),
-    )
-    # Every row is padded to the widest one.
-    padded = F.lit(0) if width is None else F.col("n") * F.col("section_width")
-    large = (F.col("n") > part_rows) | (F.col("b") > part_bytes)
-    large_section = large | (padded > part_bytes)
-    per_part = F.greatest(
-        F.lit(1),
-        F.least(
-            F.floor(F.lit(part_rows) / F.col("section_width")),
-            F.floor(F.lit(part_bytes) / (F.col("section_width") * F.greatest(F.col("largest"), F.lit(1)))),
-        ),
-    )
-    large_sections = sections.filter(large_section).select(*within, per_part.alias("per_part"), "start", "section_width")
-    parted = _joined(df, large_sections, within)
-    part_section = F.lit(0)
-    if section is not None:
-        groups = sections.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-        large_groups = groups.filter(large).select(*keys, F.lit(True).alias("large"))
-        parted = _joined(parted, large_groups, keys)
-        part_section = F.when(F.col("large"), F.col(section)).otherwise(0)
-    part_index = F.floor(F.col(position) / F.col("per_part"))
-    first_index = F.floor(F.col("start") / F.col("per_part"))
-    return parted.withColumns(
-        {
-            "part_section": part_section.cast("bigint"),
-            "part_index": F.coalesce(part_index, F.lit(0)).cast("bigint"),
-            "opens": F.coalesce(part_index == first_index, F.lit(True)),
-        }
-    ).drop("large", "per_part", "start")
-
-
-def _in_order(order: str, value: str) -> Column:
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return F.transform(pairs, lambda p: p["v"])
-
-
-def rows_to_markdown(df: DataFrame, group: list[str], row_no: str, cells: str, **bounds: int) -> DataFrame:
-    """One Markdown table per group from rows of ARRAY<STRING> cells."""
     rows = df.filter(F.size(cells) > 0)
-    size = F.octet_length(F.array_join(cells, "|", "")) + F.size(cells)
-    width = F.max(F.size(cells))
-    parted = with_parts(rows, group, row_no, None, size, width, **bounds)
-    return (
-        parted.groupBy(*group, *PARTS)
-        .agg(
-            _in_order(row_no, cells).alias("rows"),
-            F.coalesce(F.max("section_width"), width).alias("width"),
-            F.bool_or("opens").alias("opens"),
-        )
-        .select(*group, *PARTS, doc.markdown_table(F.col("rows"), F.col("width"), F.col("opens")).alias("markdown"))
-    )
+    shape = rows.groupBy(*group).agg(F.max(F.size(cells)).alias("__width"), F.min(row_no).alias("__first"))
+    line = doc.table_line(doc.padded(F.col(cells), F.col("__width")))
+    ruled = F.array(line, doc.table_rule(F.col("__width")))
+    lines = F.when(F.col(row_no) == F.col("__first"), ruled).otherwise(F.array(line))
+    return _joined(rows, shape, group).select(*group, row_no, F.posexplode(lines).alias("sub", "line"))
+
+
+def _cell(cells: DataFrame) -> tuple[Column, Column]:
+    """A cell's text and its JSON; cells are VARIANT, which keeps numbers and truth values, or become text."""
+    kind, cell = cells.schema["cell"].dataType, F.col("cell")
+    if isinstance(kind, VariantType):
+        return or_empty(cell.cast("string")), F.coalesce(F.to_json(cell), F.lit('""'))
+    text = or_empty(cell if isinstance(kind, StringType) else cell.cast("string"))
+    return text, doc.json_string(text)
 
 
-def sheets_to_document(cells: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
+def sheets_to_lines(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Workbooks from cells (section_no, section_title, row_no, col_no, cell).
 
-    Rows must be dense: a cell for each column from 0. Returns the Markdown and
-    the structured sheets as JSON.
+    Rows must be dense: a cell for each column from 0. Rows without a visible cell are left out, and sheets without such
+    rows. Columns: keys, section_no, row_no, sub and line, in that order, and `data`: the row as a JSON array with typed
+    cells, NULL on lines that are no row.
     """
     keys = keys or ["doc_id"]
-    shown = strip_space(or_empty(F.col("cell"))) != ""
-    parted = with_parts(
-        cells,
-        keys,
-        "row_no",
-        "section_no",
-        F.octet_length(or_empty(F.col("cell"))) + 4,
-        width=F.max("col_no") + 1,
-        counted=shown,
-        **bounds,
-    )
-    part = [*keys, *PARTS]
-    # One exchange serves the three levels below: rows, sheets, documents.
+    text, value = _cell(cells)
+    # Bounded by a row: its cells are the columns of one sheet.
     rows = (
-        parted.repartition(*[F.col(c) for c in part])
-        .groupBy(*part, "section_no", "section_title", "row_no")
+        cells.select(*keys, "section_no", "section_title", "row_no", "col_no", text.alias("text"), value.alias("json"))
+        .groupBy(*keys, "section_no", "section_title", "row_no")
         .agg(
-            _in_order("col_no", "cell").alias("row"),
-            F.bool_or(shown).alias("shown"),
-            F.bool_or("opens").alias("opens"),
-            F.max("section_width").alias("section_width"),
+            F.array_sort(F.collect_list(F.struct("col_no", "text", "json"))).alias("cells"),
+            F.bool_or(strip_space(F.col("text")) != "").alias("shown"),
         )
         .filter("shown")
-        .withColumn("row", F.transform("row", or_empty))
-    )
-    sheets = rows.groupBy(*part, "section_no", "section_title").agg(
-        _in_order("row_no", "row").alias("rows"),
-        F.coalesce(F.max("section_width"), F.max(F.size("row"))).alias("width"),
-        F.bool_or("opens").alias("opens"),
+        .drop("shown")
     )
-    table = doc.markdown_table(F.col("rows"), F.col("width"), F.col("opens"))
-    title = F.concat(F.lit("## "), F.col("section_title"), F.lit("\n\n"))
-    text = F.when(F.col("opens"), F.concat(title, table)).otherwise(table)
-    sheet = F.struct(F.col("section_title").alias("sheet"), F.col("rows"))
-    return (
-        sheets.select(*part, "section_no", text.alias("text"), sheet.alias("sheet"))
-        .groupBy(*part)
-        .agg(_in_order("section_no", "text").alias("texts"), _in_order("section_no", "sheet").alias("sheets"))
-        .select(
-            *part,
-            strip_space(F.array_join("texts", "\n\n")).alias("markdown"),
-            doc.workbook_json(F.col("sheets")).alias("data"),
-        )
+    sheets = rows.groupBy(*keys, "section_no").agg(F.max(F.size("cells")).alias("__width"), F.min("row_no").alias("__first"))
+    opening = sheets.groupBy(*keys).agg(F.min("section_no").alias("__opening"))
+    placed = _joined(rows, _joined(sheets, opening, keys), [*keys, "section_no"])
+    width = F.col("__width")
+    texts = F.transform("cells", lambda c: c["text"])
+    line = doc.table_line(doc.padded(texts, width))
+    data = F.concat(F.lit("["), F.array_join(F.transform("cells", lambda c: c["json"]), ","), F.lit("]"))
+    none = F.lit(None).cast("string")
+
+    def at(sub: int, line: Column, data: Column = none) -> Column:
+        return F.struct(F.lit(sub).alias("sub"), line.alias("line"), data.alias("data"))
+
+    own = at(3, line, data)
+    title = [at(1, F.concat(F.lit("## "), or_empty(F.col("section_title")))), at(2, F.lit("")), own, at(4, doc.table_rule(width))]
+    first = F.col("row_no") == F.col("__first")
+    lines = (
+        F.when(first & (F.col("section_no") == F.col("__opening")), F.array(*title))
+        .when(first, F.array(at(0, F.lit("")), *title))
+        .otherwise(F.array(own))
     )
+    return placed.select(*keys, "section_no", "row_no", F.inline(lines))
 
 
-# Puts the blocks shown last in their section behind all others.
-_LATE_OFFSET = 1 << 40
+def _pieces(blocks: DataFrame, keys: list[str], late: str) -> DataFrame:
+    """The texts of blocks that show anything: place 1, or 2 for kind `late`, which ends its section."""
+    text = strip_space(or_empty(F.col("text")))
+    shown = F.when((F.col("kind") == "notes") & (text != ""), F.concat(F.lit("**Notes:** "), text)).otherwise(text)
+    place = F.when(F.col("kind") == late, 2).otherwise(1)
+    return blocks.select(*keys, place.alias("place"), F.col("block_no").cast("bigint").alias("block_no"), shown.alias("piece")).filter("piece <> ''")
 
 
-def _collected(
-    blocks: DataFrame, keys: list[str], late: str, bounds: dict[str, int], section: str | None = "section_no"
-) -> DataFrame:
-    """Bounded arrays of blocks per document part, kind `late` at a section's end.
-
-    Blocks have section_no, block_no, kind and text; a table block carries its
-    finished Markdown in `text`.
-    """
-    size = F.octet_length(or_empty(F.col("text"))) + 32
-    place = F.col("block_no").cast("bigint") + F.when(F.col("kind") == late, _LATE_OFFSET).otherwise(0)
-    parted = with_parts(blocks.withColumn("__place", place), keys, "__place", section, size, **bounds)
-    block = F.struct(
-        F.col("section_no").cast("int").alias("section_no"),
-        F.lit(None).cast("string").alias("section_title"),
-        F.col("block_no").cast("int").alias("block_no"),
-        F.col("kind"),
-        F.col("text"),
-        F.lit(None).cast("array<array<string>>").alias("rows"),
-    )
-    return parted.groupBy(*keys, *PARTS).agg(
-        F.collect_list(block).alias("blocks"),
-        (~F.bool_or("opens")).alias("continued"),
+def _titled(blocks: DataFrame, keys: list[str], late: str, label: str) -> DataFrame:
+    sections = [*keys, "section_no"]
+    title = F.concat(F.lit(f"## {label} "), F.col("section_no").cast("string"))
+    titles = blocks.select(*sections).distinct().select(
+        *sections, F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("block_no"), title.alias("piece")
     )
+    return titles.unionByName(_pieces(blocks, sections, late))
 
 
-def paragraphs_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
-    """Word-processor documents: paragraphs, then all tables."""
-    keys = keys or ["doc_id"]
-    parts = _collected(blocks.withColumn("section_no", F.lit(0)), keys, "table", bounds, None)
-    return parts.select(*keys, *PARTS, doc.paragraph_markdown(F.col("blocks")).alias("markdown"))
+def paragraphs_to_pieces(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Word-processor documents: paragraphs, then all tables. Columns: keys, place, block_no and piece.
 
+    Blocks have block_no, kind and text; a table block carries its finished Markdown in `text`.
+    """
+    return _pieces(blocks, keys or ["doc_id"], "table")
 
-def slides_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
-    """Decks: a heading per slide, shapes in order, notes last."""
-    keys = keys or ["doc_id"]
-    parts = _collected(blocks, keys, "notes", bounds)
-    markdown = doc.sectioned_markdown(F.col("blocks"), "Slide", False, F.col("continued"))
-    return parts.select(*keys, *PARTS, markdown.alias("markdown"))
 
+def slides_to_pieces(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Decks: a heading per slide, shapes in order, notes last. Columns: keys, section_no, place, block_no and piece."""
+    return _titled(blocks, keys or ["doc_id"], "notes", "Slide")
 
-def pages_to_document(blocks: DataFrame, keys: list[str] | None = None, **bounds: int) -> DataFrame:
-    """Paged documents: a heading per page even if blank, text, then tables."""
-    keys = keys or ["doc_id"]
-    parts = _collected(blocks, keys, "table", bounds)
-    markdown = doc.sectioned_markdown(F.col("blocks"), "Page", True, F.col("continued"))
-    return parts.select(*keys, *PARTS, markdown.alias("markdown"))
+
+def pages_to_pieces(blocks: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Paged documents: a heading per page even if blank, text, then tables. Columns as of slides."""
+    return _titled(blocks, keys or ["doc_id"], "table", "Page")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # --- fixed values -----------------------------------------------------------
 MAX_RECEIVES = 5
 ALARM_PERIOD = "5 minutes"
+ATTEMPT_SCHEMA = "bucket string, source_key string, attempt int, error string, state string"
 ERROR_PATTERN = "Exception|Traceback"
 COUNTERS = (
     "emails_processed",
@@ -80,12 +81,29 @@ def quarantine(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFram
     return df.filter(~failed), df.filter(failed)
 
 
+def attempt_state(attempts: Column, max_receives: int = MAX_RECEIVES) -> Column:
+    return F.when(attempts < max_receives, "retry").otherwise("dead")
+
+
 def retry_or_dead(attempts: DataFrame, max_receives: int = MAX_RECEIVES) -> DataFrame:
     """Failed attempts per source and whether it is tried again."""
     return (
         attempts.groupBy("source_key")
         .agg(F.count("*").alias("receives"))
-        .withColumn("state", F.when(F.col("receives") < max_receives, "retry").otherwise("dead"))
+        .withColumn("state", attempt_state(F.col("receives"), max_receives))
+    )
+
+
+def ledger(work: DataFrame, failed: DataFrame, max_receives: int = MAX_RECEIVES) -> DataFrame:
+    """The sources of a batch that failed, with their attempts so far, this one included.
+
+    `work` lists what the batch tried (bucket, source_key, attempt: failures before it), `failed` the errors by
+    source_key. What succeeded is not in the ledger; what is `dead` is not tried again.
+    """
+    errors = failed.groupBy("source_key").agg(F.min("error").alias("error"))
+    tried = (F.col("attempt") + 1).cast("int")
+    return work.join(errors, "source_key").select(
+        "bucket", "source_key", tried.alias("attempt"), "error", attempt_state(tried, max_receives).alias("state")
     )
 
 

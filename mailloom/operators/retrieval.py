@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,21 @@ def check_prefix(prefix: str | None, output_prefix: str, force: bool = False) ->
     return chosen
 
 
+def latest_pages(pages: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Pages as the latest batch wrote them; only what came in several batches is looked up."""
+    renamed = [F.col(c).alias(f"__{c}") for c in key]
+    seen = pages.groupBy(*renamed).agg(F.max("batch_id").alias("__latest"), F.min("batch_id").alias("__first"))
+    stale = seen.filter("__first < __latest").drop("__first")
+    same = F.col("batch_id") < F.col("__latest")
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return pages.join(stale, same, "left_anti")
+
+
 def clear_outputs(
     outputs: DataFrame, output_prefix: str, prefix: str | None = None, force: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows to keep, keys to clear); write the kept rows as a new snapshot."""
+    """(rows to keep, keys to clear)."""
     chosen = check_prefix(prefix, output_prefix, force)
     hit = F.col("output_key").startswith(chosen)
     return outputs.filter(~hit), outputs.filter(hit).select("output_key")

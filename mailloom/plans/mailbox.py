@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def mailbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per turn, with the envelope columns and `body`."""
+    """One message per turn, and some pure forwards, with the envelope columns and `body`."""
     turns = table(spark, sf_dir, "conversations")
     conv, turn = F.col("conv_id"), F.col("turn")
     sent = F.expr("TIMESTAMP_NTZ '2026-07-01 00:00:00' + make_dt_interval(0, int(conv_id), int(turn), 0)")
@@ -68,18 +68,22 @@ def mailbox(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max("own").alias("own"), F.array_sort(F.collect_list("quoted")).alias("quoted"))
         .filter("own IS NOT NULL")
     )
+    # Later turns of one conversation in five are also forwarded without a word of their own.
+    forwarded = F.when((conv % 5 == 0) & (turn > 0), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    gathered = gathered.withColumn("pure", F.explode(forwarded))
     key = F.concat(
         F.lit("emails/"),
         F.when(conv % 11 == 0, "misc").otherwise(F.date_format("own.sent", "yyyy-MM-dd")),
-        F.lit("/MSG"), conv, F.lit("-"), turn, F.lit("==.eml"),
+        F.when(F.col("pure"), "/FWD").otherwise("/MSG"), conv, F.lit("-"), turn, F.lit("==.eml"),
     )
-    text = F.when((conv % 5 == 0) & (turn > 0), "").otherwise(F.col("own.text"))
+    text = F.when(F.col("pure"), "").otherwise(F.col("own.text"))
+    sign = F.when(F.col("pure"), "<f").otherwise("<m")
     return gathered.select(
         "conv_id",
         "turn",
         key.alias("source_key"),
         F.col("own.sent").alias("modification_time"),
-        F.when(turn % 4 != 3, F.concat(F.lit("<m"), conv, F.lit("."), turn, F.lit("@example.com>"))).alias("message_id"),
+        F.when(turn % 4 != 3, F.concat(sign, conv, F.lit("."), turn, F.lit("@example.com>"))).alias("message_id"),
         F.col("own.from_").alias("from_"),
         F.lit("Team <team@example.com>").alias("to_"),
         F.when(conv % 6 == 0, "Lead <lead@example.com>").alias("cc"),

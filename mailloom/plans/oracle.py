@@ -66,15 +66,16 @@ quoted AS (
 mailbox AS (
   SELECT t.conv_id, t.turn,
     concat('emails/', CASE WHEN t.conv_id % 11 = 0 THEN 'misc' ELSE strftime(sent, '%Y-%m-%d') END,
-      '/MSG', t.conv_id, '-', t.turn, '==.eml') AS source_key,
+      CASE WHEN pure THEN '/FWD' ELSE '/MSG' END, t.conv_id, '-', t.turn, '==.eml') AS source_key,
     sent AS modification_time,
-    CASE WHEN t.turn % 4 <> 3 THEN concat('<m', t.conv_id, '.', t.turn, '@example.com>') END AS message_id,
+    CASE WHEN t.turn % 4 <> 3 THEN concat(CASE WHEN pure THEN '<f' ELSE '<m' END, t.conv_id, '.', t.turn, '@example.com>') END AS message_id,
     from_, 'Team <team@example.com>' AS to_,
     CASE WHEN t.conv_id % 6 = 0 THEN 'Lead <lead@example.com>' END AS cc, subject,
     CASE WHEN t.turn <> 5 THEN concat(strftime(sent, '%a, %d %b %Y %H:%M:%S'),
       CASE WHEN t.turn % 4 = 1 THEN ' -0700' ELSE ' +0000' END) END AS date_header,
-    concat(CASE WHEN t.conv_id % 5 = 0 AND t.turn > 0 THEN '' ELSE text END, coalesce(q, '')) AS body
-  FROM told t LEFT JOIN quoted USING (conv_id, turn))
+    concat(CASE WHEN pure THEN '' ELSE text END, coalesce(q, '')) AS body
+  FROM (SELECT *, unnest(CASE WHEN conv_id % 5 = 0 AND turn > 0 THEN [false, true] ELSE [false] END) AS pure FROM told) t
+  LEFT JOIN quoted USING (conv_id, turn))
 """
 
 LINES = r"""
@@ -226,6 +227,10 @@ files AS (
   FROM events)
 """
 
+def _part(key: str, number: str) -> str:
+    return f"sha256(concat({key}, '/', {number}))[1:16]"
+
+
 _ORDERS = f"""
 parts AS (
   SELECT concat('emails/2024-01-01/ORDER', l_orderkey, '==.eml') AS source_key, l_orderkey, l_linenumber AS part_no,
@@ -239,7 +244,7 @@ tops AS (
 owned AS (
   SELECT p.*, thread, sent_at, send_date,
     concat('emails-extracted/attachments/', send_date, '/', thread, '__', strftime(sent_at, '%Y%m%dT%H%M%SZ'), '__',
-      {_slug("regexp_replace(regexp_replace(source_key, '.*/', ''), '.eml$', '')", 40)}, '__', {_slug('filename')}, '.md') AS output_key
+      {_slug("regexp_replace(regexp_replace(source_key, '.*/', ''), '.eml$', '')", 40)}, '__', {_slug('filename')}, '__', {_part('source_key', 'part_no')}, '.md') AS output_key
   FROM parts p JOIN tops USING (source_key))
 """
 
@@ -381,7 +386,7 @@ FROM records WHERE json_extract(r, '$.s3') IS NOT NULL"""
     sql["write_content"] = c + f"SELECT output_key, {_PAGE} AS markdown, send_date FROM claimed"
     stem = _slug("regexp_replace(regexp_replace(c.source_key, '.*/', ''), '.eml$', '')", 40)
     sql["write_attachments"] = c + f"""
-SELECT concat('emails-extracted/attachments/', send_date, '/', thread, '__', sent_text, '__', {stem}, '__', {_slug("filename")}, '.md') AS output_key,
+SELECT concat('emails-extracted/attachments/', send_date, '/', thread, '__', sent_text, '__', {stem}, '__', {_slug("filename")}, '__', {_part('c.source_key', '0')}, '.md') AS output_key,
   concat('# Attachment: ', filename, chr(10), chr(10), '**Source email:** `', c.source_key, '`  ', chr(10), '**Content type:** text/plain  ',
     chr(10), chr(10), '---', chr(10), chr(10), {_trim("m.body")}, chr(10)) AS markdown, send_date, filename
 FROM claimed c JOIN (SELECT source_key, body, concat(subject, '.TXT') AS filename FROM mailbox) m ON m.source_key = c.source_key
@@ -398,12 +403,13 @@ WHERE c.unit_order = 0"""
         "CAST(NULL AS VARCHAR) AS error FROM mailbox"
     )
     sql["clean_header"] = (
-        f"SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN nullif({_collapse('text')}, '') END AS header FROM documents"
+        f"SELECT doc_id, shape, CASE WHEN shape = 0 THEN nullif({_collapse('text')}, '') END AS header "
+        "FROM documents, unnest([0, 1]) AS x(shape)"
     )
     html = "WITH " + _html() + "\n"
     sql["best_body"] = html + (
-        "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url WHEN page_id % 7 = 1 THEN '' ELSE markdown END AS body, "
-        "page_id % 3 <> 0 AND page_id % 7 <> 1 AS is_markdown FROM md"
+        "SELECT page_id, shape, CASE WHEN shape = 2 THEN '' WHEN shape = 0 AND trim(url) <> '' THEN url ELSE markdown END AS body, "
+        "shape = 1 OR (shape = 0 AND coalesce(trim(url), '') = '') AS is_markdown FROM md, unnest([0, 1, 2]) AS x(shape)"
     )
     sql["html_to_markdown"] = html + "SELECT page_id, markdown FROM md"
     sql["real_attachments"] = _with(_FILES) + """
@@ -436,6 +442,21 @@ SELECT identity, min(doc_id) AS doc_id, count(*) AS copies FROM (SELECT doc_id,
         "(SELECT identity FROM addressed WHERE starts_with(source_key, 'emails/misc/')) AS is_new FROM claimed"
     )
     sql["claim_stream"] = c + "SELECT identity, thread, sent_text, hash8 FROM claimed"
+    sql["ingest_events"] = _with(*_MAIL) + """
+SELECT source_key, subject, body, CAST(NULL AS VARCHAR) AS error FROM mailbox WHERE conv_id % 9 <> 4
+UNION ALL SELECT source_key, NULL, NULL, 'missing object' FROM mailbox WHERE conv_id % 9 = 4
+UNION ALL SELECT NULL, NULL, NULL, 'record without bucket or key'"""
+    sql["retry_run"] = _with(*_MAIL) + """
+SELECT source_key, CAST(CASE conv_id % 9 WHEN 4 THEN NULL WHEN 5 THEN 2 ELSE 0 END AS INTEGER) AS read_in,
+  CAST(CASE conv_id % 9 WHEN 4 THEN 5 WHEN 5 THEN 2 END AS INTEGER) AS failures,
+  CASE conv_id % 9 WHEN 4 THEN 'dead' WHEN 5 THEN 'retry' END AS state FROM mailbox"""
+    sql["backfill_run"] = _with(*_MAIL) + (
+        "SELECT count(*) AS found, count(*) AS sent, CAST(ceil(count(*) / 10) AS BIGINT) AS chunks "
+        "FROM mailbox WHERE starts_with(source_key, 'emails/2026-07-0')"
+    )
+    again = "SELECT DISTINCT identity, thread, sent_text, hash8, CAST(1 AS BIGINT) AS batch_id FROM addressed"
+    sql["reprocess"] = a + again
+    sql["clear_run"] = a + again + " WHERE starts_with(source_key, 'emails/misc/')"
     sql["registry_rows"] = c + (
         "SELECT identity, 1 AS schema_version, source_key, output_key, subject, date_header, CAST(7 AS BIGINT) AS batch_id FROM claimed"
     )
@@ -449,39 +470,42 @@ SELECT event_id, CASE WHEN e IN ('pdf', 'pptx', 'xlsx', 'docx') THEN e WHEN e IN
 FROM (SELECT event_id, lower(regexp_extract(filename, '[.]([^.]*)$', 1)) AS e FROM files)"""
     sql["attachment_size_guard"] = "SELECT doc_id, octet_length(encode(text)) <= 2000 AS kept FROM documents"
     sql["decode_text"] = f"WITH {_ENCODED} SELECT doc_id, text FROM texts"
+    order = "l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus"
     sql["rows_to_markdown"] = f"""
 WITH cells AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, CASE WHEN l_partkey % 5 = 0 THEN c[1:1] ELSE c END AS c
-  FROM (SELECT *, [CAST(l_partkey AS VARCHAR), concat(l_returnflag, '|', l_linestatus),
-          CASE WHEN l_suppkey % 4 <> 0 THEN concat(l_suppkey, chr(10), 'x') END] AS c FROM lineitem)),
-wide AS (SELECT *, max(len(c)) OVER (PARTITION BY l_orderkey) AS w, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) AS rn FROM cells),
-padded AS (SELECT l_orderkey, rn, w, list_concat(c, list_transform(range(w - len(c)), lambda i: '')) AS c FROM wide)
-SELECT l_orderkey, string_agg(concat({_CELL}, CASE WHEN rn = 1 THEN concat(chr(10), '| ',
-  array_to_string(list_transform(range(w), lambda i: '---'), ' | '), ' |') ELSE '' END), chr(10) ORDER BY rn) AS markdown
-FROM padded GROUP BY 1"""
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) - 1 AS row_no,
+    list_concat([CAST(l_partkey AS VARCHAR), concat(l_returnflag, '|', l_linestatus), concat(l_suppkey, chr(10), 'x'), NULL],
+      CASE WHEN l_partkey % 5 = 0 THEN ['more'] ELSE [] END) AS c FROM lineitem),
+wide AS (SELECT *, max(len(c)) OVER (PARTITION BY l_orderkey) AS w FROM cells),
+padded AS (SELECT l_orderkey, row_no, w, list_concat(c, list_transform(range(w - len(c)), lambda i: '')) AS c FROM wide)
+SELECT l_orderkey, row_no, 0 AS sub, {_CELL} AS line FROM padded
+UNION ALL SELECT l_orderkey, row_no, 1, concat('| ', array_to_string(list_transform(range(w), lambda i: '---'), ' | '), ' |') FROM padded WHERE row_no = 0"""
     sql["sheet_documents"] = f"""
 WITH cells AS (
-  SELECT l_orderkey AS doc_id, l_returnflag AS title, l_linenumber, l_partkey, l_suppkey, l_linestatus, [CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_linestatus] AS c
-  FROM lineitem WHERE l_partkey % 6 <> 0),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS rn FROM cells),
-sheets AS (
-  SELECT doc_id, title, concat('## ', title, chr(10), chr(10), string_agg(concat({_CELL},
-      CASE WHEN rn = 1 THEN concat(chr(10), '| --- | --- | --- |') ELSE '' END), chr(10) ORDER BY rn)) AS md,
-    concat('{{"sheet":"', title, '","rows":[', string_agg(concat('["', c[1], '","', c[2], '","', c[3], '"]'), ',' ORDER BY rn), ']}}') AS js
-  FROM numbered GROUP BY 1, 2)
-SELECT doc_id, string_agg(md, chr(10) || chr(10) ORDER BY title) AS markdown,
-  concat('{{"sheets":[', string_agg(js, ',' ORDER BY title), ']}}') AS data FROM sheets GROUP BY 1"""
+  SELECT l_orderkey AS doc_id, ascii(l_returnflag) AS section_no, l_returnflag AS title,
+    2 * (row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) - 1) AS row_no,
+    [CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_linestatus] AS c FROM lineitem),
+placed AS (
+  SELECT *, row_no = min(row_no) OVER (PARTITION BY doc_id, section_no) AS first, section_no = min(section_no) OVER (PARTITION BY doc_id) AS opening FROM cells)
+SELECT doc_id, section_no, row_no, 3 AS sub, {_CELL} AS line, concat('[', c[1], ',', c[2], ',"', c[3], '"]') AS data FROM placed
+UNION ALL SELECT doc_id, section_no, row_no, sub, CASE sub WHEN 1 THEN concat('## ', title) WHEN 4 THEN '| --- | --- | --- |' ELSE '' END, NULL
+FROM placed, unnest([0, 1, 2, 4]) AS x(sub) WHERE first AND (sub > 0 OR NOT opening)"""
     sql["paragraph_documents"] = _with(_DOC_LINES) + f"""
-SELECT doc_id, coalesce(string_agg({_trim('text')}, chr(10) || chr(10) ORDER BY line_no % 5 = 2, line_no) FILTER ({_trim('text')} <> ''), '') AS markdown
-FROM doc_lines GROUP BY 1"""
-    sql["slide_documents"] = f"""
-SELECT conv_id AS doc_id, string_agg(concat('## Slide ', turn + 1, chr(10), chr(10), {_trim('text')}, chr(10), chr(10), '**Notes:** ', role),
-  chr(10) || chr(10) ORDER BY turn) AS markdown FROM conversations GROUP BY 1"""
+SELECT * FROM (SELECT doc_id, CASE WHEN line_no % 5 = 2 THEN 2 ELSE 1 END AS place, line_no AS block_no, {_trim('text')} AS piece FROM doc_lines) WHERE piece <> ''"""
+    decks = f"""
+decks AS (
+  SELECT conv_id AS doc_id, turn + 1 AS section_no, place, CAST(CASE WHEN place = 1 THEN 1 ELSE 0 END AS BIGINT) AS block_no,
+    CASE place WHEN 0 THEN concat('## Slide ', turn + 1) WHEN 1 THEN {_trim('text')} ELSE concat('**Notes:** ', role) END AS piece
+  FROM conversations, unnest([0, 1, 2]) AS x(place)),
+shown AS (SELECT * FROM decks WHERE piece <> '')"""
+    sql["slide_documents"] = _with(decks) + "SELECT * FROM shown"
+    sql["write_texts"] = _with(decks) + (
+        "SELECT doc_id, string_agg(piece, chr(10) || chr(10) ORDER BY section_no, place, block_no) AS markdown FROM shown GROUP BY 1"
+    )
     sql["page_documents"] = _with(_DOC_LINES) + f"""
-, shown AS (SELECT doc_id, line_no, line_no // 3 AS page, CASE WHEN line_no % 4 = 3 THEN '' ELSE {_trim('text')} END AS text FROM doc_lines),
-bodies AS (SELECT doc_id, page, string_agg(text, chr(10) || chr(10) ORDER BY line_no % 3 = 0, line_no) FILTER (text <> '') AS text FROM shown GROUP BY 1, 2)
-SELECT doc_id, string_agg(concat('## Page ', page + 1, CASE WHEN text IS NULL THEN '' ELSE concat(chr(10), chr(10), text) END),
-  chr(10) || chr(10) ORDER BY page) AS markdown FROM bodies GROUP BY 1"""
+, texts AS (SELECT doc_id, line_no // 3 + 1 AS section_no, CASE WHEN line_no % 3 = 0 THEN 2 ELSE 1 END AS place, 2 * line_no AS block_no, {_trim('text')} AS piece FROM doc_lines)
+SELECT * FROM texts WHERE piece <> ''
+UNION ALL SELECT DISTINCT doc_id, section_no, 0, CAST(0 AS BIGINT), concat('## Page ', section_no) FROM texts"""
     sql["extract_attachments"] = f"""
 WITH encoded AS (
   SELECT doc_id, {_trim('text')} AS text, CAST(doc_id // 4 % 4 AS INT) AS f, doc_id % 4 AS n,
@@ -500,8 +524,10 @@ FROM judged"""
 SELECT source_key, concat('[', string_agg(concat('{"filename":"', filename, '","output_key":"', output_key, '","content_type":"', content_type, '"}'),
   ',' ORDER BY part_no, filename), ']') AS refs FROM owned GROUP BY 1"""
 
-    text = "CASE WHEN doc_id % 50 = 0 THEN '--!!' ELSE text END"
-    sql["slugify"] = f"SELECT doc_id, {_slug(text)} AS slug60, {_slug(text, 20)} AS slug20 FROM documents"
+    sql["slugify"] = (
+        f"SELECT doc_id, shape, {_slug('s')} AS slug60, {_slug('s', 20)} AS slug20 FROM "
+        "(SELECT doc_id, shape, CASE WHEN shape = 0 THEN text ELSE '--!!' END AS s FROM documents, unnest([0, 1]) AS x(shape))"
+    )
     sql["normalize_subject"] = _with(_SUBJECTS) + f"SELECT doc_id, {_subject('s')} AS subject FROM marked"
     sql["thread_id"] = _with(_SUBJECTS) + f"SELECT doc_id, {_thread('s')} AS thread FROM marked"
     sql["parse_mail_date"] = _with(_SHAPED) + "SELECT * FROM dated"
@@ -534,8 +560,8 @@ SELECT doc_id, concat('# Attachment: ', lang, chr(10), chr(10), '**Source email:
 SELECT (SELECT count(*) FROM mailbox WHERE conv_id % 13 <> 5) AS emails_processed,
   (SELECT count(*) FROM claimed) AS emails_written,
   (SELECT count(*) FROM addressed) - (SELECT count(*) FROM claimed) AS dedup_skips,
-  (SELECT count(*) FROM owned WHERE strlen(filename) <= 12 AND filename LIKE '%.txt') AS attachments_extracted,
-  (SELECT count(*) FROM owned WHERE strlen(filename) > 12) AS extraction_failures,
+  (SELECT count(*) FROM owned WHERE filename LIKE '%.txt') AS attachments_extracted,
+  CAST(0 AS BIGINT) AS extraction_failures,
   CAST(0 AS BIGINT) AS decode_errors,
   (SELECT count(*) FROM parts) - (SELECT count(*) FROM owned) AS attachments_unowned"""
     sql["flush_counters"] = c + """

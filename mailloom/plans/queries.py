@@ -34,9 +34,10 @@ from mailloom.operators.split import apply_envelope, split_threads
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.mailbox import mailbox, message_bytes, table
-from mailloom.session import work_folder
+from mailloom.plans.tables import Tables
+from mailloom.session import shared_uri, work_folder
 from mailloom.sources import backfill, messages, notifications, sinks
-from mailloom.streaming.jobs import run_stream
+from mailloom.streaming.jobs import run_batch, run_events, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPTIONS = Options()
@@ -88,28 +89,30 @@ def _order_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_tops(spark: SparkSession, sf: str) -> DataFrame:
-    """Accepted units 0 and 1 of each order's message; open orders were duplicates."""
+    """Units 0 and 1 of each order's message; those of open orders are duplicates."""
     orders = table(spark, sf, "orders").withColumn(
         "unit_order", F.explode(F.array(F.lit(0), F.lit(1)))
     )
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return orders.filter("o_orderstatus <> 'O'").select(
+    return orders.select(
         F.concat(F.lit("emails/2024-01-01/ORDER"), "o_orderkey", F.lit("==.eml")).alias("source_key"),
         "unit_order",
         thread_id(F.col("o_orderpriority")).alias("thread"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("sent_at"),
         day.alias("send_date"),
+        (F.col("o_orderstatus") != "O").alias("is_new"),
     )
 
 
 def _order_attachments(spark: SparkSession, sf: str) -> DataFrame:
-    owned = att.attach_to_top(_order_tops(spark, sf), _order_parts(spark, sf))
+    owned = att.attach_to_top(dedup.accepted(_order_tops(spark, sf)), _order_parts(spark, sf))
     key = render.attachment_key(
         OPTIONS.attachments_prefix,
         F.col("send_date"),
         F.col("thread"),
         timestamp_text(F.col("sent_at")),
-        key_stem(F.col("source_key")),
+        F.col("source_key"),
+        F.col("part_no"),
         F.col("filename"),
     )
     return owned.withColumn("output_key", key)
@@ -242,19 +245,23 @@ def parse_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clean_header_(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.when(F.col("doc_id") % 5 == 0, F.lit(" \t\n ")).otherwise(F.concat(F.lit("  "), "text", F.lit("\t ")))
-    return table(spark, sf, "documents").select("doc_id", clean_header(value).alias("header"))
+    values = F.array(F.concat(F.lit("  "), "text", F.lit("\t ")), F.lit(" \t\n "))
+    return table(spark, sf, "documents").select("doc_id", F.posexplode(values).alias("shape", "value")).select(
+        "doc_id", "shape", clean_header(F.col("value")).alias("header")
+    )
 
 
 @query
 def best_body_(spark: SparkSession, sf: str) -> DataFrame:
-    page = F.col("page_id")
-    plain = F.when(page % 3 == 0, F.col("url")).when(page % 3 == 1, F.lit(" \n\t"))
-    html = F.when(page % 7 != 1, F.col("html"))
-    return (
-        table(spark, sf, "pages")
-        .select("page_id", best_body(plain, html).alias("b"))
-        .select("page_id", "b.body", "b.is_markdown")
+    """Each page as a mail with plain text and HTML, with blank text, and with blank text alone."""
+    shapes = F.array(
+        F.struct(F.col("url").alias("plain"), F.col("html")),
+        F.struct(F.lit(" \n\t").alias("plain"), F.col("html")),
+        F.struct(F.lit(" ").alias("plain"), F.lit(None).cast("string").alias("html")),
+    )
+    mails = table(spark, sf, "pages").select("page_id", F.posexplode(shapes).alias("shape", "m"))
+    return mails.select("page_id", "shape", best_body(F.col("m.plain"), F.col("m.html")).alias("b")).select(
+        "page_id", "shape", "b.body", "b.is_markdown"
     )
 
 
@@ -357,8 +364,7 @@ def document_identity(spark: SparkSession, sf: str) -> DataFrame:
         F.col("text").alias("body"),
         "doc_id",
     )
-    firsts = dedup.first_writers(dedup.with_identity(docs), ["doc_id"])
-    return firsts.select("identity", "doc_id", "copies")
+    return dedup.candidates(dedup.with_identity(docs), ["doc_id"])
 
 
 @query
@@ -388,6 +394,83 @@ def claim_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("identity", "thread", "sent_text", "hash8")
 
 
+def _queue(spark: SparkSession, sf: str) -> DataFrame:
+    """Notifications of the mailbox's messages, as their store would send them, and one that names no key."""
+    keys = mailbox(spark, sf).select("source_key")
+    named = backfill.requests(keys, "mail").select("body")
+    return named.unionByName(spark.range(1).select(F.lit('{"Records": [{"s3": {"bucket": {"name": "mail"}}}]}').alias("body")))
+
+
+def _store(spark: SparkSession, sf: str, folder: str, held: Column) -> str:
+    """Files of the messages that are `held`, in a bucket below the folder."""
+    files = message_bytes(mailbox(spark, sf).filter(held)).withColumnRenamed("source_key", "output_key")
+    sinks.export_objects(files, folder + "/mail")
+    return shared_uri(spark, folder) + "/{bucket}"
+
+
+@query
+def ingest_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Notified messages, of which one conversation in nine is missing: decoded mails and quarantined failures."""
+    folder = _new_folder(spark, "events")
+    store = _store(spark, sf, folder, F.col("conv_id") % 9 != 4)
+    run_events(_queue(spark, sf), folder + "/out", store)
+    tables = Tables(spark, folder + "/out")
+    failed = tables.read("quarantine").select("source_key", F.lit(None).cast("string").alias("subject"), F.lit(None).cast("string").alias("body"), "error")
+    good = tables.read("emails").filter("error IS NULL").select("source_key", "subject", "body", "error")
+    return good.unionByName(failed)
+
+
+@query
+def retry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Six batches: some messages never come, some come after the second; the ledger's last word on every source."""
+    folder = _new_folder(spark, "retries")
+    missing, late = F.col("conv_id") % 9 == 4, F.col("conv_id") % 9 == 5
+    store = _store(spark, sf, folder, ~missing & ~late)
+    queue, none = _queue(spark, sf), spark.createDataFrame([], "body string")
+    run_events(queue, folder + "/out", store)
+    run_events(none, folder + "/out", store)
+    _store(spark, sf, folder, late)
+    for _ in range(4):
+        run_events(none, folder + "/out", store)
+    tables = Tables(spark, folder + "/out")
+    ledger = tables.attempts().groupBy("source_key").agg(F.max(F.struct("attempt", "state")).alias("a"))
+    done = tables.read("emails").filter("error IS NULL").select("source_key", F.col("batch_id").cast("int").alias("read_in"))
+    return done.join(ledger, "source_key", "full").select("source_key", "read_in", F.col("a.attempt").alias("failures"), F.col("a.state").alias("state"))
+
+
+@query
+def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
+    folder = _new_folder(spark, "backfill")
+    _store(spark, sf, folder, F.lit(True))
+    return backfill.enqueue(spark, folder + "/mail", "mail", folder + "/queue", "emails/2026-07-0")
+
+
+def _runs(spark: SparkSession, sf: str, clear: bool, *prefixes: str | None) -> DataFrame:
+    """Batches over the mailbox's files, one for each prefix of keys; before each but the first all is forgotten."""
+    folder = _new_folder(spark, "again")
+    _store(spark, sf, folder, F.lit(True))
+    tables = Tables(spark, folder + "/out")
+    for number, prefix in enumerate(prefixes):
+        if number and clear:
+            tables.clear("content", OPTIONS.output_prefix)
+        if number:
+            tables.forget(everything=True)
+        run_batch(spark, folder + "/mail", folder + "/out", prefix=prefix)
+    return tables.read("content").select("identity", "thread", "sent_text", "hash8", "batch_id")
+
+
+@query
+def reprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Some mails, then all again: every accepted mail stands once, as its latest batch wrote it."""
+    return _runs(spark, sf, False, "emails/misc/", None)
+
+
+@query
+def clear_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All mails, cleared, then some again: no page of the first batch comes back."""
+    return _runs(spark, sf, True, None, "emails/misc/")
+
+
 @query
 def registry_rows(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.registry_rows(_claimed(spark, sf), 7).drop("created_at")
@@ -451,27 +534,30 @@ def rows_to_markdown(spark: SparkSession, sf: str) -> DataFrame:
     cells = F.array(
         F.col("l_partkey").cast("string"),
         F.concat("l_returnflag", F.lit("|"), "l_linestatus"),
-        F.when(F.col("l_suppkey") % 4 != 0, F.concat("l_suppkey", F.lit("\nx"))),
+        F.concat("l_suppkey", F.lit("\nx")),
+        F.lit(None).cast("string"),
     )
-    ragged = F.when(F.col("l_partkey") % 5 == 0, F.slice(cells, 1, 1)).otherwise(cells)
+    ragged = F.when(F.col("l_partkey") % 5 == 0, F.array_append(cells, F.lit("more"))).otherwise(cells)
     rows = _numbered_items(spark, sf).select("l_orderkey", "row_no", ragged.alias("cells"))
-    return documents.rows_to_markdown(rows, ["l_orderkey"], "row_no", "cells").select("l_orderkey", "markdown")
+    return documents.rows_to_lines(rows, ["l_orderkey"], "row_no", "cells")
 
 
 @query
 def sheet_documents(spark: SparkSession, sf: str) -> DataFrame:
-    blank = F.col("l_partkey") % 6 == 0
-    values = [F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_linestatus")]
-    columns = F.array(*[F.struct(F.lit(i).alias("col_no"), F.when(~blank, v).alias("cell")) for i, v in enumerate(values)])
-    cells = _numbered_items(spark, sf).select(
+    values = [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linestatus")]
+    columns = F.array(*[F.struct(F.lit(i).alias("col_no"), v.cast("variant").alias("cell")) for i, v in enumerate(values)])
+    blank = F.array(F.struct(F.lit(0).alias("col_no"), F.lit(None).cast("variant").alias("cell")))
+    # Every row is followed by a blank one.
+    rows = F.array(F.struct((F.col("row_no") * 2).alias("row_no"), columns.alias("cells")), F.struct((F.col("row_no") * 2 + 1).alias("row_no"), blank.alias("cells")))
+    items = _numbered_items(spark, sf).select("l_orderkey", "l_returnflag", F.explode(rows).alias("r"))
+    cells = items.select(
         F.col("l_orderkey").alias("doc_id"),
         F.ascii("l_returnflag").alias("section_no"),
         F.col("l_returnflag").alias("section_title"),
-        "row_no",
-        F.explode(columns).alias("c"),
+        F.col("r.row_no").alias("row_no"),
+        F.inline("r.cells"),
     )
-    sheets = documents.sheets_to_document(cells.select("*", "c.*").drop("c"))
-    return sheets.select("doc_id", "markdown", "data")
+    return documents.sheets_to_lines(cells)
 
 
 def _document_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -485,7 +571,7 @@ def paragraph_documents(spark: SparkSession, sf: str) -> DataFrame:
     lines = _document_lines(spark, sf)
     kind = F.when(F.col("line_no") % 5 == 2, "table").otherwise("text")
     blocks = lines.select("doc_id", F.col("line_no").alias("block_no"), kind.alias("kind"), "text")
-    return documents.paragraphs_to_document(blocks).select("doc_id", "markdown")
+    return documents.paragraphs_to_pieces(blocks)
 
 
 @query
@@ -497,21 +583,32 @@ def slide_documents(spark: SparkSession, sf: str) -> DataFrame:
     blocks = table(spark, sf, "conversations").select(
         F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).alias("section_no"), F.explode(shapes).alias("b")
     )
-    return documents.slides_to_document(blocks.select("doc_id", "section_no", "b.*")).select("doc_id", "markdown")
+    return documents.slides_to_pieces(blocks.select("doc_id", "section_no", "b.*"))
 
 
 @query
 def page_documents(spark: SparkSession, sf: str) -> DataFrame:
     lines = _document_lines(spark, sf)
     line = F.col("line_no")
-    blocks = lines.select(
-        "doc_id",
-        (F.floor(line / 3) + 1).alias("section_no"),
-        line.alias("block_no"),
-        F.when(line % 3 == 0, "table").otherwise("text").alias("kind"),
-        F.when(line % 4 == 3, F.lit(" ")).otherwise(F.col("text")).alias("text"),
+    kind = F.when(line % 3 == 0, "table").otherwise("text")
+    # Every line is followed by a blank one.
+    shapes = F.array(
+        F.struct((line * 2).alias("block_no"), kind.alias("kind"), F.col("text")),
+        F.struct((line * 2 + 1).alias("block_no"), kind.alias("kind"), F.lit(" ").alias("text")),
     )
-    return documents.pages_to_document(blocks).select("doc_id", "markdown")
+    blocks = lines.select("doc_id", (F.floor(line / 3) + 1).alias("section_no"), F.inline(shapes))
+    return documents.pages_to_pieces(blocks)
+
+
+@query
+def write_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Decks as files: their pieces streamed in order, read back whole."""
+    folder = _new_folder(spark, "texts")
+    pieces = slide_documents(spark, sf).withColumn("name", F.concat(F.lit("decks/"), "doc_id", F.lit(".md")))
+    sinks.write_texts(pieces, "name", ["section_no", "place", "block_no"], "piece", folder, documents.PIECE_BREAK)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", r"([0-9]+)\.md$", 1).cast("bigint")
+    return files.select(name.alias("doc_id"), F.col("content").cast("string").alias("markdown"))
 
 
 @query
@@ -529,7 +626,7 @@ def extract_attachments(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def attach_to_top(spark: SparkSession, sf: str) -> DataFrame:
-    owned = att.attach_to_top(_order_tops(spark, sf), _order_parts(spark, sf))
+    owned = att.attach_to_top(dedup.accepted(_order_tops(spark, sf)), _order_parts(spark, sf))
     return owned.select("source_key", "part_no", "filename", "thread", "send_date")
 
 
@@ -544,10 +641,8 @@ def attachment_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def slugify_(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.when(F.col("doc_id") % 50 == 0, F.lit("--!!")).otherwise(F.col("text"))
-    return table(spark, sf, "documents").select(
-        "doc_id", slugify(text).alias("slug60"), slugify(text, 20).alias("slug20")
-    )
+    texts = table(spark, sf, "documents").select("doc_id", F.posexplode(F.array(F.col("text"), F.lit("--!!"))).alias("shape", "text"))
+    return texts.select("doc_id", "shape", slugify(F.col("text")).alias("slug60"), slugify(F.col("text"), 20).alias("slug20"))
 
 
 def _marked_subject() -> Column:
@@ -682,8 +777,8 @@ def _run(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = monitor.quarantine(mails)
     claims = dedup.claim(units_of(good.drop("error"), OPTIONS))
     parts = _order_parts(spark, sf).withColumn("data", F.col("filename").cast("binary"))
-    owned = att.attach_to_top(_order_tops(spark, sf), parts)
-    extracted = att.extract_attachments(owned, None, Options(max_attachment_bytes=12))
+    owned = att.attach_to_top(dedup.accepted(_order_tops(spark, sf)), parts)
+    extracted = att.extract_attachments(owned)
     return monitor.run_counters(mails, claims, extracted, parts)
 
 

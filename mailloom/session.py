@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # So many values of an IN filter reach the scan of the registry.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Listing many single files: one task for each is too many.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # Binary rows are large: bound Arrow batches by rows as well as bytes.

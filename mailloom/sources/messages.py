@@ -9,6 +9,7 @@ from email.message import EmailMessage
 from email.parser import BytesParser
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
@@ -48,16 +49,37 @@ _MESSAGE = pa.struct(
 )
 
 
+def below_prefix(root: str, prefix: str) -> str:
+    """A path pattern for everything below `root` whose path there starts with `prefix`.
+
+    The pattern names folders (or files) of one level, whose contents tasks list in parallel if they are many.
+    """
+    plain = re.sub(r"([\\\[\]{}*?])", r"\\\1", prefix)
+    return f"{root.rstrip('/')}/{plain}*"
+
+
+def _first_found(reader, paths: list[str]) -> DataFrame | None:
+    for path in paths:
+        try:
+            return reader.load(path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return None
+
+
 def scan_messages(
     spark: SparkSession,
     root: str,
     streaming: bool = False,
     input_prefix: str = "emails/",
     max_files_per_trigger: int | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
     """Message files under `root`, with `source_key` starting at `input_prefix`.
 
-    Reading only keys leaves the file contents untouched.
+    With `prefix`, a prefix of keys, only folders and files are listed whose path below `root` starts with it. Reading
+    only keys leaves the file contents untouched.
     """
     reader = (spark.readStream if streaming else spark.read).format("binaryFile").schema(OBJECT_SCHEMA)
     reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", MESSAGE_GLOB)
@@ -66,7 +88,12 @@ def scan_messages(
         reader = reader.option("maxFileAge", "36500d")
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    objects = reader.load(root)
+    if prefix is None:
+        objects = reader.load(root)
+    else:
+        # Without the prefix folder below the root, all of it is below the prefix.
+        objects = _first_found(reader, [below_prefix(root, prefix), below_prefix(root, prefix.removeprefix(input_prefix))])
+        objects = spark.createDataFrame([], OBJECT_SCHEMA) if objects is None else objects
     # The key begins at the first prefix folder below the root; without one the whole rest is below the prefix.
     base = re.sub("^[^:/]+:/*", "/", shared_uri(spark, root).rstrip("/"))
     below = F.substring(F.regexp_replace("path", "^[^:/]+:/*", "/"), len(base) + 1, 1 << 30)
@@ -145,13 +172,14 @@ def _first_place(content_type: str) -> Column:
 
 
 def parse_messages(objects: DataFrame) -> DataFrame:
-    """Decode `content` to headers, body and parts; a bad message gets an `error`.
+    """Decode `content` to headers, body and parts; a bad message gets an `error`, or keeps the one it came with.
 
     The only Python stage of the mail path yields headers and leaf parts in Arrow
     batches; cleaning, body choice and part numbers are built-in functions.
     """
-    carried = [c for c in objects.columns if c not in ("content", "path", "length")]
-    decoded = objects.select(*carried, _decode_messages(F.col("content")).alias("m"))
+    carried = [c for c in objects.columns if c not in ("content", "path", "length", "error")]
+    given = F.col("error") if "error" in objects.columns else F.lit(None).cast("string")
+    decoded = objects.select(*carried, given.alias("given"), _decode_messages(F.col("content")).alias("m"))
     plain, html = _first_place("text/plain"), _first_place("text/html")
     at = lambda place: F.when(F.col(place) > 0, F.try_element_at("leaves", F.col(place)))
     others = F.filter("leaves", lambda _, i: (i + 1 != F.col("plain_at")) & (i + 1 != F.col("html_at")))
@@ -159,13 +187,13 @@ def parse_messages(objects: DataFrame) -> DataFrame:
         i.cast("int").alias("part_no"), *(x[c].alias(c) for c in ("filename", "content_type", "disposition", "data", "error"))
     )
     return (
-        decoded.select(*carried, "m.*")
+        decoded.select(*carried, "given", "m.*")
         .withColumns({c: clean_header(F.col(c)) for c in _HEADERS})
         .withColumns({"plain_at": plain, "html_at": html})
         .withColumn("chosen", best_body(at("plain_at")["text"], at("html_at")["text"]))
         .withColumn("parts", F.transform(others, part))
         # A body that cannot be read is the message's error; other parts keep theirs.
-        .withColumn("error", F.coalesce("error", at("plain_at")["error"], at("html_at")["error"]))
+        .withColumn("error", F.coalesce("given", "error", at("plain_at")["error"], at("html_at")["error"]))
         .select(
             *carried,
             *_HEADERS,

@@ -11,81 +11,150 @@ from pyspark.sql.streaming import StreamingQuery
 from mailloom.operators.attachments import (
     Decoder,
     attach_to_top,
+    attachment_refs,
     extract_attachments,
     real_attachments,
     render_attachments,
     without_useless_bytes,
 )
-from mailloom.operators.dedup import WRITER_ORDER, accepted, claim, registry_rows
-from mailloom.operators.monitor import flush_counters, quarantine, run_counters
+from mailloom.operators.dedup import accepted, candidates, flagged, registry_rows, winners
+from mailloom.operators.monitor import flush_counters, ledger, quarantine, run_counters
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.tables import Tables
-from mailloom.sources.backfill import backfill
+from mailloom.sources.backfill import backfill, select_keys
 from mailloom.sources.messages import parse_messages, scan_messages
+from mailloom.sources.notifications import failed_events, flatten_events
+from mailloom.sources.objects import fetch
 
-CLAIM_PAYLOAD = (
-    "identity", "copies", "is_new", "source_key", "unit_order", "is_wrapper", "is_external", "message_id",
+ACCEPTED = (
+    "identity", "copies", "source_key", "unit_order", "is_wrapper", "is_external", "message_id",
     "from_", "to_", "cc", "subject", "date_header", "body", "hash8", "thread", "sent_at", "sent_text",
     "send_date", "output_key",
 )
 
 
+# What a batch writes of decoded mails; a repeated batch without any leaves none of it behind.
+AFTER_DECODING = (
+    "candidates", "claims", "accepted", "attachments", "attachment_content", "content", "run_metrics", "registry", "registry_filters",
+)
+
+
 def process_batch(
     objects: DataFrame,
     tables: Tables,
     batch_id: int,
     options: Options = Options(),
     decoders: Mapping[str, Decoder] | None = None,
+    work: DataFrame | None = None,
+    rejected: DataFrame | None = None,
 ) -> None:
     """Process one set of message files; repeating a batch replaces its output.
 
-    Decoded mails and claims are written before they are used again, so MIME is
-    decoded once and a lost executor only repeats its own tasks.
+    Decoded mails, claims and accepted mails are written before they are used
+    again, so MIME is decoded once and a lost executor only repeats its own
+    tasks. `work` is what the batch set out to read (see `ledger`), `rejected`
+    failures from before (source_key, error).
     """
-    emails = tables.write(parse_messages(objects), "emails", batch_id)
+    emails = without_useless_bytes(parse_messages(objects), decoders, options)
+    emails = tables.write(emails, "emails", batch_id)
     good, bad = quarantine(emails)
     failed_parts = (
         good.select("source_key", F.explode("parts").alias("p"))
         .filter("p.error IS NOT NULL")
         .select("source_key", "p.part_no", "p.error")
     )
-    failed = bad.select("source_key", F.lit(None).cast("int").alias("part_no"), "error")
-    tables.write(failed.unionByName(failed_parts), "quarantine", batch_id)
-
+    failed = bad.select("source_key", "error")
+    listed = failed if rejected is None else failed.unionByName(rejected)
+    listed = listed.select("source_key", F.lit(None).cast("int").alias("part_no"), "error")
+    tables.write(listed.unionByName(failed_parts), "quarantine", batch_id)
+
+    if good.isEmpty():  # such as a batch of retries that all fail again
+        for table in AFTER_DECODING:
+            tables.drop(table, batch_id)
+        if work is not None:
+            tables.write(ledger(work, failed), "attempts", batch_id)
+        tables.finish(batch_id)
+        return
     units = units_of(good.drop("parts", "error", "body_is_markdown"), options)
-    claims = address_units(claim(units, tables.registry(before_batch=batch_id), WRITER_ORDER), options)
-    # Identities already known are kept for the counters, without their text.
-    slim = claims.withColumn("body", F.when(F.col("is_new"), F.col("body"))).select(*CLAIM_PAYLOAD)
-    claims = tables.write(slim, "claims", batch_id)
-    claimed = accepted(claims)
+    # Claims are narrow rows; texts wait until the winners are known.
+    firsts, known = candidates(units), None
+    if tables.knows_any(batch_id):
+        firsts = tables.write(firsts, "candidates", batch_id)
+        known = tables.known(firsts, batch_id)
+    claims = tables.write(flagged(firsts, known), "claims", batch_id)
+    claimed = address_units(winners(units, accepted(claims)), options).select(*ACCEPTED)
+    claimed = tables.write(claimed, "accepted", batch_id)
 
     parts = real_attachments(good)
-    owned = attach_to_top(claimed, without_useless_bytes(parts, decoders, options))
-    extracted = extract_attachments(owned, decoders, options)
+    extracted = extract_attachments(attach_to_top(claimed, parts), decoders, options)
     extracted = tables.write(extracted, "attachments", batch_id)
     pages = tables.write(render_attachments(extracted, options), "attachment_content", batch_id, by="send_date")
-    # Bounded: all references of a message come out of one message row.
-    refs = pages.groupBy("source_key").agg(
-        F.array_sort(F.collect_list(F.struct("part_no", "filename", "output_key", "content_type"))).alias("r")
-    )
-    refs = refs.select(
-        "source_key",
-        F.transform(
-            "r",
-            lambda x: F.struct(
-                x["filename"].alias("filename"),
-                x["output_key"].alias("output_key"),
-                x["content_type"].alias("content_type"),
-            ),
-        ).alias("refs"),
-    )
-    tables.write(content_of(claimed, refs), "content", batch_id, by="send_date")
+    tables.write(content_of(claimed, attachment_refs(pages)), "content", batch_id, by="send_date")
     flush_counters(run_counters(emails, claims, extracted, parts), tables.path("run_metrics"), batch_id)
-    tables.write(registry_rows(claimed, batch_id).drop("batch_id"), "registry", batch_id)
+    if work is not None:
+        tables.write(ledger(work, failed), "attempts", batch_id)
+    tables.write_registry(registry_rows(claimed, batch_id), batch_id)
     tables.finish(batch_id)
 
 
+def process_events(
+    queue: DataFrame,
+    tables: Tables,
+    batch_id: int,
+    store: str,
+    options: Options = Options(),
+    decoders: Mapping[str, Decoder] | None = None,
+) -> None:
+    """Process the messages that notifications (column `body`) name, and those an earlier batch left for a retry.
+
+    Objects are fetched in the tasks, see `sources.objects`. One that is missing or cannot be read is a failure of its
+    own: it is quarantined and tried again by later batches until its fifth failure, when it is dead. Records without
+    bucket or key are quarantined. `store` is a URI with `{bucket}` in it.
+    """
+    named = flatten_events(queue.select("body")).withColumnRenamed("key", "source_key")
+    new = select_keys(named, options.input_prefix, "bucket").withColumn("attempt", F.lit(0))
+    due = tables.due(batch_id).select("bucket", "source_key", "attempt")
+    work = new.unionByName(due).groupBy("bucket", "source_key").agg(F.max("attempt").alias("attempt"))
+    work = tables.write(work, "work", batch_id)
+    rejected = failed_events(queue.select("body")).select(F.col("key").alias("source_key"), "error")
+    objects = fetch(work, store).drop("bucket")
+    process_batch(objects, tables, batch_id, options, decoders, work, rejected)
+
+
+def run_events(
+    queue: DataFrame,
+    tables_root: str,
+    store: str,
+    options: Options = Options(),
+    decoders: Mapping[str, Decoder] | None = None,
+) -> int:
+    """Process a set of notifications and return the batch's number."""
+    tables = Tables(queue.sparkSession, tables_root)
+    batch_id = tables.next_batch()
+    process_events(queue, tables, batch_id, store, options, decoders)
+    return batch_id
+
+
+def run_event_stream(
+    queue: DataFrame,
+    tables_root: str,
+    store: str,
+    options: Options = Options(),
+    decoders: Mapping[str, Decoder] | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Process notifications as they arrive, or once through all if `every` is None; see `run_stream`."""
+    tables = Tables(queue.sparkSession, tables_root)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        process_events(batch, tables, batch_id, store, options, decoders)
+
+    writer = queue.select("body").writeStream.foreachBatch(each).option("checkpointLocation", f"{tables.root}/_events")
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 def run_batch(
     spark: SparkSession,
     source: str,
@@ -102,7 +171,7 @@ def run_batch(
     """
     tables = Tables(spark, tables_root)
     batch_id = tables.next_batch()
-    objects = scan_messages(spark, source, input_prefix=options.input_prefix)
+    objects = scan_messages(spark, source, input_prefix=options.input_prefix, prefix=prefix)
     process_batch(backfill(objects, prefix or options.input_prefix), tables, batch_id, options, decoders)
     return batch_id
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from datetime import timezone
 from email.utils import parsedate_to_datetime
 
@@ -192,6 +194,10 @@ HTML = {
     "<ul><li>one</li><li>two</li></ul><ol><li>x</li><li>y</li></ol>": "* one\n* two\n\n1. x\n2. y",
     "<p>x<br>y <i><b>z</b></i> <code>c</code></p><hr><img src='a.png'>": "x  \ny ***z*** `c`\n\n---",
     "<blockquote><p>q1</p><p>q2</p></blockquote>after": "> q1\n>\n> q2\n\nafter",
+    "<b><span>Team</span></b> <i> a <b>b</b></i>": "**Team**  *a **b***",
+    "<a href=u>x</a> <a class=k href='v'>y</a>": "[x](u) [y](v)",
+    "<b><a href='u'>go</a></b> <a href='w'><em>on</em> it</a>": "**[go](u)** [*on* it](w)",
+    "<strong>open <p>next</p></strong><b></b><i></i>end <b>x": "open\n\nnext\n\nend x",
     "<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table>": "| a | b |\n| --- | --- |\n| 1 | 2 |",
 }
 
@@ -242,25 +248,26 @@ def block(section, number, kind, text=None, rows=None, title=None):
 
 
 def test_document_assembly(spark):
-    rows = [["Name", "Value"], ["", " "], ["Alpha", "1"]]
+    typed = lambda *rows: [[None if v is None else json.dumps(v) for v in r] for r in rows]
+    head, rows = typed(["Name", "Value"]), typed(["Name", "Value"], ["", " ", None], ["Alpha", 1], [True, 2.5])
     cases = [
-        ("docx", [block(0, 5, "table", rows=rows[:1]), block(0, 6, "text", " b "), block(0, 0, "text", "a"), block(0, 1, "text", " ")],
+        ("docx", [block(0, 5, "table", rows=head), block(0, 6, "text", " b "), block(0, 0, "text", "a"), block(0, 1, "text", " ")],
          "a\n\nb\n\n| Name | Value |\n| --- | --- |"),
         ("pptx", [block(1, 0, "notes", "n"), block(1, 1, "text", "t"), block(2, 0, "text", "")], "## Slide 1\n\nt\n\n**Notes:** n\n\n## Slide 2"),
-        ("pdf", [block(1, 0, "table", rows=rows[:1]), block(1, 1, "text", "p"), block(2, 0, "text", "")],
+        ("pdf", [block(1, 0, "table", rows=head), block(1, 1, "text", "p"), block(2, 0, "text", "")],
          "## Page 1\n\np\n\n| Name | Value |\n| --- | --- |\n\n## Page 2"),
-        ("xlsx", [block(0, 0, "table", rows=rows, title="Data"), block(1, 0, "table", rows=[[""]], title="Blank")],
-         "## Data\n\n| Name | Value |\n| --- | --- |\n| Alpha | 1 |"),
+        ("xlsx", [block(0, 0, "table", rows=rows, title="Da\"ta"), block(1, 0, "table", rows=typed([""]), title="Blank")],
+         "## Da\"ta\n\n| Name | Value |\n| --- | --- |\n| Alpha | 1 |\n| true | 2.5 |"),
     ]
     df = spark.createDataFrame([(k, b) for k, b, _ in cases], f"kind string, blocks {documents.BLOCK_TYPE}")
     got = [r[0] for r in df.select(documents.document_markdown(F.col("kind"), F.col("blocks"))).collect()]
     assert got == [want for _, _, want in cases]
+    (data,) = df.filter("kind = 'xlsx'").select(documents.workbook_json(documents.workbook_sheets(F.col("blocks")))).first()
+    assert json.loads(data) == {"sheets": [{"sheet": 'Da"ta', "rows": [["Name", "Value"], ["Alpha", 1], [True, 2.5]]}]}
 
 
 def test_render_attachment_metadata(spark):
     df = spark.createDataFrame([("a.xlsx", '{"sheets":[]}'), ("b.txt", None)], "f string, d string")
     meta = render.attachment_metadata(F.col("f"), F.lit("t/x"), F.lit("s"), F.lit("o"), F.col("d"))
-    import json
-
     got = [json.loads(r[0]) for r in df.select(meta).collect()]
     assert got[0]["data"] == {"sheets": []} and "data" not in got[1] and got[1]["filename"] == "b.txt"

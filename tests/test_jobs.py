@@ -9,8 +9,8 @@ import pytest
 from mailloom.operators.attachments import real_attachments
 from mailloom.options import Options
 from mailloom.plans.tables import Tables
-from mailloom.sources import backfill, messages, sinks
-from mailloom.streaming.jobs import claim_any, process_batch, run_batch, run_stream
+from mailloom.sources import backfill, messages, objects, sinks
+from mailloom.streaming.jobs import claim_any, process_batch, run_batch, run_event_stream, run_events, run_stream
 from tests import samples
 
 COUNTERS = ("emails_processed", "emails_written", "dedup_skips", "attachments_extracted", "extraction_failures")
@@ -162,14 +162,15 @@ def test_decoders_are_isolated(spark, tmp_path):
         return [{"section_no": 1, "block_no": 0, "kind": "text", "text": "Page text"}]
 
     def xlsx(data: bytes):
-        return [{"section_no": 0, "section_title": "Data", "block_no": 0, "kind": "table", "rows": [["Name", "Value"], ["Alpha", "1"]]}]
+        return [{"section_no": 0, "section_title": "Data", "block_no": 0, "kind": "table", "rows": [["Name", "Value"], ["Alpha", 1], [None, " "], [None, True]]}]
 
     root = str(tmp_path / "out")
     run_batch(spark, source, root, decoders={"pdf": pdf, "xlsx": xlsx})
     pages = {r.filename: r for r in Tables(spark, root).read("attachment_content").collect()}
     assert set(pages) == {"a.pdf", "c.XLSX"}
     assert pages["a.pdf"].markdown.endswith("## Page 1\n\nPage text\n")
-    assert json.loads(pages["c.XLSX"].metadata_json)["data"] == {"sheets": [{"sheet": "Data", "rows": [["Name", "Value"], ["Alpha", "1"]]}]}
+    assert json.loads(pages["c.XLSX"].metadata_json)["data"] == {"sheets": [{"sheet": "Data", "rows": [["Name", "Value"], ["Alpha", 1], ["", True]]}]}
+    assert "| Alpha | 1 |" in pages["c.XLSX"].markdown
     counted = Tables(spark, root).read("run_metrics").first()
     assert (counted.attachments_extracted, counted.decode_errors, counted.extraction_failures) == (2, 1, 0)
 
@@ -184,9 +185,11 @@ def test_export_and_collisions(spark, source, tmp_path):
     sidecar = next(p for p in files if p.suffix == ".json" and "caf" in p.name)
     assert "Café" in sidecar.read_text(encoding="utf-8")
     double = sinks.objects(pages.unionByName(pages))
-    with pytest.raises(ValueError, match="share the key"):
-        sinks.export_objects(double, f"file://{target}")
-    assert sinks.key_collisions(double).count() == 18
+    again = tmp_path / "again"
+    single = double.limit(0).unionByName(spark.createDataFrame([("x/one.md", bytearray(b"1")), (None, None)], "output_key string, content binary"))
+    report = sinks.export_objects(double.unionByName(single), f"file://{again}")
+    assert report.count() == 19 and report.filter("n = 2").count() == 18
+    assert [p.name for p in again.rglob("*") if p.is_file()] == ["one.md"]
 
 
 def test_claim_any_keeps_one_of_each(spark, source, tmp_path):
@@ -226,3 +229,86 @@ def test_forget_clear_and_backfill(spark, source, tmp_path):
     assert run_batch(spark, source, root) == 3
     keys = [r["output_key"] for r in tables.read("content").collect()]
     assert len(keys) == len(set(keys)) == 9
+    # A cleared page is gone in all its versions, until it is processed again.
+    assert tables.clear("content", "emails-extracted/", "emails-extracted/content/2026-07-27/") == 8
+    assert tables.read("content").filter("send_date = '2026-07-27'").count() == 0
+    assert tables.clear("content", "emails-extracted/") == 1 and tables.read("content").count() == 0
+    tables.forget(keys=["<direct-1@example.com>"])
+    assert run_batch(spark, source, root) == 4
+    assert rows(tables.read("content"), "identity") == [("<direct-1@example.com>",)]
+
+
+def test_attachments_of_one_name_stay_apart(spark, tmp_path):
+    """Same subject, time, file name and a long common stem, in two batches."""
+    def mail(number):
+        m = samples.message("Same", "Body.\n", mid=f"<same-{number}@example.com>")
+        for text in (b"first", b"second"):
+            m.add_attachment(text + str(number).encode(), maintype="text", subtype="plain", filename="report.txt")
+        return m.as_bytes()
+
+    root, stem = str(tmp_path / "out"), "s" * 60
+    source = samples.write_files(tmp_path / "in", {f"2026-07-27/{stem}1.eml": mail(1)})
+    run_batch(spark, source, root)
+    samples.write_files(tmp_path / "in", {f"2026-07-27/{stem}2.eml": mail(2)})
+    run_batch(spark, source, root)
+    pages = Tables(spark, root).read("attachment_content").collect()
+    assert len({r.output_key for r in pages}) == len(pages) == 4
+    assert {w for r in pages for w in r.markdown.split() if w[-1] in "12" and w[:1] in "fs" and w[:3] in ("fir", "sec")} == {"first1", "second1", "first2", "second2"}
+
+
+def queue_of(spark, *keys, bucket="in"):
+    return backfill.requests(spark.createDataFrame([(k,) for k in keys], "source_key string"), bucket).select("body")
+
+
+def test_events_are_fetched_and_failures_reported(spark, source, tmp_path):
+    root, store = str(tmp_path / "out"), f"file://{tmp_path}/{{bucket}}"
+    keys = ["emails/2026-07-27/direct.eml", "emails/misc/latin.eml", "emails/gone.eml", "emails/2026-07-27/direct.eml", "emails/notes.txt", "other/x.eml"]
+    queue = queue_of(spark, *keys).unionByName(spark.createDataFrame([('{"Records": [{"s3": {"bucket": {"name": "in"}}}]}',), ("junk",)], "body string"))
+    assert run_events(queue, root, store) == 0
+    tables = Tables(spark, root)
+    assert rows(tables.read("content"), "identity") == [("<direct-1@example.com>",), ("<latin-1@example.com>",)]
+    bad = sorted((r.source_key or "", r.error) for r in tables.read("quarantine").collect())
+    assert bad == [("", "record without bucket or key"), ("emails/gone.eml", "missing object")]
+
+
+def test_objects_in_ranges_and_beyond_a_value(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "odd name+%é.eml").write_bytes(bytes(range(256)) * 50)
+    (tmp_path / "b" / "large.eml").write_bytes(b"x" * 20_000)
+    (tmp_path / "b" / "folder.eml").mkdir()
+    (tmp_path / "b" / "empty.eml").write_bytes(b"")
+    named = spark.createDataFrame([("b", k) for k in ("odd name+%é.eml", "large.eml", "folder.eml", "none.eml", "empty.eml")], "bucket string, source_key string")
+    found = {r.source_key: r for r in objects.fetch(named, f"file://{tmp_path}/{{bucket}}", most_bytes=15_000, range_bytes=700).collect()}
+    assert bytes(found["odd name+%é.eml"].content) == bytes(range(256)) * 50 and found["odd name+%é.eml"].error is None
+    assert found["large.eml"].content is None and "beyond 15000" in found["large.eml"].error and found["large.eml"].length == 20_000
+    assert found["folder.eml"].error == found["none.eml"].error == "missing object" and found["empty.eml"].content == b""
+
+
+def test_event_stream_retries_to_the_fifth_failure(spark, source, tmp_path):
+    """Seven batches: one object never comes, one comes after the second failure; the store is asked five times."""
+    root, store, folder = str(tmp_path / "out"), f"file://{tmp_path}/{{bucket}}", tmp_path / "queue"
+    folder.mkdir()
+    late = tmp_path / "in" / "emails" / "late.eml"
+    for number in range(7):
+        keys = ["emails/gone.eml", "emails/late.eml"] if number == 0 else [f"emails/none-{number}.txt"]
+        queue_of(spark, *keys).coalesce(1).write.mode("append").json(str(folder))
+        if number == 2:
+            late.write_bytes(samples.message("Late", "Here.\n", mid="<late-1@example.com>").as_bytes())
+        stream = spark.readStream.schema("body string").json(str(folder))
+        run_event_stream(stream, root, store).awaitTermination()
+    tables = Tables(spark, root)
+    got = rows(tables.attempts(), "source_key", "attempt", "state", "batch_id")
+    assert [r for r in got if "late" in r[0]] == [("emails/late.eml", 1, "retry", 0), ("emails/late.eml", 2, "retry", 1)]
+    assert [r[1:] for r in got if "gone" in r[0]] == [(n, "retry" if n < 5 else "dead", n - 1) for n in range(1, 6)]
+    assert rows(tables.read("content"), "identity", "batch_id") == [("<late-1@example.com>", 2)]
+
+
+def test_enqueue_counts(spark, source, tmp_path):
+    queue = str(tmp_path / "queue")
+    assert tuple(backfill.enqueue(spark, source, "in", queue, "emails/misc/").first()) == (3, 3, 1)
+    assert tuple(backfill.enqueue(spark, source, "in", queue, "emails/2026-07", dry_run=True).first()) == (6, 0, 0)
+    assert tuple(backfill.enqueue(spark, source, "in", queue, "emails/none").first()) == (0, 0, 0)
+    backfill.enqueue(spark, source, "in", queue)
+    root = str(tmp_path / "out")
+    run_events(spark.read.schema("body string").json(queue), root, f"file://{tmp_path}/{{bucket}}")
+    assert Tables(spark, root).read("content").count() == 9

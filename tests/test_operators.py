@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mailloom.operators import attachments as att
 from mailloom.operators import dedup, documents, monitor, quality, ranking, retrieval
-from mailloom.sources import notifications
+from mailloom.sources import notifications, sinks
 
 UNIT = "identity string, modification_time timestamp, source_key string, unit_order int, body string"
 
@@ -42,7 +42,7 @@ def test_claim_against_registry(spark):
 
 
 def test_registry_selection(spark):
-    registry = spark.createDataFrame([("a", "emails/x/1"), ("b", "emails/y/1")], "identity string, source_key string")
+    registry = spark.createDataFrame([("a", "emails/x/1", 0), ("b", "emails/y/1", 2)], "identity string, source_key string, batch_id long")
     pick = dedup.select_identities
     assert rows(pick(registry, everything=True)) == [("a",), ("b",)]
     assert rows(pick(registry, keys=["b", "q"])) == [("b",)]
@@ -72,65 +72,79 @@ def test_chunks(spark):
     assert rows(ranking.chunk_report(chunks, F.col("ok"))) == [(0, 10, 3), (1, 10, 2), (2, 5, 2)]
 
 
-def joined(df, key, order, value="markdown", separator="\n"):
-    out = {}
-    for r in sorted(df.collect(), key=lambda r: tuple(r[c] for c in order)):
-        out.setdefault(r[key], []).append(r[value])
-    return {k: separator.join(v) for k, v in out.items()}
+def test_identity_filters(spark):
+    """A filter lets through all it holds and few others, over batches of several sizes."""
+    known = [spark.range(a, b).select(F.concat(F.lit("id-"), "id").alias("identity")) for a, b in ((0, 10), (10, 5000), (5000, 40_000))]
+    slots = [dedup.slots_for(n) for n in (10, 4990, 35_000)]
+    assert slots == [1, 4, 32] and dedup.slots_for(0) == 1
+    filters = [dedup.identity_filters(dedup.with_hash(k), n) for k, n in zip(known, slots)]
+    every = filters[0].unionByName(filters[1]).unionByName(filters[2])
+    asked = dedup.with_hash(spark.range(0, 60_000).select(F.concat(F.lit("id-"), "id").alias("identity")))
+    passed = dedup.maybe_known(asked, every, sorted(set(slots))).select(F.substring("identity", 4, 9).cast("long").alias("n"))
+    inside, outside = passed.agg(F.count_if(F.col("n") < 40_000), F.count_if(F.col("n") >= 40_000)).first()
+    assert inside == 40_000 and outside < 600
 
 
-def test_large_tables_come_in_parts_that_add_up(spark):
-    data = [("big", i, [str(i)] + (["wide", "x"] if i == 57 else [])) for i in range(100)]
-    data += [("small", i, ["s", str(i)]) for i in range(5)]
+def document(lines, order, column, separator):
+    return separator.join(r[column] for r in sorted(lines, key=lambda r: tuple(r[c] for c in order)))
+
+
+def test_tables_as_lines(spark):
+    data = [("big", i, [str(i)] + (["wide", "x"] if i == 57 else [])) for i in range(3, 100)] + [("big", 0, [])]
+    data += [("small", i, ["s", str(i), None]) for i in range(2)] + [("none", 0, []), (None, 4, ["a|b"])]
     df = spark.createDataFrame(data, "g string, n int, c array<string>").repartition(5)
-    whole = documents.rows_to_markdown(df, ["g"], "n", "c")
-    assert whole.count() == 2
-    parts = documents.rows_to_markdown(df, ["g"], "n", "c", part_rows=60)
-    assert parts.filter("g = 'big'").count() == 5 and parts.filter("g = 'small'").count() == 1
-    assert joined(parts, "g", documents.PARTS) == joined(whole, "g", documents.PARTS)
+    found = {}
+    for r in documents.rows_to_lines(df, ["g"], "n", "c").collect():
+        found.setdefault(r.g, []).append(r)
+    shown = {g: document(rs, ("n", "sub"), "line", "\n").split("\n") for g, rs in found.items()}
+    assert set(shown) == {"big", "small", None}
+    assert shown["big"][:3] == ["| 3 |  |  |", "| --- | --- | --- |", "| 4 |  |  |"] and len(shown["big"]) == 98
+    assert "| 57 | wide | x |" in shown["big"]
+    assert shown["small"] == ["| s | 0 |  |", "| --- | --- | --- |", "| s | 1 |  |"] and shown[None] == ["| a\\|b |", "| --- |"]
 
 
-def test_large_workbooks_come_in_parts_that_add_up(spark):
+def test_workbooks_as_lines(spark, tmp_path):
     data = []
     for row in range(40):
         for col in range(3):
-            blank = row in (0, 1, 2, 7)
-            data.append(("d", 0, "S", row, col, None if blank else f"{row}.{col}"))
+            data.append(("d", 0, "S", row, col, None if row in (0, 1, 2, 7) else f"{row}.{col}"))
     data += [("d", 1, "T", 0, 0, "t"), ("e", 0, "U", 0, 0, "u"), ("e", 1, "V", 0, 0, " ")]
     schema = "doc_id string, section_no int, section_title string, row_no int, col_no int, cell string"
     cells = spark.createDataFrame(data, schema).repartition(4)
-    whole = {r.doc_id: r for r in documents.sheets_to_document(cells).collect()}
-    assert whole["d"].markdown.startswith("## S\n\n| 3.0 | 3.1 | 3.2 |\n| --- | --- | --- |\n| 4.0")
-    assert whole["e"].markdown == "## U\n\n| u |\n| --- |"
-    assert [s["sheet"] for s in json.loads(whole["d"].data)["sheets"]] == ["S", "T"]
-    parts = documents.sheets_to_document(cells, part_rows=30)
-    assert parts.filter("doc_id = 'd'").count() > 3
-    text = joined(parts, "doc_id", documents.PARTS)
-    assert text["d"].replace("\n## T", "\n\n## T") == whole["d"].markdown and text["e"] == whole["e"].markdown
-
-
-@pytest.mark.parametrize("build", [documents.slides_to_document, documents.pages_to_document, documents.paragraphs_to_document])
-def test_large_documents_come_in_parts_that_add_up(spark, build):
-    kinds = ["text", "table", "notes" if build is documents.slides_to_document else "text"]
-    data = [("d", s, b, kinds[b % 3], f"{s}/{b}") for s in range(1, 4) for b in range(20 * s)]
-    data += [("e", 1, 0, "text", "only")]
-    if build is documents.paragraphs_to_document:
-        data = [(d, 0, s * 1000 + b, k, t) for d, s, b, k, t in data]
-    blocks = spark.createDataFrame(data, "doc_id string, section_no int, block_no int, kind string, text string")
-    whole = build(blocks)
-    assert whole.count() == 2
-    parts = build(blocks, part_rows=15)
-    assert parts.filter("doc_id = 'd'").count() > 3
-    assert joined(parts, "doc_id", documents.PARTS, separator="\n\n") == joined(whole, "doc_id", documents.PARTS)
-
-
-def test_attachment_refs_parts(spark):
+    lines = documents.sheets_to_lines(cells)
+    files = sinks.write_texts(lines, "doc_id", ["section_no", "row_no", "sub"], "line", str(tmp_path))
+    assert rows(files) == [("d", 44), ("e", 4)]
+    text = (tmp_path / "d").read_text()
+    assert text.startswith("## S\n\n| 3.0 | 3.1 | 3.2 |\n| --- | --- | --- |\n| 4.0") and text.endswith("| 39.0 | 39.1 | 39.2 |\n\n## T\n\n| t |\n| --- |")
+    assert (tmp_path / "e").read_text() == "## U\n\n| u |\n| --- |"
+    assert "| 7." not in text
+    typed = cells.withColumn("cell", F.when(F.col("cell") == "u", F.lit(1).cast("variant")).otherwise(F.col("cell").cast("variant")))
+    got = {r.data for r in documents.sheets_to_lines(typed).filter("data IS NOT NULL AND (doc_id = 'e' OR row_no = 3)").collect()}
+    assert got == {"[1]", '["3.0","3.1","3.2"]'}
+
+
+def test_decks_and_pages_as_pieces(spark):
+    blocks = [(1, 0, "notes", " n "), (1, 3, "text", "b"), (1, 1, "table", "a"), (2, 0, "text", " "), (3, 0, "table", "t"), (3, 1, "text", "x")]
+    df = spark.createDataFrame([("d", *b) for b in blocks], "doc_id string, section_no int, block_no int, kind string, text string")
+    whole = lambda found: document(found.collect(), ("section_no", "place", "block_no"), "piece", documents.PIECE_BREAK)
+    assert whole(documents.slides_to_pieces(df)) == "## Slide 1\n\na\n\nb\n\n**Notes:** n\n\n## Slide 2\n\n## Slide 3\n\nt\n\nx"
+    assert whole(documents.pages_to_pieces(df)) == "## Page 1\n\n**Notes:** n\n\nb\n\na\n\n## Page 2\n\n## Page 3\n\nx\n\nt"
+    got = documents.paragraphs_to_pieces(df.drop("section_no").filter("kind <> 'notes'")).collect()
+    assert document(got, ("place", "block_no"), "piece", "|") in ("x|b|a|t", "x|b|t|a")
+
+
+def test_lines_of_a_document_in_half_of_all_rows(spark, tmp_path):
+    """One document holds most lines; it is written whole and in order."""
+    lines = spark.range(0, 30_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("k"), F.col("id").alias("n"), F.col("id").cast("string").alias("t"))
+    report = sinks.write_texts(lines.repartition(9), "k", ["n"], "t", str(tmp_path))
+    assert report.count() == 26 and (tmp_path / "hot").read_text() == "\n".join(str(i) for i in range(0, 30_000, 2))
+
+
+def test_attachment_refs(spark):
     data = [("m", i, f"f{i}", f"o{i}", "t") for i in range(12)] + [("n", 0, "f", "o", "t")]
     df = spark.createDataFrame(data, "source_key string, part_no int, filename string, output_key string, content_type string")
     whole = {r.source_key: [x.filename for x in r.refs] for r in att.attachment_refs(df).collect()}
     assert whole == {"m": [f"f{i}" for i in range(12)], "n": ["f"]}
-    parts = att.attachment_refs(df, part_rows=5).filter("source_key = 'm'").orderBy("part_index").collect()
-    assert len(parts) == 3 and [x.filename for p in parts for x in p.refs] == whole["m"]
 
 
 def test_attachments_follow_the_first_accepted_unit(spark):
@@ -172,6 +186,13 @@ def test_retry_or_dead(spark):
     assert rows(monitor.retry_or_dead(df)) == [("a", 4, "retry"), ("b", 5, "dead")]
 
 
+def test_ledger_counts_to_the_fifth_failure(spark):
+    work = spark.createDataFrame([("b", "k", 0), ("b", "l", 3), ("b", "m", 4), ("b", "fine", 2)], "bucket string, source_key string, attempt int")
+    failed = spark.createDataFrame([("k", "e"), ("l", "e"), ("l", "f"), ("m", "e"), (None, "no key")], "source_key string, error string")
+    got = rows(monitor.ledger(work, failed), "source_key", "attempt", "error", "state")
+    assert got == [("k", 1, "e", "retry"), ("l", 4, "e", "retry"), ("m", 5, "e", "dead")]
+
+
 def test_zero_counters_are_not_flushed(spark, tmp_path):
     zero = spark.createDataFrame([tuple([0] * 7)], ", ".join(f"{c} bigint" for c in monitor.COUNTERS))
     monitor.flush_counters(zero, str(tmp_path / "m"), 0)
