@@ -36,7 +36,7 @@ from mailloom.llm.common import BASE, BYTE_VALUES, INVERSE, mixed, offsets_of, p
 
 LENGTH, GRAM = 200, 32
 #: Bytes of extents in a group before its anchor is dealt to several; bytes of a suffix array's text, but for one group.
-GROUP_BYTES, BLOCK_BYTES = 1 << 18, 1 << 18
+GROUP_BYTES, BLOCK_BYTES = 2 << 20, 1 << 18
 #: Bytes of text whose grams a task hashes at once, and of a piece of a long text.
 SCAN_BYTES, PIECE_BYTES = 1 << 18, 1 << 20
 
