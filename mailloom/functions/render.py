@@ -12,6 +12,7 @@ SCHEMA_VERSION = 1
 NO_SUBJECT_TITLE = "(no subject)"
 EXTERNAL_BANNER = "> **EXTERNAL EMAIL**"
 HARD_BREAK = "  "
+CONTENT_FOLDER, ATTACHMENTS_FOLDER = "content/", "attachments/"
 # ----------------------------------------------------------------------------
 
 # Hexadecimal digits of the digest that ends an attachment's key.
@@ -22,21 +23,21 @@ _PRETTY = {"ignoreNullFields": "false", "pretty": "true"}
 
 
 def content_key(
-    prefix: str | Column, date: Column, thread: Column, timestamp: Column, subject: Column, hash8: Column
+    root: str | Column, date: Column, thread: Column, timestamp: Column, subject: Column, hash8: Column
 ) -> Column:
     name = F.concat_ws("__", thread, timestamp, slugify(subject), hash8)
-    return F.concat(_column(prefix), date, F.lit("/"), name, F.lit(".md"))
+    return F.concat(_column(root), F.lit(CONTENT_FOLDER), date, F.lit("/"), name, F.lit(".md"))
 
 
 def attachment_key(
-    prefix: str | Column, date: Column, thread: Column, timestamp: Column, source_key: Column, part_no: Column, filename: Column
+    root: str | Column, date: Column, thread: Column, timestamp: Column, source_key: Column, part_no: Column, filename: Column
 ) -> Column:
     """Names are cut and folded, so the end of the key is a digest of the message's key and the part's number."""
     part = F.substring(F.sha2(F.concat_ws("/", source_key, part_no.cast("string")), 256), 1, PART_CHARS)
     name = F.concat_ws(
         "__", thread, timestamp, slugify(key_stem(source_key), STEM_SLUG_CHARS), slugify(filename, SLUG_CHARS), part
     )
-    return F.concat(_column(prefix), date, F.lit("/"), name, F.lit(".md"))
+    return F.concat(_column(root), F.lit(ATTACHMENTS_FOLDER), date, F.lit("/"), name, F.lit(".md"))
 
 
 def _column(value: str | Column) -> Column:

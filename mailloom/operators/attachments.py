@@ -155,7 +155,7 @@ def extract_attachments(
 def render_attachments(extracted: DataFrame, options: Options = Options()) -> DataFrame:
     """Output rows of extracted parts that were joined to their unit 0."""
     key = attachment_key(
-        options.attachments_prefix,
+        options.output_prefix,
         F.col("send_date"),
         F.col("thread"),
         timestamp_text(F.col("sent_at")),

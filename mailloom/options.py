@@ -24,11 +24,3 @@ class Options:
                 object.__setattr__(self, name, value + "/")
         if self.date_source not in ("header", "key"):
             raise ValueError("date_source is 'header' or 'key'")
-
-    @property
-    def content_prefix(self) -> str:
-        return self.output_prefix + "content/"
-
-    @property
-    def attachments_prefix(self) -> str:
-        return self.output_prefix + "attachments/"

@@ -30,7 +30,7 @@ def address_units(units: DataFrame, options: Options = Options()) -> DataFrame:
         .withColumn(
             "output_key",
             content_key(
-                options.content_prefix,
+                options.output_prefix,
                 F.col("send_date"),
                 F.col("thread"),
                 F.col("sent_text"),

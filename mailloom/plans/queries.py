@@ -107,7 +107,7 @@ def _order_tops(spark: SparkSession, sf: str) -> DataFrame:
 def _order_attachments(spark: SparkSession, sf: str) -> DataFrame:
     owned = att.attach_to_top(dedup.accepted(_order_tops(spark, sf)), _order_parts(spark, sf))
     key = render.attachment_key(
-        OPTIONS.attachments_prefix,
+        OPTIONS.output_prefix,
         F.col("send_date"),
         F.col("thread"),
         timestamp_text(F.col("sent_at")),
@@ -861,7 +861,7 @@ def thread_timeline(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def clear_outputs_select(spark: SparkSession, sf: str) -> DataFrame:
     _, cleared = retrieval.clear_outputs(
-        _claimed(spark, sf), OPTIONS.output_prefix, OPTIONS.content_prefix + "2026-07-02/"
+        _claimed(spark, sf), OPTIONS.output_prefix, OPTIONS.output_prefix + "content/2026-07-02/"
     )
     return cleared
 
