@@ -6,7 +6,8 @@ table. A shard is searched where its lists are: for every window of consecutive
 from the rarest word on, offset-adjusted to the window's start and intersected until nothing is left. With a slop of k
 a word may stand up to k places from where it should (proximity); 0 is the exact phrase.
 
-The benchmark goes to the tasks in broadcast blocks of bounded size, however large it is; its vocabulary, which only
+The benchmark is a stored table, dealt to blocks of bounded size. Each block is one search of the stored index, the only
+one the driver and the tasks hold; several blocks' hits are merged per document. The benchmark's vocabulary, which only
 narrows the index, is left out beyond a bound, and then every word is indexed. Shards are dealt by bytes, so a hot
 source or word only means longer lists within shards of the same size.
 
@@ -105,45 +106,43 @@ def index(documents: DataFrame, vocabulary: np.ndarray | None = None, doc: str =
 NO_ITEM = -(1 << 63)
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id", text: str = "text") -> tuple[list, np.ndarray | None]:
-    """The benchmark's word hashes in broadcast blocks (item_ids, offsets, words), and its sorted vocabulary."""
+def items_of(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id", text: str = "text") -> DataFrame:
+    """The benchmark as a stored table: item_id, words (their hashes) and n; a very long item in pieces that overlap by a window."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, cuts = terms_of(batch.column("text"))
-            words = [found[a:b].astype("<i8").tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(words, pa.binary())], names=["item_id", "words"])
+            for slab in slabs(batch, "text"):
+                found, cuts = terms_of(slab.column("text"))
+                ids, words = [], []
+                for own, a, b in zip(slab.column("item_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+                    for k in range(a, max(b - window + 1, a + 1), BLOCK_WORDS):
+                        ids.append(NO_ITEM if own is None else own)
+                        words.append(found[k : min(k + BLOCK_WORDS + window - 1, b)].astype("<i8"))
+                sizes = pa.array([len(w) for w in words], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([w.tobytes() for w in words], pa.binary()), sizes], names=["item_id", "words", "n"])
 
     rows = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text"))
-    sc = benchmark.sparkSession.sparkContext
-    blocks, vocabulary, ids, words, held = [], np.zeros(0, np.int64), [], [], 0
-
-    def close() -> None:
-        offsets = np.cumsum([0] + [len(w) for w in words])
-        blocks.append(sc.broadcast((ids, offsets, np.concatenate(words))))
-
-    for row in rows.mapInArrow(task, "item_id long, words binary").toLocalIterator():
-        own = np.frombuffer(row["words"], "<i8")
-        for a in range(0, max(len(own) - window + 1, 1), BLOCK_WORDS):  # a very long item: blocks that overlap by a window
-            part = own[a : a + BLOCK_WORDS + window - 1]
-            if not len(part):
-                continue
-            ids.append(NO_ITEM if row["item_id"] is None else row["item_id"])
-            words.append(part)
-            held += len(part)
-            if vocabulary is not None:
-                if held >= BLOCK_WORDS or len(ids) % 1000 == 0:
-                    vocabulary = np.unique(np.concatenate([vocabulary, *words]))
-                if len(vocabulary) > VOCABULARY:
-                    vocabulary = None
-            if held >= BLOCK_WORDS:
-                close()
-                ids, words, held = [], [], 0
-    if ids:
-        if vocabulary is not None:
-            vocabulary = np.unique(np.concatenate([vocabulary, *words]))
-        close()
-    return blocks, vocabulary
+    found = rows.mapInArrow(task, "item_id long, words binary, n long").where("n > 0")
+    return stored(found.withColumn("row", F.monotonically_increasing_id()), "benchmark")
+
+
+def vocabulary_of(items: DataFrame, most: int) -> np.ndarray | None:
+    """The sorted words of the items, if they are `most` or fewer; no more than that reaches the driver."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.frombuffer(b"".join(batch.column("words").to_pylist()), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(words).astype(np.int64))], names=["word"])
+
+    found = items.select("words").mapInArrow(task, "word long").distinct().limit(most + 1).toArrow()
+    return np.sort(found.column("word").to_numpy()) if found.num_rows <= most else None
+
+
+def block_of(items: DataFrame, number: int, of: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """One block of items: their ids, offsets and words; about BLOCK_WORDS words, and one item's piece more at most."""
+    rows = items.where(F.pmod(F.xxhash64("row"), F.lit(of)) == number).select("item_id", "words").collect()
+    words = [np.frombuffer(r["words"], "<i8") for r in rows]
+    return [r["item_id"] for r in rows], np.cumsum([0] + [len(w) for w in words]), np.concatenate([*words, np.zeros(0, np.int64)])
 
 
 def find(lists: dict[int, np.ndarray], words: list[int], slop: int = 0) -> np.ndarray:
@@ -164,11 +163,13 @@ def find(lists: dict[int, np.ndarray], words: list[int], slop: int = 0) -> np.nd
     return starts
 
 
-def search(index_rows: DataFrame, blocks: list, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """For every document its words, its words inside benchmark windows, the items they come from, and their spans."""
+def search(index_rows: DataFrame, block: tuple, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """For every document its shard and place there, its words, its words inside the block's windows, the items they come
+    from, and their spans."""
+    held = index_rows.sparkSession.sparkContext.broadcast(block)  # bounded, see block_of
 
     def shard(table: pa.Table) -> pa.Table:
-        documents, lists = [], {}
+        documents, lists, own_shard = [], {}, table.column("shard")[0].as_py()
         for batch in table.to_batches():
             data, at = offsets_of(batch.column("positions"))
             data = data.tobytes()
@@ -180,19 +181,18 @@ def search(index_rows: DataFrame, blocks: list, window: int = WINDOW, slop: int
         documents.sort(key=lambda d: d["first"])
         firsts = np.array([d["first"] for d in documents])
         starts, lengths, items = [], [], []
-        for block in blocks:
-            ids, offsets, words = block.value
-            have = np.isin(words, np.fromiter(lists, np.int64, len(lists)))
-            absent = np.concatenate([[0], np.cumsum(~have)])
-            for item, a, b in zip(ids, offsets[:-1].tolist(), offsets[1:].tolist()):
-                size = min(window, b - a)
-                first = np.arange(a, b - size + 1)
-                for w in first[absent[first + size] == absent[first]].tolist():
-                    at = find(lists, words[w : w + size].tolist(), slop)
-                    if len(at):
-                        starts.append(at)
-                        lengths.append(np.full(len(at), size))
-                        items.append(np.full(len(at), item))
+        ids, offsets, words = held.value
+        have = np.isin(words, np.fromiter(lists, np.int64, len(lists)))
+        absent = np.concatenate([[0], np.cumsum(~have)])
+        for item, a, b in zip(ids, offsets[:-1].tolist(), offsets[1:].tolist()):
+            size = min(window, b - a)
+            first = np.arange(a, b - size + 1)
+            for w in first[absent[first + size] == absent[first]].tolist():
+                at = find(lists, words[w : w + size].tolist(), slop)
+                if len(at):
+                    starts.append(at)
+                    lengths.append(np.full(len(at), size))
+                    items.append(np.full(len(at), item))
         n = len(documents)
         hit, spans, own = np.zeros(n, np.int64), [[] for _ in range(n)], [set() for _ in range(n)]
         if starts:
@@ -212,14 +212,43 @@ def search(index_rows: DataFrame, blocks: list, window: int = WINDOW, slop: int
                 hit[d] += b - a
         return pa.Table.from_arrays(
             [pa.array([d["doc_id"] for d in documents], pa.int64()), pa.array([d["n_words"] for d in documents], pa.int64()), pa.array(hit)]
-            + [pa.array([sorted(o) for o in own], pa.list_(pa.int64())), pa.array(spans, _SPANS)],
-            names=["doc_id", "n_words", "n_hit", "items", "hits"],
+            + [pa.array([sorted(o) for o in own], pa.list_(pa.int64())), pa.array(spans, _SPANS), pa.array(np.full(n, own_shard)), pa.array(firsts, pa.int64())],
+            names=["doc_id", "n_words", "n_hit", "items", "hits", "shard", "first"],
         )
 
-    return index_rows.groupBy("shard").applyInArrow(shard, HITS)
+    return index_rows.groupBy("shard").applyInArrow(shard, HITS + ", shard long, first long")
+
+
+def merged(found: DataFrame) -> DataFrame:
+    """The hits of several blocks as one row per document; there is one row per block to merge."""
+    ordered = F.array_sort(F.flatten(F.collect_list("hits")))
+    last = lambda spans: F.element_at(spans, -1)
+
+    def grown(spans, s):
+        longer = F.struct(last(spans)["first_word"].alias("first_word"), F.greatest(last(spans)["end_word"], s["end_word"]).alias("end_word"))
+        touches = (F.size(spans) > 0) & (s["first_word"] <= last(spans)["end_word"])
+        return F.when(touches, F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), F.array(longer))).otherwise(F.concat(spans, F.array(s)))
+
+    none = F.array().cast("array<struct<first_word:bigint,end_word:bigint>>")
+    rows = found.groupBy("shard", "first").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        ordered.alias("all"),
+    )
+    rows = rows.withColumn("hits", F.aggregate("all", none, grown))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, s: a + s["end_word"] - s["first_word"])
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "hits")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted) and hits (spans of words) of every document."""
-    blocks, vocabulary = benchmark_blocks(benchmark, window)
-    return search(index(documents, vocabulary), blocks, window, slop)
+    items = items_of(benchmark, window)
+    whole = index(documents, vocabulary_of(items, VOCABULARY))
+    blocks = max(1, -(-(items.agg(F.sum("n")).first()[0] or 0) // BLOCK_WORDS))
+    found = search(whole, block_of(items, 0, blocks), window, slop)
+    if blocks == 1:
+        return found.drop("shard", "first")
+    for k in range(1, blocks):
+        found = found.unionByName(search(whole, block_of(items, k, blocks), window, slop))
+    return merged(found)

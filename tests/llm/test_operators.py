@@ -105,6 +105,18 @@ def test_op3_verdicts(spark, tables):
     assert {d: got[d] for d in once} == {d: plain.op3_kept(texts[d], short[d], *limits) for d in once}
 
 
+def test_benchmark_in_blocks(spark, monkeypatch):
+    """Blocks of few words, no vocabulary, items longer than a block: hits of all blocks make one row."""
+    rng = random.Random(12)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 30)
+    monkeypatch.setattr(decontamination, "VOCABULARY", 50)
+    items = [(i, _words(rng, rng.choice((3, 12, 25)))) for i in range(8)] + [(9, _words(rng, 70)), (None, _words(rng, 11))]
+    docs = [(i, " ".join([_words(rng, 4), *(rng.choice(items)[1] for _ in range(3)), _words(rng, 3)])) for i in range(30)] + [(30, items[8][1][40:]), (4, "clean"), (None, None)]
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], len(r["items"]), plain.sha(",".join(sorted(map(str, r["items"]))).encode()), r["n_hit"] > 0) for r in found.collect()]
+    same(sorted(got, key=repr), plain.op5(docs, items))
+
+
 def test_words_whose_polynomial_hashes_agree(spark, tmp_path):
     """A word of two letters in the order of Thue and Morse, and its complement: no phrase of the one is in the other."""
     bits = [bin(i).count("1") % 2 for i in range(1024)]
