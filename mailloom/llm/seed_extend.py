@@ -5,7 +5,8 @@ doc_id; windows are judged on the input.
 
 1. Seeds. Words are hashed, and grams of GRAM words from them. Each window stands at the gram in it whose hash is
    smallest, leftmost first (winnowing), so equal windows have equal anchors at equal places. Consecutive windows with
-   one anchor are one row: the seed, with its anchor, and 128 bits of all the words its windows reach, left and right.
+   one anchor are one row: the seed, with its anchor (64 bits) and 64 bits of all the words its windows reach, left and
+   right.
 2. Documents meet on anchors. One total sort by anchor, reach and doc_id (ranges, so a hot passage is spread like any
    other) puts equal reaches side by side, the smallest doc_id first: all windows of the other documents repeat, which
    settles copies without pairs. Where an anchor has different reaches, the seeds of each one's smallest document go on.
@@ -17,7 +18,7 @@ doc_id; windows are judged on the input.
 4. Extensions that touch or overlap are merged per text to maximal repeats, none shorter than `length`, and cut out.
 
 Rows are keyed by doc_id and a hash of the text, so repeated doc_ids do no harm. Words are compared by 64-bit hashes of
-their bytes, windows by 128 bits mixed from those in order.
+their bytes, reaches and windows by 128 bits mixed from those in order.
 
 Defined cases: a null text has no words; a text with fewer than `length` words is kept; a null doc_id is neither smaller
 nor larger than any, so such rows are kept whole and remove nothing; of equal doc_ids none is smaller; an empty table
@@ -40,7 +41,7 @@ PIECE_WORDS = 1 << 20
 
 _PLACE = np.uint64((1 << 21) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SEED = "h long, x long, y long, doc long, t long, first int, last int"
+_SEED = "h long, x long, doc long, t long, first int, last int"
 _FOUND = "kind string, " + _SEED
 
 
@@ -53,12 +54,12 @@ def chained(parts: list[np.ndarray], start: int) -> np.ndarray:
 
 
 def seeds_of(words: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """First and last window, anchor and two reach hashes of each seed; `at` are the offsets of texts laid end to end."""
+    """First and last window, anchor and reach hash of each seed; `at` are the offsets of texts laid end to end."""
     ends = np.repeat(at[1:], np.diff(at))
     starts = np.flatnonzero(np.arange(len(words)) + length <= ends)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none
+        return none, none, none, none
     grams = chained([words[j : len(words) - gram + 1 + j] for j in range(gram)], 5)
     least = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     spread = length - gram + 1
@@ -73,14 +74,13 @@ def seeds_of(words: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int
     heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     first, last, place = starts[heads], starts[np.append(heads[1:], len(starts)) - 1], place[heads]
     shape = ((place - first) * 64 + (last - first)).astype(np.uint64)
-    x, y = mixed(shape + np.uint64(1)), mixed(shape + np.uint64(7919))
+    x = mixed(shape + np.uint64(1))
     for j in range(length + spread):  # the reach has at most so many words
         more = np.flatnonzero(first + j < last + length)
         if not len(more):
             break
-        own = words[first[more] + j]
-        x[more], y[more] = mixed(x[more] * _ODD + own), mixed((y[more] ^ own) * _ODD + np.uint64(j))
-    return first, last, grams[place].view(np.int64), x.view(np.int64), y.view(np.int64)
+        x[more] = mixed(x[more] * _ODD + words[first[more] + j])
+    return first, last, grams[place].view(np.int64), x.view(np.int64)
 
 
 def sequences(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +97,7 @@ def seeds(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
         own = np.searchsorted(at, first, "right") - 1
         columns = [pa.array(c) for c in (*hashes, doc[own], t[own])]
         places = [pa.array((c - at[own] + shift).astype(np.int32)) for c in (first, last)]
-        return pa.RecordBatch.from_arrays([*columns, *places], names=["h", "x", "y", "doc", "t", "first", "last"])
+        return pa.RecordBatch.from_arrays([*columns, *places], names=["h", "x", "doc", "t", "first", "last"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,19 +127,19 @@ def meet(rows: DataFrame, most: int = 100_000) -> DataFrame:
     names = _FOUND.replace(",", "").split()[::2]
 
     def out(kind: str, found: np.ndarray) -> pa.RecordBatch:
-        columns = [*(pa.array(c) for c in found[:, :5].T.copy()), *(pa.array(c, pa.int32()) for c in found[:, 5:].T.copy())]
+        columns = [*(pa.array(c) for c in found[:, :4].T.copy()), *(pa.array(c, pa.int32()) for c in found[:, 4:].T.copy())]
         return pa.RecordBatch.from_arrays([pa.array([kind] * len(found), pa.string()), *columns], names=names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The open run's rows of its smallest doc_id head the next batch.
-        carried, linked, opening = np.zeros((0, 7), np.int64), False, True
+        carried, linked, opening = np.zeros((0, 6), np.int64), False, True
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = np.concatenate([carried, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], 1)])
-            fresh = np.concatenate([[True], (table[1:, :3] != table[:-1, :3]).any(1)])
+            fresh = np.concatenate([[True], (table[1:, :2] != table[:-1, :2]).any(1)])
             heads, run = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-            own = table[:, 3] == table[heads, 3][run]
+            own = table[:, 2] == table[heads, 2][run]
             if not own.all():
                 yield out("repeat", table[~own])
             before = np.concatenate([[linked], table[heads[1:], 0] == table[heads[:-1], 0]])  # the run before has the anchor too
@@ -165,7 +165,7 @@ def meet(rows: DataFrame, most: int = 100_000) -> DataFrame:
                 yield out("open", carried)
             yield out("edge", carried[:1])
 
-    ordered = rows.repartitionByRange("h", "x", "y", "doc").sortWithinPartitions("h", "x", "y", "doc")
+    ordered = rows.repartitionByRange("h", "x", "doc").sortWithinPartitions("h", "x", "doc")
     return ordered.mapInArrow(task, _FOUND)
 
 
@@ -193,8 +193,8 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, t and spans of words (first, end) that windows of smaller doc_ids cover; spans may overlap. documents: doc, t, text."""
     found = stored(meet(seeds(documents, length)), "seeds")
     span = lambda rows: rows.select("doc", "t", "first", (F.col("last") + length).cast("int").alias("end"))
-    edges = found.where("kind = 'edge'").groupBy("h", "x", "y").agg(F.min("doc").alias("least"))  # two rows a range at most
-    late = found.where("kind = 'open'").join(edges, ["h", "x", "y"]).where("doc > least")
+    edges = found.where("kind = 'edge'").groupBy("h", "x").agg(F.min("doc").alias("least"))  # two rows a range at most
+    late = found.where("kind = 'open'").join(edges, ["h", "x"]).where("doc > least")
     vary = found.where("kind = 'vary'").groupBy("doc", "t").agg(F.collect_set(F.struct("first", "last")).alias("cuts"))
     texts = documents.dropDuplicates(["doc", "t"]).join(vary, ["doc", "t"])
     grown = stored(extend(texts, length), "extensions")
