@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailloom.operators.ranking import with_position
+from mailloom.operators.ranking import text_levels, with_position
 
 THREAD_ORDER = ["sent_text", "hash8", "output_key"]
+# Characters of a time text that name its day.
+DAY_CHARS = 8
 
 
 def thread(content: DataFrame, thread8: str) -> DataFrame:
@@ -21,7 +23,9 @@ def thread_listing(content: DataFrame, date: str | None = None) -> DataFrame:
     """Mails of a day (or all days) with their place in their thread, from 1."""
     if date is not None:
         content = content.filter(F.col("send_date") == date)
-    listed = with_position(content, THREAD_ORDER, ["send_date", "thread"])
+    # By day, by second, and mails of one second (all undated ones) by the first 12 bits of their digest.
+    levels = [*text_levels("sent_text", [DAY_CHARS]), F.col("sent_text"), *text_levels("hash8", [3])]
+    listed = with_position(content, THREAD_ORDER, ["send_date", "thread"], levels)
     return listed.withColumn("thread_position", F.col("position") + 1).drop("position")
 
 

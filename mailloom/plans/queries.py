@@ -178,13 +178,14 @@ def backfill_select(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def assign_chunks(spark: SparkSession, sf: str) -> DataFrame:
     keys = table(spark, sf, "events").select("user_id", "event_id")
-    return ranking.assign_chunks(keys, 10, ["user_id", "event_id"])
+    levels = [*ranking.whole_levels("user_id"), F.col("user_id"), *ranking.whole_levels("event_id", (16, 32))]
+    return ranking.assign_chunks(keys, 10, ["user_id", "event_id"], levels)
 
 
 @query
 def chunk_report(spark: SparkSession, sf: str) -> DataFrame:
     keys = table(spark, sf, "events").select("event_id", "event_type")
-    chunks = ranking.assign_chunks(keys, 1000, ["event_id"])
+    chunks = ranking.assign_chunks(keys, 1000, ["event_id"], ranking.whole_levels("event_id", (16, 32)))
     return ranking.chunk_report(chunks, F.col("event_type") != "error")
 
 
@@ -526,7 +527,8 @@ def _numbered_items(spark: SparkSession, sf: str) -> DataFrame:
     """Line items with their place in their order (line numbers repeat)."""
     shown = ["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
     items = table(spark, sf, "lineitem").select("l_orderkey", *shown)
-    return ranking.with_position(items, shown, ["l_orderkey"], "row_no")
+    levels = [F.col("l_linenumber"), *ranking.whole_levels("l_partkey")]
+    return ranking.with_position(items, shown, ["l_orderkey"], levels, "row_no")
 
 
 @query

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.operators.ranking import assign_chunks
+from mailloom.operators.ranking import assign_chunks, text_levels
 from mailloom.sources.messages import scan_messages
 
 # Keys that go out together.
 CHUNK = 10
+# Keys are numbered in runs that agree in so many characters after the prefix: year, month, day, and three of the name.
+NAME_LEVELS = (4, 7, 10, 14)
 
 
 def under(df: DataFrame, prefix: str) -> DataFrame:
@@ -48,7 +50,9 @@ def enqueue(spark: SparkSession, root: str, bucket: str, queue: str, prefix: str
     counts = found.agg(F.count("*").alias("found")).select("found", none.alias("sent"), none.alias("chunks"))
     if dry_run:
         return counts
-    assign_chunks(requests(found, bucket), CHUNK, ["source_key"]).select("chunk_no", "body").write.mode("overwrite").json(queue)
+    levels = text_levels("source_key", [len(prefix) + n for n in NAME_LEVELS])
+    chunks = assign_chunks(requests(found, bucket), CHUNK, ["source_key"], levels)
+    chunks.select("chunk_no", "body").write.mode("overwrite").json(queue)
     sent = spark.read.schema("chunk_no bigint, body string").json(queue)
     sent = sent.agg(none.alias("found"), F.count("body").alias("sent"), F.countDistinct("chunk_no").alias("chunks"))
     return counts.unionByName(sent).agg(*[F.sum(c).alias(c) for c in counts.columns])

@@ -62,13 +62,35 @@ def test_positions_with_one_dominant_group(spark):
     for g in {g for g, _ in data}:
         want += [(g, n, p) for p, n in enumerate(sorted(n for h, n in data if h == g))]
     assert rows(ranking.with_position(df, ["n"], ["g"])) == sorted(want, key=repr)
+    for bits in ([8], [3, 7, 11]):
+        assert rows(ranking.with_position(df, ["n"], ["g"], ranking.whole_levels("n", bits))) == sorted(want, key=repr)
     order = sorted((n, g) for g, n in data)
-    assert rows(ranking.with_position(df, ["n"]), "n", "position") == sorted(((n, i) for i, (n, _) in enumerate(order)), key=repr)
+    everywhere = ranking.with_position(df, ["n"], levels=ranking.whole_levels("n", [2, 9]))
+    assert rows(everywhere, "n", "position") == sorted(((n, i) for i, (n, _) in enumerate(order)), key=repr)
+    with pytest.raises(ValueError):
+        ranking.with_position(df, ["n"])
+
+
+def test_positions_over_texts_and_nulls(spark):
+    rng = random.Random(2)
+    names = [None, "", "a", "a-c/d", "a/b", "a/b/c", "a/c", "\u00e9\u00e9x", "\U0001f600z", "\uffeey", "zz"]
+    data = [(g, n, i) for i, (g, n) in enumerate((rng.choice([None, "g", "h"]), rng.choice(names)) for _ in range(400))]
+    df = spark.createDataFrame(data, "g string, s string, n long").repartition(5)
+    levels = [*ranking.text_levels("s", [3, 1]), F.col("s"), *ranking.whole_levels("n", [4])]
+    want = []
+    for g in (None, "g", "h"):
+        own = sorted((s is not None, (s or "").encode(), n, s) for h, s, n in data if h == g)
+        want += [(g, s, n, p) for p, (_, _, n, s) in enumerate(own)]
+    assert rows(ranking.with_position(df, ["s", "n"], ["g"], levels)) == sorted(want, key=repr)
+    assert rows(ranking.with_position(df.limit(0), ["s", "n"], ["g"], levels)) == []
+    negative = spark.createDataFrame([(n,) for n in (-(1 << 63), -70_000, -1, 0, 65_536, (1 << 63) - 1)], "n long")
+    placed = ranking.with_position(negative, ["n"], levels=ranking.whole_levels("n", [16, 32, 48]))
+    assert [r.position for r in placed.orderBy("n").collect()] == list(range(6))
 
 
 def test_chunks(spark):
     df = spark.createDataFrame([(f"k{i:03d}", i % 4 == 0) for i in range(25)], "k string, ok boolean")
-    chunks = ranking.assign_chunks(df, 10, ["k"])
+    chunks = ranking.assign_chunks(df, 10, ["k"], ranking.text_levels("k", [2, 3]))
     assert rows(ranking.chunk_report(chunks, F.col("ok"))) == [(0, 10, 3), (1, 10, 2), (2, 5, 2)]
 
 

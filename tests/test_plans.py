@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mailloom.operators import dedup
+from mailloom.operators import dedup, retrieval
 from mailloom.plans.mail import units_of
 from mailloom.plans.mailbox import mailbox, message_bytes
 from mailloom.plans.tables import Tables
@@ -55,6 +55,21 @@ def test_prefix_lists_only_its_folders(spark, tmp_path):
         assert len(found.inputFiles()) == found.count() == wanted
 
 
+def test_positions_run_nothing_before_they_are_used(spark):
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    content = spark.range(1000).select(
+        *[F.concat(F.lit("a"), F.col("id") % 1).alias(c) for c in ("send_date", "thread", "hash8")],
+        *[F.col("id").cast("string").alias(c) for c in ("sent_text", "output_key")],
+    )
+    before = set(jobs())
+    listed = retrieval.thread_listing(content)
+    text = plan(listed)
+    assert set(jobs()) == before
+    # Cells are spread by hash, so a hot thread is no single task, and no order is global.
+    assert "rangepartitioning" not in text and "SinglePartition" not in text
+    assert listed.agg(F.max("thread_position")).first()[0] == 1000
+
+
 def test_mime_is_the_only_python_stage(spark):
     parsed = parse_messages(message_bytes(mailbox(spark, SF_SMALL)))
     text = plan(units_of(parsed.drop("parts", "error", "body_is_markdown")))
