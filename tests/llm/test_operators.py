@@ -314,12 +314,51 @@ def test_proximity():
     assert decontamination.find(lists, [1, 4]).tolist() == []
 
 
-def test_longest_repeats():
+def test_maximal_repeats():
+    """Against all substrings: those found twice or more whose places agree neither before nor after them."""
     import numpy as np
 
-    symbols = np.array([1, 2, 3, 1, 2, 3, 1, 9, 8, 8, 8])
-    levels = repetition.suffix_ranks(symbols, np.full(11, 11))
-    assert repetition.longest_repeats(levels).tolist() == [4, 3, 2, 4, 3, 2, 1, 0, 2, 2, 1]
+    rng = random.Random(31)
+    cases = [[[1, 2, 3, 1, 2, 3, 1, 9, 8, 8, 8]], [[5] * 9], [[1, 2] * 6, [3]], [[7]], [[1, 2, 3, 4], [5, 6, 5, 6, 5]]]
+    cases += [[[100 * t + rng.randint(1, 3) for _ in range(rng.randint(1, 25))] for t in range(3)] for _ in range(40)]
+    for texts in cases:
+        symbols = np.array([s for t in texts for s in t], np.uint64)
+        ends = np.cumsum([len(t) for t in texts])
+        begins = np.isin(np.arange(len(symbols)), ends - [len(t) for t in texts])
+        levels = repetition.suffix_ranks(symbols, np.repeat(ends, [len(t) for t in texts]))
+        for least in (1, 2, 4):
+            want, reach = [], [0] * len(symbols)
+            for text, end in zip(texts, ends.tolist()):
+                for n in range(least, len(text)):
+                    places = {}
+                    for i in range(len(text) - n + 1):
+                        places.setdefault(tuple(text[i : i + n]), []).append(i)
+                    for word, at in places.items():
+                        left = {text[i - 1] if i else -1 - i for i in at}
+                        right = {text[i + n] if i + n < len(text) else -1 for i in at}
+                        if len(at) > 1 and (len(left) > 1 or 0 in at) and len(right) > 1:
+                            want.append((n, word))
+                            for i in at:
+                                reach[end - len(text) + i] = n
+            lengths, first, got = repetition.maximal_repeats(symbols, begins, levels, least)
+            assert sorted((n, tuple(symbols[i : i + n].tolist())) for n, i in zip(lengths.tolist(), first.tolist())) == sorted(want)
+            assert got.tolist() == reach
+
+
+def test_proximity_marks_the_words(spark):
+    """A place that strays is found with a slop, across no document, and what is marked stays inside the document."""
+    item = [f"w{i}" for i in range(12)]
+    swapped, apart = item[:4] + [item[5], item[4]] + item[6:10], item[:5] + ["x", "x"] + item[5:10]
+    docs = [(1, " ".join(item)), (2, " ".join(["a", *swapped, "b"])), (3, " ".join(apart)), (4, " ".join(item[:5])), (5, " ".join(item[5:])), (6, "")]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = {}
+    for slop in (0, 1, 2):
+        rows_ = decontamination.contaminated(docs, items, slop=slop).collect()
+        found[slop] = {r["doc_id"]: [tuple(h) for h in r["hits"]] for r in rows_ if r["n_hit"]}
+        assert all(r["n_hit"] == sum(b - a for a, b in r["hits"]) and 0 <= r["n_hit"] <= r["n_words"] for r in rows_)
+    assert found[0] == {1: [(0, 12)]}
+    assert found[1].keys() == {1, 2} and found[1][1] == [(0, 12)] and any(a <= 1 and b >= 11 for a, b in found[1][2])
+    assert found[2].keys() == {1, 2, 3}
 
 
 def test_entropy_spans_and_allow_list():
