@@ -89,9 +89,14 @@ def normalize_subject(c: Column) -> Column:
     return F.lower(collapse_space(F.regexp_replace(or_empty(c), rf"(?i)\A(?:{marker})++", "")))
 
 
-def thread_id(c: Column) -> Column:
+def thread_digest(c: Column) -> Column:
+    """All 256 bits, for grouping; keys show the first 32."""
     subject = normalize_subject(c)
-    return short_hash(F.when(subject == "", F.lit(SUBJECT_FALLBACK)).otherwise(subject))
+    return F.sha2(F.when(subject == "", F.lit(SUBJECT_FALLBACK)).otherwise(subject), 256)
+
+
+def thread_id(c: Column) -> Column:
+    return F.substring(thread_digest(c), 1, 8)
 
 
 def date_from_key(c: Column) -> Column:

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailloom.functions.text import thread_digest
 from mailloom.operators.ranking import text_levels, with_position
 
 THREAD_ORDER = ["sent_text", "hash8", "output_key"]
 # Characters of a time text that name its day.
 DAY_CHARS = 8
+_DIGEST = "__thread"
 
 
 def thread(content: DataFrame, thread8: str) -> DataFrame:
@@ -20,13 +22,18 @@ def thread(content: DataFrame, thread8: str) -> DataFrame:
 
 
 def thread_listing(content: DataFrame, date: str | None = None) -> DataFrame:
-    """Mails of a day (or all days) with their place in their thread, from 1."""
+    """Mails of a day (or all days) with their place in their thread, from 1.
+
+    A thread is that of the subject's whole digest: two that share the 32 bits shown in keys are numbered apart.
+    """
     if date is not None:
         content = content.filter(F.col("send_date") == date)
     # By day, by second, and mails of one second (all undated ones) by the first 12 bits of their digest.
     levels = [*text_levels("sent_text", [DAY_CHARS]), F.col("sent_text"), *text_levels("hash8", [3])]
-    listed = with_position(content, THREAD_ORDER, ["send_date", "thread"], levels)
-    return listed.withColumn("thread_position", F.col("position") + 1).drop("position")
+    listed = with_position(
+        content.withColumn(_DIGEST, thread_digest(F.col("subject"))), THREAD_ORDER, ["send_date", _DIGEST], levels
+    )
+    return listed.withColumn("thread_position", F.col("position") + 1).drop("position", _DIGEST)
 
 
 def check_prefix(prefix: str | None, output_prefix: str, force: bool = False) -> str:

@@ -856,8 +856,8 @@ def thread_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def thread_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    content = _claimed(spark, sf).select("send_date", "thread", "sent_text", "hash8", "output_key")
-    return retrieval.thread_listing(content)
+    content = _claimed(spark, sf).select("send_date", "thread", "sent_text", "hash8", "output_key", "subject")
+    return retrieval.thread_listing(content).drop("subject")
 
 
 @query

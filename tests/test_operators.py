@@ -88,6 +88,22 @@ def test_positions_over_texts_and_nulls(spark):
     assert [r.position for r in placed.orderBy("n").collect()] == list(range(6))
 
 
+def test_threads_that_share_their_short_id(spark):
+    """Positions go by the whole subject, replies included; undated mails of one time text by their digest."""
+    mails = [("d1", "Plan", "20260701T080000Z"), ("d1", "RE: plan", "20260701T090000Z"), ("d1", "Other", "20260701T083000Z"), ("d2", "Plan", "20260702T000000Z")]
+    mails += [("undated", None, "00000000T000000Z")] * 40
+    content = spark.createDataFrame(
+        [(d, "same0000", s, t, f"{i * 2654435761 % (1 << 32):08x}", f"k{i}") for i, (d, s, t) in enumerate(mails)],
+        "send_date string, thread string, subject string, sent_text string, hash8 string, output_key string",
+    )
+    listed = {r["output_key"]: r for r in retrieval.thread_listing(content).collect()}
+    assert [listed[f"k{i}"]["thread_position"] for i in range(4)] == [1, 2, 1, 1]
+    undated = sorted((r for r in listed.values() if r["send_date"] == "undated"), key=lambda r: r["hash8"])
+    assert [r["thread_position"] for r in undated] == list(range(1, 41))
+    assert set(listed["k0"].asDict()) == {*content.columns, "thread_position"}
+    assert retrieval.thread_listing(content, "d2").count() == 1
+
+
 def test_chunks(spark):
     df = spark.createDataFrame([(f"k{i:03d}", i % 4 == 0) for i in range(25)], "k string, ok boolean")
     chunks = ranking.assign_chunks(df, 10, ["k"], ranking.text_levels("k", [2, 3]))

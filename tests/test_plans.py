@@ -58,7 +58,7 @@ def test_prefix_lists_only_its_folders(spark, tmp_path):
 def test_positions_run_nothing_before_they_are_used(spark):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
     content = spark.range(1000).select(
-        *[F.concat(F.lit("a"), F.col("id") % 1).alias(c) for c in ("send_date", "thread", "hash8")],
+        *[F.concat(F.lit("a"), F.col("id") % 1).alias(c) for c in ("send_date", "thread", "hash8", "subject")],
         *[F.col("id").cast("string").alias(c) for c in ("sent_text", "output_key")],
     )
     before = set(jobs())
