@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from email import policy
 from email.message import EmailMessage
 from email.parser import BytesParser
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -49,6 +50,22 @@ _MESSAGE = pa.struct(
 )
 
 
+class _Policy(policy.EmailPolicy):
+    """The default policy, which parses a header anew each time it is looked at, with the last headers remembered."""
+
+    def header_fetch_parse(self, name: str, value: str):
+        short = type(value) is str and len(value) <= 1_000
+        return _header(name, value) if short else super().header_fetch_parse(name, value)
+
+
+@lru_cache(maxsize=4096)
+def _header(name: str, value: str):
+    return policy.default.header_fetch_parse(name, value)
+
+
+_POLICY = _Policy()
+
+
 def below_prefix(root: str, prefix: str) -> str:
     """A path pattern for everything below `root` whose path there starts with `prefix`.
 
@@ -151,7 +168,7 @@ def _decode_message(raw: bytes | None) -> dict:
     if raw is None:
         return {"error": "no content"}
     try:
-        message = BytesParser(policy=policy.default).parsebytes(raw)
+        message = BytesParser(policy=_POLICY).parsebytes(raw)
         return {c: _clean(message[name]) for c, name in _HEADERS.items()} | {"leaves": [_leaf(p) for p in _leaves(message)]}
     except Exception as problem:  # one bad message must not fail the task
         return {"error": f"{type(problem).__name__}: {problem}"}

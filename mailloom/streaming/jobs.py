@@ -22,6 +22,7 @@ from mailloom.operators.monitor import flush_counters, ledger, quarantine, run_c
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.tables import Tables
+from mailloom.session import reading_session, small_files
 from mailloom.sources.backfill import backfill, select_keys
 from mailloom.sources.messages import parse_messages, scan_messages
 from mailloom.sources.notifications import failed_events, flatten_events
@@ -56,6 +57,20 @@ def process_batch(
     tasks. `work` is what the batch set out to read (see `ledger`), `rejected`
     failures from before (source_key, error).
     """
+    # A stream's batch has a session of its own.
+    with small_files(objects.sparkSession), small_files(tables.spark):
+        _process(objects, tables, batch_id, options, decoders, work, rejected)
+
+
+def _process(
+    objects: DataFrame,
+    tables: Tables,
+    batch_id: int,
+    options: Options,
+    decoders: Mapping[str, Decoder] | None,
+    work: DataFrame | None,
+    rejected: DataFrame | None,
+) -> None:
     emails = without_useless_bytes(parse_messages(objects), decoders, options)
     emails = tables.write(emails, "emails", batch_id)
     good, bad = quarantine(emails)
@@ -192,7 +207,7 @@ def run_stream(
     tables must not be written by `run_batch` as well.
     """
     tables = Tables(spark, tables_root)
-    objects = scan_messages(spark, source, True, options.input_prefix, max_files_per_trigger)
+    objects = scan_messages(reading_session(spark), source, True, options.input_prefix, max_files_per_trigger)
     objects = backfill(objects, prefix or options.input_prefix)
 
     def each(batch: DataFrame, batch_id: int) -> None:
