@@ -72,3 +72,9 @@ def fetch(named: DataFrame, store: str, most_bytes: int = MOST_BYTES, range_byte
 
     tasks = max(1, -(-rows.count() // OBJECTS_PER_TASK))
     return rows.repartition(tasks, "path").mapInArrow(task, FETCHED)
+
+
+def contents(fetched: DataFrame) -> DataFrame:
+    """Objects that must all be there: one with an `error` ends the job."""
+    failed = F.raise_error(F.concat("path", F.lit(": "), "error")).cast("binary")
+    return fetched.withColumn("content", F.when(F.col("error").isNull(), F.col("content")).otherwise(failed)).drop("error")

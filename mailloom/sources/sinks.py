@@ -79,22 +79,30 @@ def export_objects(df: DataFrame, root: str) -> DataFrame:
     A key that several rows claim is not written but returned, with their number `n`. The rows are evaluated once; files
     are replaced whole, so a task that runs again leaves the same files. Rows without a key are reported under NULL.
     """
+    return exported(df, root).filter("n > 1 OR output_key IS NULL")
+
+
+def exported(df: DataFrame, root: str) -> DataFrame:
+    """As `export_objects`, but returns every key with the number `n` of rows that claim it; files exist where n is 1.
+
+    The names stay in a stored table, so that tasks can read the files again without a listing of them on the driver.
+    """
     uri = shared_uri(df.sparkSession, root)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(uri)
-        clashes: list[tuple[str | None, int]] = []
+        told: list[tuple[str | None, int]] = []
         key, content, n = None, None, 0
 
         def settle() -> None:
             if n == 1 and key is not None:
                 with files.open(key) as out:
                     out.write(content.as_py() or b"")
-            elif n:
-                clashes.append((key, n))
+            if n:
+                told.append((key, n))
 
         def report() -> pa.RecordBatch:
-            names, counts = zip(*clashes) if clashes else ((), ())
+            names, counts = zip(*told) if told else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["output_key", "n"])
 
         for batch in batches:
@@ -104,13 +112,13 @@ def export_objects(df: DataFrame, root: str) -> DataFrame:
                     continue
                 settle()
                 key, content, n = k, value, 1
-            if len(clashes) > 10_000:
+            if len(told) > 10_000:
                 yield report()
-                clashes.clear()
+                told.clear()
         settle()
         yield report()
 
-    return _reported(_by_key(df.select("output_key", "content"), "output_key", []).mapInArrow(write, "output_key string, n bigint"), "clashes")
+    return _reported(_by_key(df.select("output_key", "content"), "output_key", []).mapInArrow(write, "output_key string, n bigint"), "exported")
 
 
 def write_texts(lines: DataFrame, key: str, order: list[str], text: str, root: str, separator: str = "\n") -> DataFrame:
