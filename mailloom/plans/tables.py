@@ -22,7 +22,7 @@ from mailloom.session import durable
 from mailloom.sources.sinks import write_content
 
 TABLES = (
-    "work", "emails", "quarantine", "candidates", "claims", "accepted", "attachments", "content", "attachment_content",
+    "work", "listed", "emails", "quarantine", "units", "candidates", "claims", "accepted", "attachments", "content", "attachment_content",
     "run_metrics", "attempts", "registry", "registry_filters", "batches", "tombstones",
 )
 
@@ -51,13 +51,20 @@ class Tables:
             raise ValueError(table)
         return f"{self.root}/{table}"
 
-    def write(self, df: DataFrame, table: str, batch_id: int, by: str | None = None, sort: tuple[str, ...] = ()) -> DataFrame:
-        """Replace a batch's partition and return it as read back."""
+    def write(
+        self, df: DataFrame, table: str, batch_id: int, by: str | None = None, sort: tuple[str, ...] = (), near: str | None = None
+    ) -> DataFrame:
+        """Replace a batch's partition and return it as read back.
+
+        Rows go to a folder for each value of `by`, which must have few; rows with one value of `near` go to one file.
+        """
         path = f"{self.path(table)}/batch_id={batch_id}"
         schema = df.schema
-        if by is not None:
-            # Adaptive execution merges small folders' rows and splits a large one.
-            df = df.hint("rebalance", by)
+        if by or near:
+            # Adaptive execution merges the rows of small values and splits a large one.
+            df = df.hint("rebalance", by or near)
+        if near is not None:
+            df = df.sortWithinPartitions(near)
         if sort:
             df = df.sortWithinPartitions(*sort)
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -96,6 +103,13 @@ class Tables:
         gone = self._tombstones(table)
         return rows if gone is None else without(rows, gone, "output_key")
 
+    def unseen(self, names: DataFrame) -> DataFrame:
+        """Listed files (with `path`) that no finished batch of a stream has listed."""
+        seen, done = self._all("listed", "path string, batch_id bigint"), self._finished()
+        if seen is None or done is None:
+            return names
+        return names.join(seen.join(done, "batch_id", "left_semi"), "path", "left_anti")
+
     def publish(self, table: str, path: str) -> None:
         """Lay a page table out by day alone, in few large files, at another path."""
         write_content(self.read(table).drop("batch_id"), path)

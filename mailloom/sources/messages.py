@@ -18,8 +18,9 @@ from pyspark.sql.pandas.types import from_arrow_type
 from mailloom.functions.html import best_body
 from mailloom.functions.text import clean_header
 from mailloom.session import shared_uri
+from mailloom.sources.objects import check_folder, fetch_listed, listed
 
-MESSAGE_GLOB = "*.[eE][mM][lL]"
+MESSAGE_GLOB, MESSAGE_SUFFIX = "*.[eE][mM][lL]", ".eml"
 OBJECT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 # A leaf of a message's tree of parts. `text` is set for what can be the body, `data` for what is attached by name.
@@ -50,10 +51,22 @@ _MESSAGE = pa.struct(
 )
 
 
+# Values that the default policy gives back as they are: one plain mailbox, words of printable ASCII.
+_MAILBOX = re.compile(r"[A-Za-z0-9]+(?: [A-Za-z0-9]+)* <[A-Za-z0-9]+@[A-Za-z0-9]+(?:\.[A-Za-z0-9]+)*>")
+_WORDS = re.compile(r"(?!.*=\?)[!-~]+(?: [!-~]+)*")
+_PLAIN = {"from": _MAILBOX, "to": _MAILBOX, "cc": _MAILBOX, "subject": _WORDS}
+
+
 class _Policy(policy.EmailPolicy):
-    """The default policy, which parses a header anew each time it is looked at, with the last headers remembered."""
+    """The default policy, which parses a header anew each time it is looked at, with the last headers remembered.
+
+    Plain values of headers that are only shown are not parsed at all.
+    """
 
     def header_fetch_parse(self, name: str, value: str):
+        plain = _PLAIN.get(name.lower())
+        if plain is not None and type(value) is str and plain.fullmatch(value):
+            return value
         short = type(value) is str and len(value) <= 1_000
         return _header(name, value) if short else super().header_fetch_parse(name, value)
 
@@ -85,6 +98,12 @@ def _first_found(reader, paths: list[str]) -> DataFrame | None:
     return None
 
 
+def _key(below: Column, input_prefix: str) -> Column:
+    """A file's key: it begins at the first prefix folder below the root; without one the whole rest is below the prefix."""
+    at = F.locate("/" + input_prefix, below)
+    return F.when(at > 0, F.substring(below, at + 1, F.lit(1 << 30))).otherwise(F.concat(F.lit(input_prefix.rstrip("/")), below))
+
+
 def scan_messages(
     spark: SparkSession,
     root: str,
@@ -111,13 +130,10 @@ def scan_messages(
         # Without the prefix folder below the root, all of it is below the prefix.
         objects = _first_found(reader, [below_prefix(root, prefix), below_prefix(root, prefix.removeprefix(input_prefix))])
         objects = spark.createDataFrame([], OBJECT_SCHEMA) if objects is None else objects
-    # The key begins at the first prefix folder below the root; without one the whole rest is below the prefix.
     base = re.sub("^[^:/]+:/*", "/", shared_uri(spark, root).rstrip("/"))
     below = F.substring(F.regexp_replace("path", "^[^:/]+:/*", "/"), len(base) + 1, 1 << 30)
-    at = F.locate("/" + input_prefix, below)
-    key = F.when(at > 0, F.substring(below, at + 1, F.lit(1 << 30))).otherwise(F.concat(F.lit(input_prefix.rstrip("/")), below))
     return objects.select(
-        key.alias("source_key"),
+        _key(below, input_prefix).alias("source_key"),
         "path",
         F.col("modificationTime").alias("modification_time"),
         "length",
@@ -125,6 +141,22 @@ def scan_messages(
     )
 
 
+def list_messages(spark: SparkSession, root: str, input_prefix: str = "emails/", prefix: str | None = None) -> DataFrame:
+    """The names that `scan_messages` would scan, listed in tasks: source_key, path (below the root), modification_time, length."""
+    if prefix is None:
+        check_folder(spark, root)
+    found = listed(spark, root, prefix or "", MESSAGE_SUFFIX)
+    if prefix is not None and prefix.startswith(input_prefix) and found.isEmpty():
+        # Without the prefix folder below the root, all of it is below the prefix.
+        found = listed(spark, root, prefix.removeprefix(input_prefix), MESSAGE_SUFFIX)
+    return found.withColumn("source_key", _key(F.concat(F.lit("/"), F.col("path")), input_prefix))
+
+
+def read_messages(names: DataFrame, root: str) -> DataFrame:
+    """The files of listed messages, fetched in tasks; like a scan, without empty files and ended by one that cannot be read."""
+    return fetch_listed(names.filter("length > 0"), root, F.col("source_key")).drop("error")
+
+
 def _clean(value: object) -> str | None:
     """Text that is valid UTF-8, with undecodable bytes replaced."""
     return None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")

@@ -22,11 +22,11 @@ from mailloom.operators.monitor import flush_counters, ledger, quarantine, run_c
 from mailloom.options import Options
 from mailloom.plans.mail import address_units, content_of, units_of
 from mailloom.plans.tables import Tables
-from mailloom.session import reading_session, small_files
+from mailloom.session import durable, small_files
 from mailloom.sources.backfill import backfill, select_keys
-from mailloom.sources.messages import parse_messages, scan_messages
+from mailloom.sources.messages import list_messages, parse_messages, read_messages
 from mailloom.sources.notifications import failed_events, flatten_events
-from mailloom.sources.objects import fetch
+from mailloom.sources.objects import check_folder, fetch
 
 ACCEPTED = (
     "identity", "copies", "source_key", "unit_order", "is_wrapper", "is_external", "message_id",
@@ -37,7 +37,7 @@ ACCEPTED = (
 
 # What a batch writes of decoded mails; a repeated batch without any leaves none of it behind.
 AFTER_DECODING = (
-    "candidates", "claims", "accepted", "attachments", "attachment_content", "content", "run_metrics", "registry", "registry_filters",
+    "units", "candidates", "claims", "accepted", "attachments", "attachment_content", "content", "run_metrics", "registry", "registry_filters",
 )
 
 
@@ -91,8 +91,8 @@ def _process(
             tables.write(ledger(work, failed), "attempts", batch_id)
         tables.finish(batch_id)
         return
-    units = units_of(good.drop("parts", "error", "body_is_markdown"), options)
-    # Claims are narrow rows; texts wait until the winners are known.
+    # Messages are split once; claims are narrow rows, and texts wait until the winners are known.
+    units = tables.write(units_of(good.drop("parts", "error", "body_is_markdown"), options), "units", batch_id)
     firsts, known = candidates(units), None
     if tables.knows_any(batch_id):
         firsts = tables.write(firsts, "candidates", batch_id)
@@ -104,8 +104,8 @@ def _process(
     parts = real_attachments(good)
     extracted = extract_attachments(attach_to_top(claimed, parts), decoders, options)
     extracted = tables.write(extracted, "attachments", batch_id)
-    pages = tables.write(render_attachments(extracted, options), "attachment_content", batch_id, by="send_date")
-    tables.write(content_of(claimed, attachment_refs(pages)), "content", batch_id, by="send_date")
+    pages = tables.write(render_attachments(extracted, options), "attachment_content", batch_id, near="send_date")
+    tables.write(content_of(claimed, attachment_refs(pages)), "content", batch_id, near="send_date")
     flush_counters(run_counters(emails, claims, extracted, parts), tables.path("run_metrics"), batch_id)
     if work is not None:
         tables.write(ledger(work, failed), "attempts", batch_id)
@@ -180,14 +180,14 @@ def run_batch(
 ) -> int:
     """Process every message under `source` and return the batch's number.
 
-    `prefix` narrows the run to the keys that start with it.
+    `prefix` narrows the run to the keys that start with it. Files are listed and fetched in tasks.
 
     A run that failed is repeated under the same number.
     """
     tables = Tables(spark, tables_root)
     batch_id = tables.next_batch()
-    objects = scan_messages(spark, source, input_prefix=options.input_prefix, prefix=prefix)
-    process_batch(backfill(objects, prefix or options.input_prefix), tables, batch_id, options, decoders)
+    names = backfill(list_messages(spark, source, options.input_prefix, prefix), prefix or options.input_prefix)
+    process_batch(read_messages(names, source), tables, batch_id, options, decoders)
     return batch_id
 
 
@@ -203,17 +203,28 @@ def run_stream(
 ) -> StreamingQuery:
     """Process new messages as they arrive, or once through all if `every` is None.
 
-    One query owns a registry; batches are numbered by the stream, so its
-    tables must not be written by `run_batch` as well.
+    A tick of the stream lists the source in tasks; files are new by path, not by date: a table keeps the paths of every
+    finished batch, so neither the driver nor the stream's checkpoint holds a name. A batch takes `max_files_per_trigger`
+    files, the oldest first; once through all is as many batches as that needs. Batches are numbered as by `run_batch`,
+    so one that failed is repeated under its number with what is there then. One query owns a registry.
     """
     tables = Tables(spark, tables_root)
-    objects = scan_messages(reading_session(spark), source, True, options.input_prefix, max_files_per_trigger)
-    objects = backfill(objects, prefix or options.input_prefix)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, tables, batch_id, options, decoders)
-
-    writer = objects.writeStream.foreachBatch(each).option("checkpointLocation", f"{tables.root}/_stream")
+    check_folder(spark, source)
+
+    def each(tick: DataFrame, tick_no: int) -> None:
+        found = backfill(list_messages(spark, source, options.input_prefix), prefix or options.input_prefix)
+        fresh = durable(tables.unseen(found))
+        while not (names := tables.unseen(fresh)).isEmpty():
+            batch_id = tables.next_batch()
+            if max_files_per_trigger:
+                names = names.orderBy("modification_time", "path").limit(max_files_per_trigger)
+            names = tables.write(names, "listed", batch_id)
+            process_batch(read_messages(names, source), tables, batch_id, options, decoders)
+            if every is not None:
+                break
+
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    writer = ticks.writeStream.foreachBatch(each).option("checkpointLocation", f"{tables.root}/_ticks")
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
