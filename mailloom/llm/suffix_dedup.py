@@ -32,11 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailloom.llm.common import BASE, BYTE_VALUES, INVERSE, mixed, offsets_of, per_slab, powers, segment_hashes, slabs, stored
+from mailloom.llm.common import BASE, BYTE_VALUES, INVERSE, mixed, offsets_of, per_slab, powers, release, segment_hashes, slabs, stored
 
 LENGTH, GRAM = 200, 32
 #: Bytes of extents in a group before its anchor is dealt to several; bytes of a suffix array's text, but for one group.
 GROUP_BYTES, BLOCK_BYTES = 2 << 20, 1 << 18
+#: Rows of a batch that a suffix array's task hands on.
+BATCH_ROWS = 1 << 15
 #: Bytes of text whose grams a task hashes at once, and of a piece of a long text.
 SCAN_BYTES, PIECE_BYTES = 1 << 18, 1 << 20
 
@@ -100,6 +102,7 @@ def extents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                     for a in range(0, max(len(own) - length + 1, 1), PIECE_BYTES - length + 1):
                         part = own[a : a + PIECE_BYTES]
                         yield rows(d1[i : i + 1], d2[i : i + 1], part, np.array([0, len(part)]), a)
+        release()
 
     return documents.select("d1", "d2", "text").mapInArrow(task, _ROW)
 
@@ -181,12 +184,13 @@ def by_words(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """Positions in order of the `depth` bytes from each: by words of eight bytes, of which later ones settle ties."""
     words = np.ndarray((len(data) - 7,), ">u8", data.tobytes(), strides=(1,))
     at, group = at.copy(), np.zeros(len(at), np.int32)
-    tied = np.arange(len(at))
+    tied = np.arange(len(at), dtype=np.int32)
     for k in range(0, depth, 8):
         own = at[tied]
         keys = words[own + min(k, depth - 8)].astype(np.uint64)
-        order = np.lexsort((keys, group))
+        order = np.lexsort((keys, group)).astype(np.int32)
         at[tied], keys, group = own[order], keys[order], group[order]
+        del own, order
         fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (group[1:] != group[:-1])])
         alone = fresh & np.append(fresh[1:], True)
         group = np.cumsum(fresh, dtype=np.int32)[~alone]
@@ -196,6 +200,14 @@ def by_words(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
+def _covered(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which of n positions lie in a range first..last."""
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, first, 1)
+    np.subtract.at(change, last + 1, 1)
+    return np.cumsum(change[:n], out=change[:n]) > 0
+
+
 def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
     """Positions first..last of several ranges, in order of the `depth` bytes from each, by two-stage sorting.
 
@@ -204,15 +216,17 @@ def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int)
     ends in `depth` zeros and a one.
     """
     n = len(data)
-    step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(data[1:].astype(np.int16) - data[:-1])
-    turn = _next(step != 0)  # equal bytes: as at the end of their run
-    smaller = np.append(step, 1)[turn] > 0
-    reach = _next(smaller)[last]
-    change = np.bincount(first, minlength=n + 1) - np.bincount(reach + 1, minlength=n + 1)
-    taken = np.cumsum(change)[:n] > 0
+    # Positions are 32 bits wide and what is not used again goes: a block's memory is mostly this.
+    rising = np.ones(n + 1, bool)
+    np.greater(data[1:], data[:-1], out=rising[: n - 1])
+    differs = np.zeros(n, bool)
+    np.not_equal(data[1:], data[:-1], out=differs[:-1])
+    smaller = rising[_next(differs)]  # equal bytes: as at the end of their run
+    del rising, differs
+    taken = _covered(n, first, _next(smaller)[last])
     induced = taken & ~smaller
-    direct = np.flatnonzero(taken & smaller)
+    direct = np.flatnonzero(taken & smaller).astype(np.int32)
+    del taken, smaller
     direct = by_words(data, direct, depth)
     bounds = np.searchsorted(data[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -237,15 +251,15 @@ def two_stage(data: np.ndarray, first: np.ndarray, last: np.ndarray, depth: int)
         for a, b in zip(cuts, [*cuts[1:], len(head)]):
             waiting[int(head[a])].append(before[a:b])
     ordered = np.concatenate(result)
-    change = np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1)
-    return ordered[(np.cumsum(change)[:n] > 0)[ordered]]
+    del result, direct, induced
+    return ordered[_covered(n, first, last)[ordered]]
 
 
 def common_prefixes(data: np.ndarray, ordered: np.ndarray, most: int) -> np.ndarray:
     """Lengths of the adjacent common prefixes, up to `most`, in steps of eight bytes."""
     words = np.ndarray((len(data) - 7,), ">u8", data.tobytes(), strides=(1,))
-    common = np.zeros(max(len(ordered) - 1, 0), np.int64)
-    left = np.arange(len(common))
+    common = np.zeros(max(len(ordered) - 1, 0), np.int32)
+    left = np.arange(len(common), dtype=np.int32)
     for k in range(0, most, 8):
         k = min(k, most - 8)
         left = left[words[ordered[left] + k] == words[ordered[left + 1] + k]]
@@ -288,8 +302,9 @@ def suffix_repeats(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
         repeated[ordered[near]] = True
         # Strings in text order, with the extent each belongs to.
         n = last - first + 1
-        owner = np.repeat(np.arange(len(rows)), n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[owner]
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), n)
+        at = np.arange(n.sum(), dtype=np.int32)
+        at += (first - np.cumsum(n) + n).astype(np.int32)[owner]
         many, split, d1, d2, place = (np.array(c) for c in (many, split, d1, d2, place))
         a, b = _runs(owner, repeated[at] & ~many[owner])
         if len(a):
@@ -299,16 +314,24 @@ def suffix_repeats(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
             none = pa.nulls(len(a), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(["span"] * len(a)), *(pa.array(c) for c in columns), none, none], names=_names)
         # One of each run of equal strings, if the anchor's other extents are elsewhere.
-        heads = ordered[np.concatenate([[True], ~same])] if len(ordered) else ordered
-        which = np.searchsorted(first, heads, "right") - 1
-        heads, which = heads[split[which]], which[split[which]]
-        if len(heads):
-            alone = ~(repeated[heads] | many[which])
-            w1 = segment_hashes(data, heads, heads + length).view(np.int64)
-            w2 = mixed(segment_hashes(data, heads, heads + length // 2) * np.uint64(3)).view(np.int64)
-            start = place[which] + heads - first[which]
+        if not split.any():
+            return
+        heads = ordered[np.concatenate([[True], ~same])] if len(ordered) else ordered.copy()
+        del ordered, same, near, owner, at
+        heads.sort()
+        for k in range(0, len(heads), BATCH_ROWS):
+            some = heads[k : k + BATCH_ROWS].astype(np.int64)
+            base = some[0]
+            near_by = data[base : some[-1] + length]
+            which = np.searchsorted(first, some, "right") - 1
+            some, which = some[split[which]], which[split[which]]
+            own = some - base
+            alone = ~(repeated[some] | many[which])
+            w1 = segment_hashes(near_by, own, own + length).view(np.int64)
+            w2 = mixed(segment_hashes(near_by, own, own + length // 2) * np.uint64(3)).view(np.int64)
+            start = place[which] + some - first[which]
             columns = [d1[which], d2[which], start, np.where(alone, start + length, 0), w1, w2]
-            yield pa.RecordBatch.from_arrays([pa.array(["open"] * len(heads)), *(pa.array(c) for c in columns)], names=_names)
+            yield pa.RecordBatch.from_arrays([pa.array(["open"] * len(some), pa.string()), *(pa.array(c) for c in columns)], names=_names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, size = None, [], 0
@@ -319,10 +342,12 @@ def suffix_repeats(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
                     if size >= BLOCK_BYTES:
                         yield from block(held)
                         held, size = [], 0
+                        release()
                 held.append((many, split, d1, d2, place, text))
                 size += len(text)
         if held:
             yield from block(held)
+        release()
 
     ordered = pieces.repartition("h", "salt").sortWithinPartitions("h", "salt")
     return ordered.select("h", "salt", "many", "split", "d1", "d2", "first", "bytes").mapInArrow(task, _FOUND)
