@@ -126,12 +126,11 @@ def _bytes(source, size: int = 1 << 18) -> Iterator[bytes]:
     while packed := source.read(size):
         while packed:
             yield z.decompress(packed, size)
-            while z.unconsumed_tail:
-                yield z.decompress(z.unconsumed_tail, size)
-            packed = b""
-            if z.eof:
+            packed = z.unconsumed_tail
+            if z.eof:  # then the tail, if any, is unused data too, and of the next member
                 packed = z.unused_data
                 z = zlib.decompressobj(31)
+    yield z.flush()  # a few bytes may wait when a piece was just full
 
 
 class _Reader:
